@@ -1,0 +1,22 @@
+"""Sums of money that do not depend on the order of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Four decimals; sum() widens this to 28 digits, so 10^13 rows of 10^10 still fit.
+MONEY = "decimal(18,4)"
+
+
+def exact_sum(name: str) -> Column:
+    """Sum doubles as decimals and return a double.
+
+    Adding doubles gives other last digits for every other partitioning. A group
+    holding a value no decimal can express (NaN, infinity, 10^14 or more) falls
+    back to the plain double sum, so such values still show up in the total.
+    """
+    value = F.col(name)
+    as_money = value.try_cast(MONEY)
+    all_fit = F.bool_and(value.isNull() | as_money.isNotNull())
+    return F.when(all_fit, F.sum(as_money).cast("double")).otherwise(F.sum(value))
