@@ -83,7 +83,7 @@ class Dataset:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [field.split()[0] for field in self.ddl.split(",")]
 
     @property
     def source_path(self) -> str:

@@ -45,8 +45,8 @@ def return_summary(returns: DataFrame, *keys: str) -> DataFrame:
 def refunds_on_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
     """Refunds of known orders, with the order's date, customer and product.
 
-    Only four narrow columns of the fact meet the returns, in an inner join: a fact row
-    without a return leaves the plan before any shuffle (broadcast or runtime filter).
+    Only four narrow columns of the fact meet the returns. The join is inner, so its
+    output is as small as the returns, and the fact is not shuffled if those broadcast.
     """
     refunds = return_summary(returns, "order_id", "product_id").select(
         "order_id", F.col("product_id").alias("returned_product_id"), "refund_amount"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,21 +14,13 @@ from millrace.operators import star
 from millrace.operators import summaries as S
 from millrace.operators.merge import absent_from
 from millrace.operators.scd2 import scd2_merge
+from millrace.plans.together import together
 from millrace.sources.lake import Lake
 
 # The span of the date dimension.
 FIRST_DAY = dt.date(2020, 1, 1)
 LAST_DAY = dt.date(2030, 12, 31)
 
-SUMMARIES = (
-    "customer_sales_summary",
-    "product_sales_summary",
-    "daily_sales_summary",
-    "monthly_sales_summary",
-    "customer_revenue_summary",
-    "product_revenue_summary",
-    "promotion_product_summary",
-)
 SALES = ("order_count", "units_sold", "gross_sales_amount", "discount_amount", "net_sales_amount")
 
 
@@ -44,7 +38,9 @@ def upsert_gold(lake: Lake, name: str, source: DataFrame, keys: Sequence[str]) -
     target = table.read()
     lost = lake.table("gold", f"{name}_lost_keys")
     lost.overwrite(absent_from(target.select(*keys), source, keys))
-    kept = target.join(lost.read(), list(keys), "left_semi")
+    t, k = target.alias("t"), lost.read().alias("k")
+    same_key = reduce(and_, (F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys))
+    kept = t.join(k, same_key, "left_semi")
     table.overwrite(source.unionByName(kept, allowMissingColumns=True))
     return table.read()
 
@@ -60,42 +56,57 @@ def build_gold(
     first_day: dt.date = FIRST_DAY,
     last_day: dt.date = LAST_DAY,
 ) -> None:
+    """Tables that do not depend on each other are written at the same time."""
     silver = {
         name: lake.table("silver", name).read()
         for name in ("customers", "products", "orders", "returns", "promotions")
     }
 
-    merge_customers(lake, silver["customers"], as_of)
-    upsert_gold(lake, "dim_product", star.dim_product(silver["products"]), ["product_id"])
-    span = lake.spark.range(1)
-    lake.table("gold", "dim_date").overwrite(
-        star.dim_date(span, F.lit(first_day), F.lit(last_day))
-    )
-    # Silver is unique by these keys, so the facts are, and counting rows counts orders.
-    orders = upsert_gold(lake, "fact_orders", star.fact_orders(silver["orders"]), ["order_id"])
-    returns = upsert_gold(
-        lake, "fact_returns", star.fact_returns(silver["returns"]), ["return_id"]
-    )
-
     def store(name: str, df: DataFrame) -> DataFrame:
         table = lake.table("gold", name)
         table.overwrite(df)
         return table.read()
 
-    # The one join of orders with returns, written once and summed three ways.
-    refunds = store("order_refunds", S.refunds_on_orders(orders, returns))
-    daily = store("daily_sales_summary", S.revenue_by(orders, refunds, "order_date", True))
-    store("monthly_sales_summary", S.monthly_from_daily(daily))
-    by_customer = store(
-        "customer_revenue_summary", S.revenue_by(orders, refunds, "customer_id", True)
-    )
-    store("customer_sales_summary", by_customer.select("customer_id", *SALES))
-    by_product = store(
-        "product_revenue_summary",
-        S.revenue_by(orders, S.own_product(refunds), "product_id", True),
-    )
-    store("product_sales_summary", by_product.select("product_id", *SALES))
-    store(
-        "promotion_product_summary",
-        S.promotion_products(silver["promotions"], silver["products"]),
+    def summarize_orders() -> None:
+        # Silver is unique by these keys, so the facts are, and counting rows counts orders.
+        orders, returns = together(
+            lambda: upsert_gold(
+                lake, "fact_orders", star.fact_orders(silver["orders"]), ["order_id"]
+            ),
+            lambda: upsert_gold(
+                lake, "fact_returns", star.fact_returns(silver["returns"]), ["return_id"]
+            ),
+        )
+        # The one join of orders with returns, written once and summed three ways.
+        refunds = store("order_refunds", S.refunds_on_orders(orders, returns))
+        together(
+            lambda: by_day(orders, refunds),
+            lambda: by_entity(orders, refunds, "customer"),
+            lambda: by_entity(orders, S.own_product(refunds), "product"),
+        )
+
+    def by_day(orders: DataFrame, refunds: DataFrame) -> None:
+        daily = store("daily_sales_summary", S.revenue_by(orders, refunds, "order_date", True))
+        store("monthly_sales_summary", S.monthly_from_daily(daily))
+
+    def by_entity(orders: DataFrame, refunds: DataFrame, entity: str) -> None:
+        key = f"{entity}_id"
+        revenue = store(
+            f"{entity}_revenue_summary", S.revenue_by(orders, refunds, key, True)
+        )
+        store(f"{entity}_sales_summary", revenue.select(key, *SALES))
+
+    together(
+        summarize_orders,
+        lambda: merge_customers(lake, silver["customers"], as_of),
+        lambda: upsert_gold(
+            lake, "dim_product", star.dim_product(silver["products"]), ["product_id"]
+        ),
+        lambda: store(
+            "dim_date", star.dim_date(lake.spark.range(1), F.lit(first_day), F.lit(last_day))
+        ),
+        lambda: store(
+            "promotion_product_summary",
+            S.promotion_products(silver["promotions"], silver["products"]),
+        ),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from millrace.operators.ingest_metrics import METRIC_KEY
 from millrace.operators.latest import first_per_key, latest_per_key, latest_snapshot, recency_order
 from millrace.operators.merge import insert_absent, unprocessed_batches, upsert_by_key
 from millrace.operators.quality import assess, dq_metrics, split
+from millrace.plans.together import together
 from millrace.sources.lake import SLICE, Lake, Table, sliced
 
 # Batch ids are metadata, but their number is not bounded by anything but this: more
@@ -31,7 +33,7 @@ class Silver:
     lake: Lake
     dataset: Dataset
     environment: str
-    buckets: int = 8
+    buckets: int = 32
 
     @property
     def bronze(self) -> Table:
@@ -74,23 +76,26 @@ def quarantine_rows(silver: Silver, invalid: DataFrame, batches: list[str]) -> N
 def upsert_silver(silver: Silver, valid: DataFrame) -> None:
     """Bring valid rows into silver; what is newer there already stays.
 
-    Both sides are unique per key by then, so hashing them by bucket is even, and the same
-    exchange serves the deduplication and the file layout.
+    Incoming rows are made unique first, so both sides are unique per key, hashing them
+    by bucket is even, and one exchange serves the comparison and the file layout.
     """
     keys, table = list(silver.dataset.key), silver.table
     touched = [r[0] for r in valid.select(silver.bucket()).distinct().collect()]  # <= buckets
     if not touched and table.exists():
         return
-    rows = transform(valid, silver.dataset, silver.environment)
+    incoming = transform(valid, silver.dataset, silver.environment)
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        return sliced(rows, silver.bucket()).repartition(SLICE)
+
     stored = table.slices() if table.exists() else []
+    if not stored:
+        table.overwrite(by_bucket(incoming))
+        return
     same_cut = all(s.endswith(f"-of-{silver.buckets}") for s in stored)
-    if stored:
-        rows = table.read(touched if same_cut else None).unionByName(rows, True)
-    order = recency_order(rows, keys)
-    merged = first_per_key(
-        sliced(rows, silver.bucket()).repartition(SLICE), [SLICE, *keys], order
-    )
-    if same_cut and stored:
+    rows = table.read(touched if same_cut else None).unionByName(incoming, True)
+    merged = first_per_key(by_bucket(rows), [SLICE, *keys], recency_order(rows, keys))
+    if same_cut:
         table.replace_slices(merged, touched)
     else:
         table.overwrite(merged)
@@ -133,17 +138,17 @@ def run_incremental(silver: Silver) -> list[str]:
             rows = bronze.filter(F.col("_batch_id").isin(wave))
             assessed = assess(rows, silver.dataset.required, silver.dataset.rules)
             valid, invalid = split(assessed)
-            record_metrics(
-                silver,
-                dq_metrics(
-                    assessed,
-                    silver.environment,
-                    silver.dataset.name,
-                    silver.dataset.dq_alert_percent,
-                ),
+            metrics = dq_metrics(
+                assessed,
+                silver.environment,
+                silver.dataset.name,
+                silver.dataset.dq_alert_percent,
+            )
+            together(
+                partial(upsert_silver, silver, valid),
+                partial(quarantine_rows, silver, invalid, wave),
+                partial(record_metrics, silver, metrics),
             )
-            quarantine_rows(silver, invalid, wave)
-            upsert_silver(silver, valid)
             mark_processed(silver, wave)
             done += wave
         if len(wave) < BATCHES_PER_WAVE:

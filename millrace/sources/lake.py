@@ -104,6 +104,9 @@ class Table:
         stored = {}
         if self.exists():
             known = self.schema()
+            for f in schema.fields:
+                if f.name in known.fieldNames() and known[f.name].dataType != f.dataType:
+                    raise ValueError(f"{self.path}: type of column {f.name!r} changed")
             fresh = [f for f in schema.fields if f.name not in known.fieldNames()]
             schema = T.StructType(known.fields + fresh)
             stored = self._located()

@@ -584,7 +584,7 @@ def oracles() -> dict[str, str]:
              {day_parts('CAST(o_orderdate AS DATE)')},
              CAST(o_orderdate AS DATE) - 1 AS day_before FROM orders"""
     out["fn_string"] = """
-      SELECT p_partkey, trim('  ' || p_name || ' ') AS trimmed, length(p_name) AS name_length,
+      SELECT p_partkey, trim('  ' || p_name || ' ') AS trimmed, CAST(length(p_name) AS INTEGER) AS name_length,
              regexp_matches(p_name, '^(red|blue) ') AS red_or_blue,
              concat_ws('; ', p_brand, CASE WHEN p_size > 25 THEN p_type END) AS joined
       FROM part"""
@@ -598,7 +598,7 @@ def oracles() -> dict[str, str]:
            FROM ds_lines"""
     )
     out["fn_array"] = D(
-        """SELECT promotion_id, len(reasons) AS reason_count,
+        """SELECT promotion_id, CAST(len(reasons) AS INTEGER) AS reason_count,
              array_to_string(reasons, '; ') AS reasons
            FROM (SELECT promotion_id, list_filter(
                [CASE WHEN discount_percent > 100 THEN 'too high' END,

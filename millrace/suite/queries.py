@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +39,14 @@ from millrace.plans.reprocess import identity, reprocess_batch
 from millrace.plans.run_log import logged, read_run_log
 from millrace.plans.silver import (
     Silver,
-    mark_processed,
     quarantine_rows,
     run_incremental,
+    run_silver,
     run_snapshot,
     transform,
 )
 from millrace.plans.snapshot import ingest_snapshot
+from millrace.plans.together import together
 from millrace.session import scratch_dir
 from millrace.sources import supplied as src
 from millrace.sources.lake import Lake, sliced
@@ -384,8 +387,6 @@ def unprocessed_batches_(spark, sf):
 @query
 def metrics_upsert(spark, sf):
     """Later batches are measured again, under fewer required columns."""
-    from dataclasses import replace
-
     relaxed = replace(CUSTOMERS, required=("customer_id", "email"))
     again = customer_metrics(spark, sf, relaxed).filter("batch_id > 'customers_199706'")
     merged = upsert_by_key(customer_metrics(spark, sf), again, METRIC_KEY, source_is_unique=True)
@@ -570,8 +571,6 @@ def silver_snapshot(spark, sf):
 @query
 def reprocess_quarantine(spark, sf):
     """One batch of all customers, checked again once the segment is no longer required."""
-    from dataclasses import replace
-
     lake = new_lake(spark, "reprocess")
     strict = Silver(lake, CUSTOMERS, ENVIRONMENT)
     batch = "customers_all"
@@ -651,13 +650,21 @@ def run_log(spark, sf):
 
 @query
 def qa_suite(spark, sf):
-    lake = filled_lake(spark, sf, "qa")
-    for name, frame in src.FRAMES.items():
-        lake.table("bronze", name).overwrite(frame(spark, sf))
-    lake.table("silver", "clickstream").overwrite(src.clickstream(spark, sf))
-    lake.table("monitoring", "silver_dq_metrics/customers").overwrite(
-        customer_metrics(spark, sf)
-    )
+    """All checks after every dataset went through bronze, silver and gold."""
+    lake = new_lake(spark, "qa")
+
+    def through_silver(name: str) -> None:
+        rows = src.FRAMES[name](spark, sf)
+        silver = Silver(lake, DATASETS[name], ENVIRONMENT)
+        silver.bronze.overwrite(
+            rows.withColumns(
+                {"_load_date": F.lit(DAY_ONE), "_environment": F.lit(ENVIRONMENT)}
+            )
+        )
+        run_silver(silver)
+
+    together(*[partial(through_silver, name) for name in DATASETS])
+    build_gold(lake, DAY_ONE)
     return run_qa(lake).select("layer", "test_name", "status", "actual", "expected")
 
 

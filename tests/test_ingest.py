@@ -1,0 +1,165 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.datasets import DATASETS
+from millrace.operators.ingest_metrics import ingestion_metrics
+from millrace.plans.snapshot import ingest_snapshot
+from millrace.sources.csv_drops import read_drops, text_schema, with_corrupt_record
+from millrace.streaming.bronze import ingest_stream, micro_batch_writer
+
+ORDERS = DATASETS["orders"]
+HEADER = ",".join(ORDERS.columns)
+GOOD = "o1,c1,p1,2024-01-02,3,9.5,,CARD,DONE"
+BAD_DATE = "o2,c1,p1,2024-13-45,3,9.5,0.5,CARD,DONE"
+BAD_INT = "o3,c1,p1,2024-01-02,three,9.5,x,CARD,DONE"
+SHORT = "o4,c1"
+LONG = "o5,c1,p1,2024-01-02,3,9.5,0.5,CARD,DONE,more"
+NO_KEY = ",c1,p1,2024-01-02,3,9.5,0.5,CARD,DONE"
+
+
+def drop(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join([HEADER, *lines]) + "\n")
+
+
+def metrics_rows(lake, name):
+    return {
+        (r["batch_id"], r["micro_batch_id"]): r
+        for r in lake.table("monitoring", f"bronze_ingestion_metrics/{name}").read().collect()
+    }
+
+
+def test_corrupt_column_is_added_once():
+    schema = with_corrupt_record(ORDERS.schema)
+    assert with_corrupt_record(schema) == schema
+    assert {f.dataType.simpleString() for f in text_schema(schema)} == {"string"}
+
+
+def test_malformed_lines(spark, lake, tmp_path):
+    drops = tmp_path / "drops"
+    drop(drops, "a.csv", GOOD, BAD_DATE, BAD_INT, SHORT, LONG, NO_KEY)
+    ingest_stream(lake, ORDERS, str(drops), str(tmp_path / "cp"), "test", "orders_1")
+    bronze = lake.table("bronze", "orders").read()
+    rows = {r["order_id"]: r for r in bronze.collect()}
+
+    assert rows["o1"]["_corrupt_record"] is None and rows["o1"]["_rescued_data"] is None
+    assert (rows["o1"]["order_date"], rows["o1"]["quantity"]) == (dt.date(2024, 1, 2), 3)
+    assert rows["o1"]["discount_amount"] is None
+
+    assert rows["o2"]["order_date"] is None and rows["o2"]["_corrupt_record"] is None
+    rescued = json.loads(rows["o2"]["_rescued_data"])
+    assert rescued.pop("_file_path").endswith("a.csv")
+    assert rescued == {"order_date": "2024-13-45"}
+    rescued = json.loads(rows["o3"]["_rescued_data"])
+    assert (rescued["quantity"], rescued["discount_amount"]) == ("three", "x")
+
+    assert (rows["o4"]["_corrupt_record"], rows["o4"]["_rescued_data"]) == (SHORT, None)
+    assert rows["o5"]["_corrupt_record"] == LONG
+    assert rows[None]["_corrupt_record"] is None  # keys are the quality checks' business
+
+    assert rows["o1"]["_source_file"].endswith("a.csv")
+    assert rows["o1"]["_load_date"] == rows["o1"]["_ingestion_timestamp"].date()
+    assert (rows["o1"]["_batch_id"], rows["o1"]["_environment"]) == ("orders_1", "test")
+
+    (m,) = metrics_rows(lake, "orders").values()
+    assert (m["total_records"], m["rescued_records"], m["corrupt_records"]) == (6, 2, 2)
+    assert m["ingestion_status"] == "ALERT"
+
+
+def test_stream_takes_each_file_once(spark, lake, tmp_path, rows):
+    drops, checkpoint = tmp_path / "drops", str(tmp_path / "cp")
+    drop(drops, "a.csv", GOOD)
+    drop(drops, "b.csv", BAD_DATE)
+    ingest_stream(lake, ORDERS, str(drops), checkpoint, "test", "orders_1", 1)
+    drop(drops, "c.csv", NO_KEY)
+    ingest_stream(lake, ORDERS, str(drops), checkpoint, "test", "orders_2", 1)
+    ingest_stream(lake, ORDERS, str(drops), checkpoint, "test", "orders_3", 1)
+    bronze = lake.table("bronze", "orders")
+    assert rows(bronze.read(), "order_id", "_batch_id") == [
+        (None, "orders_2"), ("o1", "orders_1"), ("o2", "orders_1"),
+    ]
+    assert bronze.slices() == ["mb-0", "mb-1", "mb-2"]
+    assert set(metrics_rows(lake, "orders")) == {
+        ("orders_1", 0), ("orders_1", 1), ("orders_2", 2),
+    }
+
+
+def test_a_retried_micro_batch_replaces_itself(spark, lake):
+    def batch(batch_id, *keys):
+        return spark.createDataFrame(
+            [(k, batch_id) for k in keys], "order_id string, _batch_id string"
+        )
+
+    micro_batch_writer(lake, ORDERS, "test", "orders_1")(batch("orders_1", "a", "b"), 0)
+    micro_batch_writer(lake, ORDERS, "test", "orders_1")(batch("orders_1", "c"), 1)
+    # the job died before the checkpoint moved on; the restart has a new batch id
+    micro_batch_writer(lake, ORDERS, "test", "orders_2")(batch("orders_2", "c"), 1)
+    bronze = lake.table("bronze", "orders").read()
+    assert sorted((r[0], r[1]) for r in bronze.collect()) == [
+        ("a", "orders_1"), ("b", "orders_1"), ("c", "orders_2"),
+    ]
+    assert set(metrics_rows(lake, "orders")) == {("orders_1", 0), ("orders_2", 1)}
+
+
+def test_a_failing_stream_writes_nothing_and_recovers(spark, lake, tmp_path, monkeypatch):
+    drops, checkpoint = tmp_path / "drops", str(tmp_path / "cp")
+    drop(drops, "a.csv", GOOD)
+    import millrace.streaming.bronze as module
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "ingestion_metrics", broken)
+    with pytest.raises(Exception, match="lost"):
+        ingest_stream(lake, ORDERS, str(drops), checkpoint, "test", "orders_1")
+    monkeypatch.undo()
+    ingest_stream(lake, ORDERS, str(drops), checkpoint, "test", "orders_2")
+    assert [r["_batch_id"] for r in lake.table("bronze", "orders").read().collect()] == [
+        "orders_2"
+    ]
+
+
+def test_snapshot_replaces(spark, lake, tmp_path):
+    promotions = DATASETS["promotions"]
+    drops = tmp_path / "drops"
+    drops.mkdir()
+    header = ",".join(promotions.columns)
+    (drops / "a.csv").write_text(f"{header}\nP1,n,p1,2024-01-01,2024-01-05,10,T,ON\nP2,n\n")
+    ingest_snapshot(lake, promotions, str(drops), "test", "promotions_1")
+    (drops / "b.csv").write_text(f"{header}\nP3,n,p1,2024-01-01,2024-01-05,10,T,ON\n")
+    ingest_snapshot(lake, promotions, str(drops), "test", "promotions_2")
+    bronze = lake.table("bronze", "promotions").read()
+    assert sorted(r["promotion_id"] for r in bronze.collect()) == ["P1", "P2", "P3"]
+    assert {r["_batch_id"] for r in bronze.collect()} == {"promotions_2"}
+    m = metrics_rows(lake, "promotions")
+    assert m["promotions_1", -1]["corrupt_records"] == 1
+    assert m["promotions_2", -1]["total_records"] == 3
+    ingest_snapshot(lake, promotions, str(drops), "test", "promotions_2")
+    assert len(metrics_rows(lake, "promotions")) == 2
+
+
+def test_metrics_edges(spark):
+    def measure(df, percent=1.0):
+        return ingestion_metrics(df, "t", "d", "b", 0, percent).first()
+
+    empty = measure(spark.createDataFrame([], "a int"))
+    assert (empty["total_records"], empty["rescued_rate_percent"]) == (0, 0.0)
+    assert empty["ingestion_status"] == "OK"
+    df = spark.createDataFrame(
+        [("{}", None), (" ", ""), (None, "line"), (None, None)],
+        "_rescued_data string, _corrupt_record string",
+    )
+    m = measure(df, 25.0)  # blank technical text does not count; 25 % is not over 25 %
+    assert (m["rescued_records"], m["corrupt_records"], m["ingestion_status"]) == (1, 1, "OK")
+    assert measure(df, 24.9)["ingestion_status"] == "ALERT"
+
+
+def test_pruned_csv_scan_still_sees_corrupt_lines(spark, tmp_path):
+    drops = tmp_path / "drops"
+    drop(drops, "a.csv", GOOD, SHORT)
+    df = read_drops(spark, str(drops), ORDERS).select("order_id", "_corrupt_record")
+    counts = df.agg(F.count("order_id"), F.count("_corrupt_record")).first()
+    assert tuple(counts) == (2, 1)
