@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
@@ -18,14 +19,14 @@ NAMES = ("dev", "staging", "prod")
 class Environment:
     """``root`` must be storage that every executor reaches.
 
-    ``buckets`` is the number of key buckets of each silver table; a bucket should hold
-    about a gigabyte.
+    ``buckets`` is the number of pieces a batch is cut into in the silver table of a
+    dataset, 1 if it names none; a piece should hold about a gigabyte.
     """
 
     name: str
     root: str
     raw_root: str
-    buckets: int = 32
+    buckets: Mapping[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.name not in NAMES:

@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Four decimals; sum() widens this to 28 digits, so 10^13 rows of 10^10 still fit.
-MONEY = "decimal(18,4)"
+# Amounts count in ten-thousandths; whole doubles are exact up to 2^53.
+UNITS = 10_000
+EXACT_BELOW = float(2**53)
+LOW_BITS = 20
 
 
 def exact_sum(name: str) -> Column:
-    """Sum doubles as decimals and return a double.
+    """Sum doubles, each rounded to four decimals, exactly, and return a double.
 
-    Adding doubles gives other last digits for every other partitioning. A group
-    holding a value no decimal can express (NaN, infinity, 10^14 or more) falls
-    back to the plain double sum, so such values still show up in the total.
+    Adding doubles gives other last digits for every other partitioning. Here each amount
+    is a whole number of units, of which the high and low bits are added as two longs:
+    as exact as decimals and several times faster, and a group may hold 2^30 rows of the
+    largest amount. A group with more than that, or with an amount that has no exact
+    number of units (NaN, infinity, about 10^12 or more), gets the plain double sum.
     """
-    value = F.col(name)
-    as_money = value.try_cast(MONEY)
-    all_fit = F.bool_and(value.isNull() | as_money.isNotNull())
-    return F.when(all_fit, F.sum(as_money).cast("double")).otherwise(F.sum(value))
+    amount = F.col(name)
+    units = F.rint(amount * F.lit(float(UNITS)))
+    exact = F.abs(units) < F.lit(EXACT_BELOW)
+    whole = F.when(exact, units.cast("bigint"))
+    high = F.try_sum(F.shiftright(whole, LOW_BITS))
+    low = F.sum(whole.bitwiseAND(F.lit(2**LOW_BITS - 1)))
+    total = high.cast("decimal(38,0)") * F.lit(2**LOW_BITS) + low
+    all_exact = F.bool_and(amount.isNull() | exact) & (high.isNotNull() | low.isNull())
+    return F.when(all_exact, (total / F.lit(UNITS)).cast("double")).otherwise(F.sum(amount))

@@ -51,10 +51,14 @@ def bronze_job(
     return batch_id
 
 
+def _silver(env: Environment, lake: Lake, name: str) -> Silver:
+    return Silver(lake, dataset(name), env.name, env.buckets.get(name, 1))
+
+
 def silver_job(spark: SparkSession, env: Environment, name: str, **ids) -> None:
     lake = env.lake(spark)
     with _step(env, lake, "silver", name, ids):
-        run_silver(Silver(lake, dataset(name), env.name, env.buckets))
+        run_silver(_silver(env, lake, name))
 
 
 def gold_job(
@@ -70,7 +74,7 @@ def reprocess_job(
 ) -> dict:
     lake = env.lake(spark)
     with _step(env, lake, "reprocess", name, ids):
-        return reprocess_batch(Silver(lake, dataset(name), env.name, env.buckets), batch_id)
+        return reprocess_batch(_silver(env, lake, name), batch_id)
 
 
 def qa_job(

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from millrace.datasets import Dataset
 from millrace.operators.columns import stamp_quarantine, stamp_silver, standardize_columns
 from millrace.operators.ingest_metrics import METRIC_KEY
-from millrace.operators.latest import first_per_key, latest_per_key, latest_snapshot, recency_order
-from millrace.operators.merge import insert_absent, unprocessed_batches, upsert_by_key
+from millrace.operators.latest import latest_per_key, latest_snapshot
+from millrace.operators.merge import (
+    insert_absent,
+    unprocessed_batches,
+    upsert_by_key,
+    upsert_latest,
+)
 from millrace.operators.quality import assess, dq_metrics, split
 from millrace.plans.together import together
-from millrace.sources.lake import SLICE, Lake, Table, sliced
+from millrace.sources.lake import SLICE, Lake, Table, gathered
 
 # Batch ids are metadata, but their number is not bounded by anything but this: more
 # pending batches than one wave holds are taken in several waves.
@@ -26,14 +31,16 @@ BATCHES_PER_WAVE = 10_000
 class Silver:
     """One dataset's silver tables.
 
-    ``buckets`` cuts the silver table by key hash: an upsert rewrites only the buckets
-    its keys fall into. Choose it so that one bucket is about a gigabyte.
+    The silver table is cut by the batch a row came with, and each batch by key hash into
+    ``buckets``. An upsert rewrites only the pieces it touches: new keys go to the pieces
+    of their own batch, changed keys leave the piece they were in. Choose ``buckets`` so
+    that a piece of a usual batch is about a gigabyte.
     """
 
     lake: Lake
     dataset: Dataset
     environment: str
-    buckets: int = 32
+    buckets: int = 1
 
     @property
     def bronze(self) -> Table:
@@ -55,9 +62,11 @@ class Silver:
     def metrics(self) -> Table:
         return self.lake.table("monitoring", f"silver_dq_metrics/{self.dataset.name}")
 
-    def bucket(self) -> Column:
+    def piece(self) -> Column:
+        """The slice a row belongs to, a function of its batch and key."""
+        batch = F.coalesce("_batch_id", F.lit("none"))
         number = F.pmod(F.xxhash64(*self.dataset.key), F.lit(self.buckets))
-        return F.concat(number.cast("string"), F.lit(f"-of-{self.buckets}"))
+        return F.concat(batch, F.lit("~"), number.cast("string"), F.lit(f"-of-{self.buckets}"))
 
 
 def transform(valid: DataFrame, dataset: Dataset, environment: str) -> DataFrame:
@@ -69,36 +78,38 @@ def transform(valid: DataFrame, dataset: Dataset, environment: str) -> DataFrame
 
 def quarantine_rows(silver: Silver, invalid: DataFrame, batches: list[str]) -> None:
     """Replace the quarantined rows of the given batches, so that a rerun adds nothing."""
-    rows = sliced(stamp_quarantine(invalid), F.col("_batch_id"))
+    rows = gathered(stamp_quarantine(invalid), F.col("_batch_id"))
     silver.quarantine.replace_slices(rows, batches)
 
 
-def upsert_silver(silver: Silver, valid: DataFrame) -> None:
-    """Bring valid rows into silver; what is newer there already stays.
+def touched_pieces(silver: Silver, stored: DataFrame, valid: DataFrame) -> list[str]:
+    """Pieces that hold a key of ``valid`` now or will; at most all pieces there are.
 
-    Incoming rows are made unique first, so both sides are unique per key, hashing them
-    by bucket is even, and one exchange serves the comparison and the file layout.
+    Only keys and batch ids are read, and stored keys are matched against incoming ones
+    without shuffling the former if the latter are few enough to broadcast.
     """
-    keys, table = list(silver.dataset.key), silver.table
-    touched = [r[0] for r in valid.select(silver.bucket()).distinct().collect()]  # <= buckets
-    if not touched and table.exists():
-        return
-    incoming = transform(valid, silver.dataset, silver.environment)
+    keys = list(silver.dataset.key)
+    narrow = [*keys, "_batch_id"]
+    held = stored.select(*narrow).join(valid.select(*keys), keys, "left_semi")
+    pieces = valid.select(*narrow).unionByName(held).select(silver.piece().alias(SLICE))
+    return sorted(r[0] for r in pieces.distinct().collect())
 
-    def by_bucket(rows: DataFrame) -> DataFrame:
-        return sliced(rows, silver.bucket()).repartition(SLICE)
 
-    stored = table.slices() if table.exists() else []
-    if not stored:
-        table.overwrite(by_bucket(incoming))
+def upsert_silver(silver: Silver, valid: DataFrame) -> None:
+    """Bring valid rows into silver; what is newer there already stays."""
+    table = silver.table
+    incoming = transform(valid, silver.dataset, silver.environment)
+    if not table.exists():
+        table.overwrite(gathered(incoming, silver.piece()))
         return
-    same_cut = all(s.endswith(f"-of-{silver.buckets}") for s in stored)
-    rows = table.read(touched if same_cut else None).unionByName(incoming, True)
-    merged = first_per_key(by_bucket(rows), [SLICE, *keys], recency_order(rows, keys))
-    if same_cut:
-        table.replace_slices(merged, touched)
-    else:
-        table.overwrite(merged)
+    if not all(s.endswith(f"-of-{silver.buckets}") for s in table.slices()):
+        merged = upsert_latest(table.read(), incoming, silver.dataset.key)
+        table.overwrite(gathered(merged, silver.piece()))
+        return
+    touched = touched_pieces(silver, table.read(), standardize_columns(valid))
+    if touched:
+        merged = upsert_latest(table.read(touched), incoming, silver.dataset.key)
+        table.replace_slices(gathered(merged, silver.piece()), touched)
 
 
 def record_metrics(silver: Silver, metrics: DataFrame) -> None:
@@ -182,7 +193,7 @@ def run_snapshot(silver: Silver, delete_missing: bool = False) -> None:
     quarantine_rows(silver, invalid, [r["_batch_id"] for r in ids])
     if delete_missing:
         current = transform(valid, dataset, silver.environment)
-        silver.table.overwrite(sliced(current, silver.bucket()).repartition(SLICE))
+        silver.table.overwrite(gathered(current, silver.piece()))
     else:
         upsert_silver(silver, latest_snapshot(valid, dataset.key))
 

@@ -1,4 +1,4 @@
-"""Session for tests, the bench and local runs. A cluster brings its own."""
+"""Sessions, their sizing, and scratch space."""
 
 from __future__ import annotations
 
@@ -9,7 +9,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Fit the session's shuffles to the largest input of a job.
+
+    Adaptive execution merges shuffle partitions but never adds any, so their number has
+    to start from the data: Spark's 200 would be half a terabyte each for 100 TB. Beyond
+    ``MOST_PARTITIONS`` the blocks of a shuffle cost more than larger partitions that spill.
+    """
+    wanted = -(-input_bytes // PARTITION_BYTES)
+    cores = spark.sparkContext.defaultParallelism
+    settings = {
+        "spark.sql.shuffle.partitions": min(max(wanted, cores), MOST_PARTITIONS),
+        "spark.sql.files.maxPartitionBytes": PARTITION_BYTES,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARTITION_BYTES,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, str(value))
+
+
 def local_session(cores: int | str = 8, memory: str = "8g", app: str = "millrace") -> SparkSession:
+    """For tests, the bench and trials; a cluster brings its own session."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)

@@ -31,6 +31,15 @@ def sliced(df: DataFrame, by: Column) -> DataFrame:
     return df.withColumn(SLICE, by)
 
 
+def gathered(df: DataFrame, by: Column) -> DataFrame:
+    """Sliced, with each slice's rows brought together into files of a good size.
+
+    Without it, every task writes a file into every slice. The hint lets adaptive
+    execution split a slice that is too large for one task and merge small ones.
+    """
+    return sliced(df, by).hint("rebalance", SLICE)
+
+
 @dataclass(frozen=True)
 class Lake:
     """A root folder with tables addressed by layer and name."""
@@ -85,6 +94,13 @@ class Table:
             .parquet(*sorted(located[s] for s in chosen))
         )
 
+    def bytes(self) -> int:
+        """Stored size of the current rows."""
+        fs = self._fs()
+        return sum(
+            fs.getContentSummary(self._path(p)).getLength() for p in self._located().values()
+        )
+
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 

@@ -132,7 +132,7 @@ def ingest_metadata(spark, sf):
         ENVIRONMENT,
         "customers_20240101",
         F.lit("customers"),
-        dt.datetime(2024, 1, 1),
+        dt.datetime(2024, 1, 1, 12),
     ).drop("_ingestion_timestamp")
 
 

@@ -26,7 +26,7 @@ def test_names():
 
 
 def test_drops_to_qa(spark, tmp_path, rows):
-    env = Environment("dev", str(tmp_path / "root"), str(tmp_path / "raw"), buckets=4)
+    env = Environment("dev", str(tmp_path / "root"), str(tmp_path / "raw"), buckets={"orders": 4})
     lake = env.lake(spark)
     for name, d in DATASETS.items():
         frame = supplied.FRAMES[name](spark, SF).select(*d.columns)

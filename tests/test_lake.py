@@ -72,3 +72,15 @@ def test_tables_of_a_family(spark, lake, rows):
         lake.table("m", f"metrics/{name}").overwrite(spark.createDataFrame([(name,)], "k string"))
     assert rows(lake.tables("m", "metrics", ["a", "b", "absent"])) == [("a",), ("b",)]
     assert lake.tables("m", "nothing", ["a"]) is None
+
+
+def test_shuffles_start_from_the_data(spark, lake):
+    from millrace.session import MOST_PARTITIONS, size_for
+
+    t = lake.table("gold", "t")
+    t.overwrite(spark.range(100000))
+    assert 100000 < t.bytes() < 2000000
+    other = spark.newSession()
+    for size, partitions in ((t.bytes(), 8), (10 * 2**30, 40), (100 * 2**40, MOST_PARTITIONS)):
+        size_for(other, size)
+        assert other.conf.get("spark.sql.shuffle.partitions") == str(partitions)

@@ -93,20 +93,47 @@ def test_waves(spark, silver, rows, monkeypatch):
     assert stored(silver, rows) == [("a", 5), ("z", 1)]
 
 
-def test_only_touched_buckets_are_rewritten(spark, silver, rows):
-    silver.bronze.append(bronze_rows(spark, *[(f"k{i}", 1, 0, "b1") for i in range(40)]))
+def written_last(silver):
+    newest = silver.table._versions()[0]
+    return sorted(silver.table._slice_folders(f"{newest}/_slice=*"))
+
+
+def test_only_touched_pieces_are_rewritten(spark, lake, rows):
+    silver = Silver(lake, ITEMS, "test", buckets=1)
+    silver.bronze.append(
+        bronze_rows(
+            spark, *[(f"k{i}", 1, 0, "b1") for i in range(9)], *[(f"m{i}", 1, 1, "b2") for i in range(9)]
+        )
+    )
     run_incremental(silver)
-    assert len(silver.table.slices()) == 4
-    silver.bronze.append(bronze_rows(spark, ("k7", 2, 1, "b2")))
+    # new keys only: the stored pieces are left alone
+    silver.bronze.append(bronze_rows(spark, ("n", 1, 2, "b3")))
     run_incremental(silver)
-    newest = silver.table._versions()[0]
-    assert len(silver.table._slice_folders(f"{newest}/_slice=*")) == 1
-    assert len(stored(silver, rows)) == 40 and ("k7", 2) in stored(silver, rows)
+    assert written_last(silver) == ["b3~0-of-1"]
+    # a changed key leaves the piece of its old batch
+    silver.bronze.append(bronze_rows(spark, ("k7", 2, 3, "b4")))
+    run_incremental(silver)
+    assert written_last(silver) == ["b1~0-of-1", "b4~0-of-1"]
+    # an older row changes nothing, though its pieces are looked at
+    silver.bronze.append(bronze_rows(spark, ("k7", 9, -3, "b0")))
+    run_incremental(silver)
+    assert written_last(silver) == ["b4~0-of-1"]
+    got = stored(silver, rows)
+    assert len(got) == 19 and ("k7", 2) in got
+
+
+def test_a_piece_may_lose_its_last_row(spark, silver, rows):
+    silver.bronze.append(bronze_rows(spark, ("a", 1, 0, "b1")))
+    run_incremental(silver)
+    silver.bronze.append(bronze_rows(spark, ("a", 2, 1, "b2")))
+    run_incremental(silver)
+    assert stored(silver, rows) == [("a", 2)]
 
 
 def test_another_number_of_buckets(spark, silver, rows):
     silver.bronze.append(bronze_rows(spark, *[(f"k{i}", 1, 0, "b1") for i in range(20)]))
     run_incremental(silver)
+    assert len(silver.table.slices()) == 4
     wider = replace(silver, buckets=7)
     wider.bronze.append(bronze_rows(spark, ("k3", 2, 1, "b2")))
     run_incremental(wider)
