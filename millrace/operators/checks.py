@@ -285,5 +285,29 @@ def check_coverage(
     )
 
 
+def differing_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: how many distinct rows occur more often on one side than on the other.
+
+    Both sides are stacked with opposite signs and added up per row, in one aggregation.
+    """
+    stacked = before.withColumn("_sign", F.lit(1)).unionByName(
+        after.withColumn("_sign", F.lit(-1))
+    )
+    balance = stacked.groupBy(*before.columns).agg(F.sum("_sign").alias("balance"))
+    return balance.agg(F.count_if(F.col("balance") != 0).alias("differing_rows"))
+
+
+def check_unchanged(before: DataFrame, after: DataFrame, layer: str, name: str) -> DataFrame:
+    """A job that ran again over the same input left its output as it was."""
+    return result(
+        differing_rows(before, after),
+        layer,
+        f"{name} idempotency",
+        outcome(F.col("differing_rows") == 0),
+        F.col("differing_rows"),
+        "0",
+    )
+
+
 def summarize(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tests"))

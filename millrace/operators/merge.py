@@ -38,7 +38,7 @@ def upsert_latest(
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add source rows whose key the target lacks; never change a target row."""
-    added = any_per_key(source, keys).join(target.select(*keys), list(keys), "left_anti")
+    added = absent_from(any_per_key(source, keys), target, keys)
     return target.unionByName(added, allowMissingColumns=True)
 
 
@@ -48,8 +48,13 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def absent_from(source: DataFrame, existing: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """Source rows whose identity does not occur in ``existing``."""
-    return source.join(existing.select(*identity), list(identity), "left_anti")
+    """Source rows whose identity does not occur in ``existing``.
+
+    Repeated identities are dropped before the shuffle, as a join would split a hot key
+    of the left side only.
+    """
+    known = existing.select(*identity).distinct()
+    return source.join(known, list(identity), "left_anti")
 
 
 def unprocessed_batches(rows: DataFrame, control: DataFrame | None, dataset: str) -> DataFrame:

@@ -90,7 +90,7 @@ def touched_pieces(silver: Silver, stored: DataFrame, valid: DataFrame) -> list[
     """
     keys = list(silver.dataset.key)
     narrow = [*keys, "_batch_id"]
-    held = stored.select(*narrow).join(valid.select(*keys), keys, "left_semi")
+    held = stored.select(*narrow).join(valid.select(*keys).distinct(), keys, "left_semi")
     pieces = valid.select(*narrow).unionByName(held).select(silver.piece().alias(SLICE))
     return sorted(r[0] for r in pieces.distinct().collect())
 

@@ -21,11 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _technical(source: str, moment: Column, batch_format: str) -> list[Column]:
+def _technical(source: str, moment: Column, daily: bool = False) -> list[Column]:
+    """Batches are months, or days, written as yyyyMM or yyyyMMdd."""
+    batch = F.year(moment) * 100 + F.month(moment)
+    if daily:
+        batch = batch * 100 + F.dayofmonth(moment)
     return [
         moment.cast("timestamp_ntz").alias("_ingestion_timestamp"),
         F.lit(source).alias("_source_file"),
-        F.concat_ws("_", F.lit(source), F.date_format(moment, batch_format)).alias("_batch_id"),
+        F.concat(F.lit(f"{source}_"), batch.cast("string")).alias("_batch_id"),
     ]
 
 
@@ -52,7 +56,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias("country"),
             signup.alias("signup_date"),
             F.when(key % 41 != 0, F.col("c_mktsegment")).alias("customer_segment"),
-            *_technical("customers", signup, "yyyyMM"),
+            *_technical("customers", signup),
         )
     )
 
@@ -66,7 +70,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("brand"),
         F.col("p_retailprice").alias("unit_price"),
         F.lit("USD").alias("currency"),
-        *_technical("products", F.lit("1995-01-01").cast("date"), "yyyyMM"),
+        *_technical("products", F.lit("1995-01-01").cast("date")),
     )
 
 
@@ -96,7 +100,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_returnflag").alias("line_flag"),
             F.col("l_linestatus").alias("line_status"),
             (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("line_value"),
-            *_technical("orders", F.col("l_shipdate"), "yyyyMM"),
+            *_technical("orders", F.col("l_shipdate")),
         )
     )
 
@@ -146,7 +150,7 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("product_id"),
         F.lit(None).cast("string").alias("device_type"),
         F.concat_ws("-", user, F.date_format("ts", "yyyy-MM-dd")).alias("session_id"),
-        *_technical("clickstream", F.col("ts"), "yyyyMMdd"),
+        *_technical("clickstream", F.col("ts"), daily=True),
     )
 
 
@@ -166,7 +170,7 @@ def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
             (size * 11).cast("double").alias("discount_percent"),
             F.col("p_type").alias("promotion_type"),
             F.lit("ACTIVE").alias("status"),
-            *_technical("promotions", F.lit("1996-01-01").cast("date"), "yyyyMM"),
+            *_technical("promotions", F.lit("1996-01-01").cast("date")),
         )
     )
 

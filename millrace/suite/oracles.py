@@ -566,6 +566,19 @@ def oracles() -> dict[str, str]:
         """SELECT count(*) AS fact_rows, count(DISTINCT product_id) AS missing_keys FROM fact
            WHERE product_id NOT IN (SELECT product_id FROM ds_promotions)"""
     )
+    versions = f"{CUSTOMER_COLUMNS}, effective_start_date, effective_end_date, is_current"
+    day_one = f"""SELECT {CUSTOMER_COLUMNS}, DATE '2024-01-01' AS effective_start_date,
+      DATE '9999-12-31' AS effective_end_date, true AS is_current FROM first_day"""
+    changes = f"""(SELECT count(*) FROM (
+      (SELECT {versions} FROM dim EXCEPT {day_one}) UNION ALL
+      ({day_one} EXCEPT SELECT {versions} FROM dim)))"""
+    out["qa_idempotency"] = D(
+        check_row("GOLD", "dim_customer idempotency", "'PASS'", "0", "0")
+        + " UNION ALL "
+        + check_row("GOLD", "dim_customer day one idempotency",
+                    f"CASE WHEN {changes} = 0 THEN 'PASS' ELSE 'FAIL' END", changes, "0"),
+        SCD2_SQL,
+    )
     out["qa_summary"] = D(
         f"""SELECT status, count(*) AS tests FROM (
               SELECT CASE WHEN {DUPLICATES} = 0 THEN 'PASS' ELSE 'FAIL' END AS status

@@ -720,6 +720,17 @@ def qa_dimension_coverage(spark, sf):
     return checks.uncovered(orders_fact(spark, sf), src.promotions(spark, sf), "product_id")
 
 
+@query
+def qa_idempotency(spark, sf):
+    """Customers merged a second time change nothing; merged before they moved, they do."""
+    final, moved_rows = history(spark, sf), moved(spark, sf)
+    again = scd2.scd2_merge(final, moved_rows, DAY_TWO)
+    before = scd2.scd2_merge(None, first_day(spark, sf), DAY_ONE)
+    return checks.check_unchanged(final, again, "GOLD", "dim_customer").unionByName(
+        checks.check_unchanged(before, final, "GOLD", "dim_customer day one")
+    )
+
+
 @query
 def qa_summary(spark, sf):
     raw, promotions = src.raw_orders(spark, sf), src.promotions(spark, sf)

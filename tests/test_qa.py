@@ -88,3 +88,11 @@ def test_missing_columns_fail(spark, lake):
     got = {r["test_name"]: r for r in run_qa(lake).collect()}
     assert got["bronze.customers required columns"]["status"] == "FAIL"
     assert "email" in got["bronze.customers required columns"]["details"]
+
+
+def test_unchanged_counts_copies(spark):
+    one = spark.createDataFrame([("a", None), ("b", 1), ("b", 1)], "k string, n int")
+    assert status(checks.check_unchanged(one, one.orderBy("k"), "L", "t")) == "PASS"
+    fewer = one.distinct()
+    changed = checks.check_unchanged(one, fewer, "L", "t").first()
+    assert (changed["status"], changed["actual"]) == ("FAIL", "1")
