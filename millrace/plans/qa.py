@@ -93,7 +93,9 @@ def run_qa(lake: Lake, promotions_expected: int = PROMOTIONS_EXPECTED) -> DataFr
         ("fact_returns", "dim_product", "product_id"),
     ):
         if fact in gold and dim in gold:
-            frames.append(C.check_coverage(gold[fact], gold[dim], key, "GOLD", f"gold.{dim}"))
+            frames.append(
+                C.check_coverage(gold[fact], gold[dim], key, "GOLD", f"gold.{dim} for {fact}")
+            )
 
     return reduce(DataFrame.unionByName, frames, C.schema_results(lake.spark, facts))
 

@@ -53,14 +53,17 @@ def log_run(
 
 @contextmanager
 def logged(lake: Lake, environment: str, **step):
-    """Log the enclosed step as SUCCESS, or as FAILED with its error, which goes on."""
-    started = _now()
+    """Log the enclosed step as SUCCESS, or as FAILED with its error, which goes on.
+
+    The step may report its size by setting ``rows_processed`` in the dict it is given.
+    """
+    started, report = _now(), {"rows_processed": 0}
     try:
-        yield
+        yield report
     except Exception as error:
-        log_run(lake, environment, step, "FAILED", started, error=error)
+        log_run(lake, environment, step, "FAILED", started, report["rows_processed"], error)
         raise
-    log_run(lake, environment, step, "SUCCESS", started)
+    log_run(lake, environment, step, "SUCCESS", started, report["rows_processed"])
 
 
 def read_run_log(lake: Lake) -> DataFrame:

@@ -257,6 +257,51 @@ DUPLICATES = "(SELECT count(*) FROM (SELECT 1 FROM ds_lines GROUP BY order_id HA
 SILVER_RULE = "quantity < 50"
 
 
+def qa_suite_sql() -> str:
+    """Every check of the suite by name; the data decides those that may not pass."""
+    datasets = ("customers", "products", "orders", "clickstream", "returns", "promotions")
+    every_bronze = ("exists", "required columns", "non-empty", "technical ingestion quality")
+    every_silver = ("exists", "required columns", "non-empty", "business-key uniqueness")
+    every_gold = ("exists", "non-empty", "business-key uniqueness")
+    passing = [("BRONZE", f"bronze.{d} {t}") for d in datasets for t in every_bronze]
+    passing += [("SILVER", f"silver.{d} {t}") for d in datasets for t in every_silver]
+    passing += [
+        ("SILVER", f"DQ latest status: {d}")
+        for d in ("products", "orders", "clickstream", "returns")
+    ]
+    passing += [
+        ("GOLD", f"gold.{d} {t}")
+        for d in ("dim_customer", "dim_product", "fact_orders", "fact_returns")
+        for t in every_gold
+    ]
+    passing += [
+        ("GOLD", "gold.dim_customer SCD2 current-row integrity"),
+        ("GOLD", "gold.customer_sales_summary reconciles to the fact"),
+        ("GOLD", "gold.dim_product for fact_orders covers product_id"),
+        ("GOLD", "gold.dim_product for fact_returns covers product_id"),
+    ]
+    listed = ", ".join(f"('{layer}', '{name}', 'PASS')" for layer, name in passing)
+    latest = " UNION ALL ".join(
+        f"""SELECT 'SILVER', 'DQ latest status: {name}',
+              CASE WHEN arg_max(dq_status, batch_id) = 'ALERT' THEN 'WARN' ELSE 'PASS' END
+            FROM ({CUSTOMER_METRICS_SQL.format(assessed=assessed, threshold='1.0')})"""
+        for name, assessed in (
+            ("customers", CUSTOMERS_ASSESSED),
+            ("promotions", reasons("ds_promotions", "*", *PROMOTION_TESTS)),
+        )
+    )
+    return f"""
+      SELECT * FROM (VALUES {listed}) AS t(layer, test_name, status)
+      UNION ALL SELECT 'BRONZE', 'bronze.promotions row count',
+        CASE WHEN count(*) = 200 THEN 'PASS' ELSE 'WARN' END FROM ds_promotions
+      UNION ALL {latest}
+      UNION ALL SELECT 'GOLD', 'gold.dim_customer for fact_orders covers customer_id',
+        CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
+        WHERE customer_id NOT IN (SELECT customer_id FROM ({CUSTOMERS_ASSESSED})
+                                  WHERE _quality_status = 'VALID')
+    """
+
+
 def oracles() -> dict[str, str]:
     D = with_datasets
     out: dict[str, str] = {}
@@ -510,7 +555,17 @@ def oracles() -> dict[str, str]:
         + " UNION ALL SELECT 'dim_date', CAST(DATE '2030-12-31' - DATE '2020-01-01' + 1 AS BIGINT)"
     )
 
+    out["run_log"] = """
+      SELECT 'test' AS environment, 'gold' AS task_key, 'dim_product' AS cell_name,
+             'orders' AS dataset, 'SUCCESS' AS status, count(*) AS rows_processed,
+             CAST(NULL AS VARCHAR) AS error_type, CAST(NULL AS VARCHAR) AS error_message
+      FROM part
+      UNION ALL
+      SELECT 'test', 'gold', 'required columns', 'orders', 'FAILED', 0, 'ValueError',
+             'missing required columns: [''discount'']'"""
+
     # QA.
+    out["qa_suite"] = D(qa_suite_sql())
     out["latest_dq_status"] = D(
         f"""SELECT dataset, batch_id, dq_failure_rate_percent, dq_status FROM (
               SELECT * FROM ({CUSTOMER_METRICS_SQL.format(
