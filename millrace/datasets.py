@@ -221,6 +221,3 @@ STRICT_GATE: dict[str, Dataset] = {
         dq_alert_percent=10.0,
     ),
 }
-
-# Environments and their catalog prefix are chosen by the caller, layers are not.
-LAYERS = ("bronze", "silver", "silver_quarantine", "gold", "monitoring")

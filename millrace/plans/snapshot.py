@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from millrace.datasets import Dataset
 from millrace.operators.ingest_metrics import METRIC_KEY, ingestion_metrics
 from millrace.operators.merge import upsert_by_key

@@ -412,7 +412,9 @@ def oracles() -> dict[str, str]:
     out["dq_metrics_gate"] = D(CUSTOMER_METRICS_SQL.format(assessed=gate, threshold="10.0"))
 
     # One row per key.
-    out["dedup_latest"] = D(latest_orders(columns=ORDER_COLUMNS + ", _ingestion_timestamp, _batch_id"))
+    out["dedup_latest"] = D(
+        latest_orders(columns=ORDER_COLUMNS + ", _ingestion_timestamp, _batch_id")
+    )
     out["latest_snapshot"] = D(
         """SELECT customer_id, max(event_timestamp) AS event_timestamp,
              max_by(event_type, (event_timestamp, -CAST(event_id AS BIGINT))) AS event_type
@@ -652,7 +654,8 @@ def oracles() -> dict[str, str]:
              {day_parts('CAST(o_orderdate AS DATE)')},
              CAST(o_orderdate AS DATE) - 1 AS day_before FROM orders"""
     out["fn_string"] = """
-      SELECT p_partkey, trim('  ' || p_name || ' ') AS trimmed, CAST(length(p_name) AS INTEGER) AS name_length,
+      SELECT p_partkey, trim('  ' || p_name || ' ') AS trimmed,
+             CAST(length(p_name) AS INTEGER) AS name_length,
              regexp_matches(p_name, '^(red|blue) ') AS red_or_blue,
              concat_ws('; ', p_brand, CASE WHEN p_size > 25 THEN p_type END) AS joined
       FROM part"""
