@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, secrets, simhash, url_filter
+from millrace.llm import (
+    html_text,
+    mixing,
+    packing,
+    quality_rules,
+    secrets,
+    sentence_spans,
+    simhash,
+    spotsigs,
+    suffix_dedup,
+    url_filter,
+)
 from millrace.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,16 +37,36 @@ def op1_pareto_mix(spark, sf):
     )
 
 
+@query
+def op2_hilbert_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
 @query
 def op3_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), url_filter.labelled_urls(spark))
 
 
+@query
+def op4_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op5_line_blocks(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
+@query
+def op6_sentence_spans(spark, sf):
+    return sentence_spans.remove_repeated_spans(table(spark, sf, "documents"))
+
+
+@query
+def op7_spotsigs(spark, sf):
+    return spotsigs.compare_edits(table(spark, sf, "documents"))
+
+
 @query
 def op8_secret_scan(spark, sf):
     found = secrets.secret_spans(table(spark, sf, "documents"))
@@ -60,6 +91,14 @@ def op9_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op10_suffix_dedup(spark, sf):
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

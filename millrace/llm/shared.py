@@ -76,3 +76,20 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
     first = steps[0].select(F.col("a").alias("node"), F.col("to").alias("component"))
     return reduce(follow, steps[1:], first)
+
+
+def let(value, body):
+    """``body`` of ``value``, which is evaluated once however often ``body`` and its lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def keyed(docs: DataFrame, purpose: str) -> DataFrame:
+    """(key, doc_id, text) for every row; ``key`` is one row's own, so that joins find back to it.
+
+    It is doc_id where ids are there and differ; else rows are numbered in a stored copy.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+    if counts["n"] == counts["ids"]:
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
+    return stored(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), purpose)
