@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import WORD, stored
+from millrace.llm.shared import WORD, stored, whole_row
 
 #: Weights of the sources in code point order, repeating; null comes last.
 WEIGHTS = (3, 1, 2)
@@ -164,15 +164,13 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     Rows are told apart by doc_id, source and size. A document without words has no copies.
     """
     wanted = mix(docs, **settings).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    wanted = stored(wanted, "mix-copies").select(
-        F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "copies"
-    )
+    wanted = stored(wanted, "mix-copies")
+    id_, source, size = F.col("doc_id").cast("long"), F.col("source"), word_count()
+    rows = docs.select(whole_row(docs).alias("row"), id_.alias("of_id"), source.alias("of_source"), size.alias("of_size"))
     same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("of_id"))
-        & F.col("source").eqNullSafe(F.col("of_source"))
-        & (word_count() == F.col("of_size"))
-    )
-    taken = docs.join(wanted, same)
-    return taken.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        *(F.col(c) for c in docs.columns)
+        F.col("of_id").eqNullSafe(F.col("doc_id"))
+        & F.col("of_source").eqNullSafe(F.col("source"))
+        & (F.col("of_size") == F.col("size"))
     )
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return rows.join(wanted, same).select("row", times.alias("nr")).select("row.*")

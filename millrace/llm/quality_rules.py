@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import let, stored, whole_text
+from millrace.llm.shared import let, stored, whole_row, whole_text
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -310,7 +310,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns; measured once, in a stored copy."""
-    name = "__measures__"
-    measured = stored(with_measures(docs, name), "quality-measured")
+    name = "measures"
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    measured = stored(with_measures(rows, name).select("row", "doc_id", name), "quality-measured")
     rules = learn(labelled_measures(measured, labels, name))
-    return measured.where(verdict(F.col(name), first_rule(rules, F.col(name)))).select(*docs.columns)
+    return measured.where(verdict(F.col(name), first_rule(rules, F.col(name)))).select("row.*")

@@ -29,6 +29,11 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct, so that no name of theirs clashes with a working column."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node.
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import components, stored
+from millrace.llm.shared import components, stored, whole_row
 
 BITS = 64
 SHINGLE = 3
@@ -47,6 +47,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_simhashes, "doc_id long, print long")
 
 
+def digits(column: str) -> Column:
+    return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
 def ball(column: str, radius: int) -> Column:
     """All values within ``radius`` differing bits of a long, itself included."""
     values = F.array(F.col(column))
@@ -110,7 +114,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
     )
     return prints.join(by_print, "print").select(
         "doc_id",
-        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        digits("print").alias("fingerprint"),
         "component_id",
     )
 
@@ -118,27 +122,19 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
 def one_per_group(docs: DataFrame, distance: int = 2) -> DataFrame:
     """The rows of ``docs`` with each component's smallest doc_id, once each; all columns stay.
 
-    A row without doc_id stays only if its whole component has none, one row of each such.
+    Rows without doc_id stay only where nobody in their component has one, one of each fingerprint.
     """
-    groups = near_duplicates(docs, distance)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stored(kept, "simhash-kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return named
+    groups = stored(near_duplicates(docs, distance), "simhash-groups")
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "simhash-kept")
+    named = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
     lone = groups.where("component_id is null").select("fingerprint").distinct()
-    prints = F.lower(F.lpad(F.hex("print"), 16, "0"))
-    texts = nameless.select(F.lit(None).cast("long").alias("doc_id"), "text").distinct()
-    # A nameless text is told by its fingerprint: the smallest text of each stays.
-    judged = fingerprints(texts.withColumn("doc_id", F.xxhash64("text"))).select(
-        F.col("doc_id").alias("text_hash"), prints.alias("fingerprint")
-    )
-    chosen = judged.join(lone, "fingerprint", "left_semi").groupBy("fingerprint").agg(
-        F.min("text_hash").alias("text_hash")
-    )
-    rest = nameless.withColumn("text_hash", F.xxhash64("text"))
-    return named.unionByName(
-        rest.join(chosen.select("text_hash"), "text_hash", "left_semi")
-        .dropDuplicates(["text_hash"])
-        .drop("text_hash")
-    )
+    if lone.isEmpty():
+        return named
+    # A nameless text is told by its hash; of those with one fingerprint the smallest stays.
+    nameless = rows.where("doc_id is null").withColumn("hash", F.xxhash64("text"))
+    texts = nameless.select(F.col("hash").alias("doc_id"), "text").distinct()
+    judged = fingerprints(texts).select(F.col("doc_id").alias("hash"), digits("print").alias("fingerprint"))
+    first = judged.join(lone, "fingerprint", "left_semi").groupBy("fingerprint").agg(F.min("hash").alias("hash"))
+    rest = nameless.join(first.select("hash"), "hash", "left_semi").dropDuplicates(["hash"])
+    return named.unionByName(rest.select("row.*"))
