@@ -13,9 +13,9 @@ WEIGHTS = (3, 1, 2)
 TOTAL_PERCENT = 150
 #: No source and no document is taken more often than this.
 MOST_COPIES = 2
-#: Buckets of rank per source and level; two levels leave one row in a million to sort.
-BUCKETS = 1024
-LEVELS = 2
+#: Buckets of rank per source and level; three levels leave one row in 16 million to sort.
+BUCKETS = 256
+LEVELS = 3
 #: Documents with fewer words than this are the less likely to be repeated the shorter they are.
 FULL_PREFERENCE_WORDS = 200
 
@@ -74,7 +74,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, total_percent: int
     whose size comes closest to the words still lacking.
 
     Ranks are cut into buckets and only the bucket in which the words run out is looked at
-    more closely, twice over, so that no source is ever sorted in one task. Random numbers
+    more closely, level by level, so that no source is ever sorted in one task. Random numbers
     come from doc_id and size, hence reruns and other partitionings agree. Null text: size 0,
     taken 0. Null source: a source of its own, last in order. Documents of equal rank go by
     doc_id; rows that repeat id, source and size are together one entry with the count of
