@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.money import exact_sum
 from millrace.functions.text import has_text
 from millrace.operators.latest import first_per_key
 from millrace.operators.scd2 import CUSTOMER_KEY, OPEN_END
@@ -132,6 +131,39 @@ def check_row_count(df: DataFrame, expected: int, layer: str, name: str) -> Data
     )
 
 
+def check_bronze(
+    df: DataFrame, layer: str, name: str, expected_rows: int | None = None
+) -> DataFrame:
+    """Non-empty, technical quality and, if a count is expected, row count: one pass, a row each."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(has_text("_rescued_data", df.columns)).alias("rescued"),
+        F.count_if(has_text("_corrupt_record", df.columns)).alias("corrupt"),
+    )
+    rows, clean = F.col("rows"), (F.col("rescued") == 0) & (F.col("corrupt") == 0)
+    tests = [
+        (f"{name} non-empty", outcome(rows > 0), rows, "> 0"),
+        (f"{name} technical ingestion quality", outcome(clean, "WARN"), _as_json("rescued", "corrupt"),
+         '{"rescued":0,"corrupt":0}'),
+    ]
+    if expected_rows is not None:
+        tests.append((f"{name} row count", outcome(rows == expected_rows, "WARN"), rows, str(expected_rows)))
+    found = F.array(
+        *(
+            F.struct(
+                F.lit(layer).alias("layer"),
+                F.lit(test).alias("test_name"),
+                status.alias("status"),
+                actual.cast("string").alias("actual"),
+                F.lit(expected).alias("expected"),
+                F.lit(None).cast("string").alias("details"),
+            )
+            for test, status, actual, expected in tests
+        )
+    )
+    return counts.select(F.inline(found))
+
+
 def latest_dq_status(metrics: DataFrame) -> DataFrame:
     """The newest metrics row of each dataset."""
     order = [
@@ -143,10 +175,17 @@ def latest_dq_status(metrics: DataFrame) -> DataFrame:
     return first_per_key(metrics, ["dataset"], order)
 
 
-def check_dq_status(metrics: DataFrame, layer: str) -> DataFrame:
+def check_dq_status(
+    metrics: DataFrame, layer: str, expected: Sequence[str] | None = None
+) -> DataFrame:
+    """A row per dataset; one of the ``expected`` without any metrics fails."""
     status = F.col("dq_status")
+    latest = latest_dq_status(metrics)
+    if expected is not None:
+        names = metrics.sparkSession.createDataFrame([(n,) for n in expected], "dataset string")
+        latest = names.join(latest, "dataset", "left")
     return result(
-        latest_dq_status(metrics),
+        latest,
         layer,
         F.concat(F.lit("DQ latest status: "), "dataset"),
         F.when(status == "PASS", "PASS").when(status == "ALERT", "WARN").otherwise("FAIL"),
@@ -219,6 +258,10 @@ def check_scd2(dim: DataFrame, layer: str, name: str) -> DataFrame:
     )
 
 
+def has_measure(df: DataFrame) -> bool:
+    return any(c in df.columns for c in NET_SALES_NAMES)
+
+
 def first_measure(df: DataFrame, candidates: Sequence[str]) -> str:
     """The first of the candidate columns the frame has."""
     for name in candidates:
@@ -235,8 +278,8 @@ NET_SALES_NAMES = (
 
 def totals(fact: DataFrame, summary: DataFrame) -> DataFrame:
     """One row with both totals and their distance; the two sums are stacked, not crossed."""
-    f = fact.agg(exact_sum(first_measure(fact, NET_SALES_NAMES)).alias("fact_total"))
-    s = summary.agg(exact_sum(first_measure(summary, NET_SALES_NAMES)).alias("summary_total"))
+    f = fact.agg(F.sum(first_measure(fact, NET_SALES_NAMES)).alias("fact_total"))
+    s = summary.agg(F.sum(first_measure(summary, NET_SALES_NAMES)).alias("summary_total"))
     stacked = f.unionByName(s, allowMissingColumns=True)
     both = stacked.agg(
         F.coalesce(F.max("fact_total"), F.lit(0.0)).alias("fact_total"),

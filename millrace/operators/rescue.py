@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Columns of a row that the schema does not know: a map of name to text.
+UNKNOWN = "_unknown_columns"
+
+
 def type_and_rescue(raw: DataFrame, schema: T.StructType, file_path: Column) -> DataFrame:
     """Cast each declared column; put misfit values into ``_rescued_data`` as JSON.
 
     The JSON object maps column to original text, with the file in ``_file_path``. It is
-    NULL where every value fits. Columns outside ``schema`` pass through untouched.
+    NULL where every value fits. What a map column ``_unknown_columns`` holds is rescued as
+    well and the column dropped; other columns outside ``schema`` pass through untouched.
     """
     typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     declared = set(schema.fieldNames())
-    others = [c for c in raw.columns if c not in declared]
+    others = [c for c in raw.columns if c not in declared and c != UNKNOWN]
 
     misfits = [
         F.when(
@@ -23,14 +28,18 @@ def type_and_rescue(raw: DataFrame, schema: T.StructType, file_path: Column) ->
         ).alias(f.name)
         for f in typed
     ]
-    if misfits:
-        # to_json leaves out NULL fields, so only the misfits are named.
-        rescued = F.when(
-            F.coalesce(*misfits).isNotNull(),
-            F.to_json(F.struct(*misfits, file_path.alias("_file_path"))),
+    # to_json leaves out NULL fields, so only the misfits are named.
+    file_field = file_path.alias("_file_path")
+    misfit = F.coalesce(*misfits, F.lit(None)).isNotNull()
+    rescued = F.when(misfit, F.to_json(F.struct(*misfits, file_field)))
+    if UNKNOWN in raw.columns:
+        known = F.when(misfit, F.from_json(F.to_json(F.struct(*misfits)), "map<string,string>"))
+        every = F.map_concat(
+            F.coalesce(known, F.create_map().cast("map<string,string>")),
+            F.col(UNKNOWN),
+            F.create_map(F.lit("_file_path"), file_path),
         )
-    else:
-        rescued = F.lit(None).cast("string")
+        rescued = F.when(F.size(UNKNOWN) > 0, F.to_json(every)).otherwise(rescued)
 
     return raw.select(
         *[

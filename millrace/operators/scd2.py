@@ -63,19 +63,21 @@ def scd2_merge(
 ) -> DataFrame:
     """The dimension after ``customers`` became known on ``as_of``.
 
-    One full outer join of current versions with the source emits, per key, the stored
-    version (kept, or closed the day before) and, if new or changed, an open version.
-    A version that already started on ``as_of`` is replaced, as closing it would end it
-    before its start. Keys missing from the source stay open. History is not joined.
+    One full outer join with the source, which only current versions can match, emits per
+    stored version itself (kept, or closed the day before) and, if a customer is new or
+    changed, an open version. The target is read once. A version that already started on
+    ``as_of`` is replaced, as closing it would end it before its start. Keys missing from the
+    source stay open.
     """
     source = latest_per_key(customers, [CUSTOMER_KEY])
     if target is None:
         return customer_versions(source, as_of)
 
     today = _day(as_of)
-    t = target.filter("is_current").withColumn("_known", F.lit(True)).alias("t")
+    t = target.withColumn("_known", F.lit(True)).alias("t")
     s = source.select(CUSTOMER_KEY, *TRACKED).withColumn("_seen", F.lit(True)).alias("s")
-    pairs = t.join(s, F.col(f"t.{CUSTOMER_KEY}") == F.col(f"s.{CUSTOMER_KEY}"), "full_outer")
+    same = (F.col(f"t.{CUSTOMER_KEY}") == F.col(f"s.{CUSTOMER_KEY}")) & F.col("t.is_current")
+    pairs = t.join(s, same, "full_outer")
 
     known, seen = F.col("t._known").isNotNull(), F.col("s._seen").isNotNull()
     changed = known & seen & differs("t", "s")
@@ -95,7 +97,7 @@ def scd2_merge(
         "t",
         F.col("t.effective_start_date"),
         F.when(changed, F.date_sub(today, 1)).otherwise(F.col("t.effective_end_date")),
-        ~changed,
+        F.col("t.is_current") & ~changed,
     )
     opened = version(
         seen & (~known | changed),
@@ -104,6 +106,4 @@ def scd2_merge(
         F.lit(OPEN_END),
         F.lit(True),
     )
-    merged = pairs.select(F.inline(F.array(stored, opened))).filter("_emit").drop("_emit")
-    history = target.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    return history.select(*merged.columns).unionByName(merged)
+    return pairs.select(F.inline(F.array(stored, opened))).filter("_emit").drop("_emit")

@@ -3,6 +3,9 @@
 ``order_id`` is the key of the order fact. Where the caller's orders are known to hold
 each id once (the gold fact is upserted by it), ``unique_orders=True`` counts rows: an
 ordinary map-side sum in place of a second shuffle of every order id.
+
+Amounts are added as the doubles they are: nothing is rounded on the way, and every size of
+group takes the same path. The last digits of a total follow the order of addition.
 """
 
 from __future__ import annotations
@@ -10,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.money import exact_sum
-
 MEASURES = ("quantity", "gross_amount", "discount_amount", "net_sales_amount")
 
 
@@ -20,9 +21,9 @@ def _order_measures(unique_orders: bool) -> list[Column]:
     return [
         orders.alias("order_count"),
         F.sum("quantity").alias("units_sold"),
-        exact_sum("gross_amount").alias("gross_sales_amount"),
-        exact_sum("discount_amount").alias("discount_amount"),
-        exact_sum("net_sales_amount").alias("net_sales_amount"),
+        F.sum("gross_amount").alias("gross_sales_amount"),
+        F.sum("discount_amount").alias("discount_amount"),
+        F.sum("net_sales_amount").alias("net_sales_amount"),
     ]
 
 
@@ -37,7 +38,7 @@ def product_sales(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
 def return_summary(returns: DataFrame, *keys: str) -> DataFrame:
     """Refund and returned units per order, or per the given keys."""
     return returns.groupBy(*(keys or ("order_id",))).agg(
-        exact_sum("refund_amount").alias("refund_amount"),
+        F.sum("refund_amount").alias("refund_amount"),
         F.sum("return_quantity").alias("returned_units"),
     )
 
@@ -72,7 +73,7 @@ def revenue_by(
         stacked.groupBy(key)
         .agg(
             *_order_measures(unique_orders),
-            F.coalesce(exact_sum("refund_amount"), F.lit(0.0)).alias("refund_amount"),
+            F.coalesce(F.sum("refund_amount"), F.lit(0.0)).alias("refund_amount"),
         )
         .withColumn("net_revenue", F.col("net_sales_amount") - F.col("refund_amount"))
     )
@@ -93,7 +94,7 @@ def monthly_from_daily(daily: DataFrame) -> DataFrame:
     ).agg(
         F.sum("order_count").alias("order_count"),
         F.sum("units_sold").alias("units_sold"),
-        *[exact_sum(m).alias(m) for m in money],
+        *[F.sum(m).alias(m) for m in money],
     )
 
 

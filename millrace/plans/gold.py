@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -15,7 +15,7 @@ from millrace.operators import summaries as S
 from millrace.operators.merge import absent_from
 from millrace.operators.scd2 import scd2_merge
 from millrace.plans.together import together
-from millrace.sources.lake import Lake
+from millrace.sources.lake import Lake, gathered
 
 # The span of the date dimension.
 FIRST_DAY = dt.date(2020, 1, 1)
@@ -24,30 +24,67 @@ LAST_DAY = dt.date(2030, 12, 31)
 SALES = ("order_count", "units_sold", "gross_sales_amount", "discount_amount", "net_sales_amount")
 
 
-def upsert_gold(lake: Lake, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_gold(
+    lake: Lake, name: str, source: DataFrame, keys: Sequence[str], buckets: int = 1
+) -> DataFrame:
     """Upsert a source that is unique by ``keys`` and return the stored table.
 
-    Silver holds nearly every key gold has, so what is looked for is the few that it lost:
-    only keys are shuffled for that, and the stored result, whose size is then known, is
-    broadcast against the wide table if it is small. An empty source creates an empty table.
+    The table is cut by key hash into ``buckets`` slices, of which only those are rewritten
+    that hold a new or changed key: stored and incoming rows meet as keys and row hashes.
+    Stored keys that the source lost stay. An empty source creates an empty table.
     """
     table = lake.table("gold", name)
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    piece = F.concat(number.cast("string"), F.lit(f"-of-{buckets}"))
     if not table.exists():
-        table.overwrite(source)
+        table.overwrite(gathered(source, piece))
         return table.read()
-    target = table.read()
-    lost = lake.table("gold", f"{name}_lost_keys")
-    lost.overwrite(absent_from(target.select(*keys), source, keys))
-    t, k = target.alias("t"), lost.read().alias("k")
-    same_key = reduce(and_, (F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys))
-    kept = t.join(k, same_key, "left_semi")
-    table.overwrite(source.unionByName(kept, allowMissingColumns=True))
+    stored = table.read()
+    alike = all(s.endswith(f"-of-{buckets}") for s in table.slices())
+    if not alike or set(source.columns) - set(stored.columns):
+        kept = absent_from(stored, source, keys)
+        table.overwrite(gathered(source.unionByName(kept, allowMissingColumns=True), piece))
+        return table.read()
+    row = F.xxhash64(*source.columns)
+    new, old = (df.select(*keys, row.alias("row")) for df in (source, stored))
+    new, old = new.alias("new"), old.alias("old")
+    same_key = reduce(and_, (F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in keys))
+    met = new.join(old, same_key, "left").where(~F.col("new.row").eqNullSafe(F.col("old.row")))
+    changed = sorted(
+        r[0] for r in met.select(*(F.col(f"new.{c}") for c in keys)).select(piece).distinct().collect()
+    )
+    if changed:
+        incoming = source.where(piece.isin(changed))
+        kept = absent_from(table.read(changed), incoming, keys)
+        merged = incoming.unionByName(kept, allowMissingColumns=True)
+        table.replace_slices(gathered(merged, piece), changed)
     return table.read()
 
 
+CURRENT = "current"
+
+
 def merge_customers(lake: Lake, customers: DataFrame, as_of: dt.date | None) -> None:
+    """Only current versions and those closed on the same day are read and written.
+
+    Versions closed earlier lie in slices of their own, one per day, and stay as they are.
+    """
     table = lake.table("gold", "dim_customer")
-    table.overwrite(scd2_merge(table.read_or_none(), customers, as_of))
+    day = as_of or lake.spark.sql("SELECT current_date()").first()[0]
+    closed = f"closed-{day}"
+    if not table.exists():
+        merged = scd2_merge(None, customers, as_of)
+    elif CURRENT not in table.slices():
+        merged = scd2_merge(table.read(), customers, as_of)
+    else:
+        merged = scd2_merge(table.read([CURRENT]), customers, as_of)
+        if closed in table.slices():
+            merged = merged.unionByName(table.read([closed]))
+    cut = F.when(F.col("is_current"), F.lit(CURRENT)).otherwise(F.lit(closed))
+    if table.exists() and CURRENT in table.slices():
+        table.replace_slices(gathered(merged, cut), [CURRENT, closed])
+    else:
+        table.overwrite(gathered(merged, cut))
 
 
 def build_gold(
@@ -55,8 +92,14 @@ def build_gold(
     as_of: dt.date | None = None,
     first_day: dt.date = FIRST_DAY,
     last_day: dt.date = LAST_DAY,
+    buckets: Mapping[str, int] | None = None,
 ) -> None:
-    """Tables that do not depend on each other are written at the same time."""
+    """Tables that do not depend on each other are written at the same time.
+
+    ``buckets`` says into how many slices the facts and the product dimension are cut, by
+    the name of the dataset they come from.
+    """
+    cut = dict(buckets or {})
     silver = {
         name: lake.table("silver", name).read()
         for name in ("customers", "products", "orders", "returns", "promotions")
@@ -71,10 +114,12 @@ def build_gold(
         # Silver is unique by these keys, so the facts are, and counting rows counts orders.
         orders, returns = together(
             lambda: upsert_gold(
-                lake, "fact_orders", star.fact_orders(silver["orders"]), ["order_id"]
+                lake, "fact_orders", star.fact_orders(silver["orders"]), ["order_id"],
+                cut.get("orders", 1),
             ),
             lambda: upsert_gold(
-                lake, "fact_returns", star.fact_returns(silver["returns"]), ["return_id"]
+                lake, "fact_returns", star.fact_returns(silver["returns"]), ["return_id"],
+                cut.get("returns", 1),
             ),
         )
         # The one join of orders with returns, written once and summed three ways.
@@ -100,7 +145,8 @@ def build_gold(
         summarize_orders,
         lambda: merge_customers(lake, silver["customers"], as_of),
         lambda: upsert_gold(
-            lake, "dim_product", star.dim_product(silver["products"]), ["product_id"]
+            lake, "dim_product", star.dim_product(silver["products"]), ["product_id"],
+            cut.get("products", 1),
         ),
         lambda: store(
             "dim_date", star.dim_date(lake.spark.range(1), F.lit(first_day), F.lit(last_day))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.environments import Environment, dataset, new_batch_id
 from millrace.plans.gold import build_gold
@@ -13,7 +14,8 @@ from millrace.plans.reprocess import reprocess_batch
 from millrace.plans.run_log import logged
 from millrace.plans.silver import Silver, run_silver
 from millrace.plans.snapshot import ingest_snapshot
-from millrace.sources.lake import Lake
+from millrace.session import size_for
+from millrace.sources.lake import Lake, Table, bytes_under
 from millrace.streaming.bronze import ingest_stream
 
 
@@ -30,6 +32,11 @@ def _step(env: Environment, lake: Lake, task: str, name: str | None, ids: dict):
     )
 
 
+def _fit(spark: SparkSession, *tables: Table) -> None:
+    """Shuffles fitted to the largest table a job reads."""
+    size_for(spark, max((t.bytes() for t in tables if t.exists()), default=0))
+
+
 def bronze_job(
     spark: SparkSession,
     env: Environment,
@@ -41,13 +48,18 @@ def bronze_job(
     """Take in a dataset's drops: new files of a stream, or the folder of a snapshot."""
     d, lake = dataset(name), env.lake(spark)
     batch_id = batch_id or new_batch_id(d)
-    with _step(env, lake, "bronze", name, ids):
+    with _step(env, lake, "bronze", name, ids) as report:
+        size_for(spark, bytes_under(spark, env.drops(d)))
         if d.snapshot:
             ingest_snapshot(lake, d, env.drops(d), env.name, batch_id)
         else:
             ingest_stream(
                 lake, d, env.drops(d), env.checkpoint(d), env.name, batch_id, files_per_trigger
             )
+        metrics = lake.table("monitoring", f"bronze_ingestion_metrics/{d.name}").read_or_none()
+        if metrics is not None:
+            own = metrics.filter(F.col("batch_id") == batch_id)
+            report["rows_processed"] = own.agg(F.coalesce(F.sum("total_records"), F.lit(0))).first()[0]
     return batch_id
 
 
@@ -57,24 +69,35 @@ def _silver(env: Environment, lake: Lake, name: str) -> Silver:
 
 def silver_job(spark: SparkSession, env: Environment, name: str, **ids) -> None:
     lake = env.lake(spark)
-    with _step(env, lake, "silver", name, ids):
-        run_silver(_silver(env, lake, name))
+    silver = _silver(env, lake, name)
+    with _step(env, lake, "silver", name, ids) as report:
+        _fit(spark, silver.bronze, silver.table)
+        report["rows_processed"] = run_silver(silver)
+        for work in (silver.work("assessed"), silver.work("pending")):
+            if work.exists():
+                work.retire()
 
 
 def gold_job(
     spark: SparkSession, env: Environment, as_of: dt.date | None = None, **ids
 ) -> None:
     lake = env.lake(spark)
-    with _step(env, lake, "gold", None, ids):
-        build_gold(lake, as_of)
+    with _step(env, lake, "gold", None, ids) as report:
+        _fit(spark, *(lake.table("silver", d) for d in ("orders", "returns", "customers")))
+        build_gold(lake, as_of, buckets=env.buckets)
+        report["rows_processed"] = lake.table("gold", "fact_orders").read().count()
 
 
 def reprocess_job(
     spark: SparkSession, env: Environment, name: str, batch_id: str, **ids
 ) -> dict:
     lake = env.lake(spark)
-    with _step(env, lake, "reprocess", name, ids):
-        return reprocess_batch(_silver(env, lake, name), batch_id)
+    silver = _silver(env, lake, name)
+    with _step(env, lake, "reprocess", name, ids) as report:
+        _fit(spark, silver.quarantine, silver.bronze, silver.table)
+        out = reprocess_batch(silver, batch_id)
+        report["rows_processed"] = out["valid_records"] + out["invalid_records"]
+        return out
 
 
 def qa_job(
@@ -85,5 +108,8 @@ def qa_job(
 ) -> DataFrame:
     """Totals per status. Failed checks are results, not errors."""
     lake = env.lake(spark)
-    with _step(env, lake, "qa", None, ids):
-        return store_qa(lake, env.name, run_qa(lake, promotions_expected))
+    with _step(env, lake, "qa", None, ids) as report:
+        _fit(spark, lake.table("bronze", "orders"), lake.table("gold", "fact_orders"))
+        totals = store_qa(lake, env.name, run_qa(lake, promotions_expected))
+        report["rows_processed"] = totals.agg(F.sum("tests")).first()[0]
+        return totals

@@ -8,8 +8,7 @@ from millrace.operators.columns import QUALITY_COLUMNS, QUARANTINE_COLUMNS, stam
 from millrace.operators.latest import any_per_key
 from millrace.operators.merge import absent_from
 from millrace.operators.quality import VALID, assess, split
-from millrace.plans.silver import Silver, upsert_silver
-from millrace.sources.lake import sliced
+from millrace.plans.silver import Silver, replace_quarantined, upsert_silver
 
 
 def identity(silver: Silver) -> list[str]:
@@ -18,7 +17,7 @@ def identity(silver: Silver) -> list[str]:
 
 def recheck(silver: Silver, batch_id: str):
     """The batch's quarantined rows, each once, judged by the dataset's current rules."""
-    rows = silver.quarantine.read([batch_id]).filter(F.col("_batch_id") == batch_id)
+    rows = silver.quarantine.read().filter(F.col("_batch_id") == batch_id)
     plain = any_per_key(
         rows.drop(*QUALITY_COLUMNS, *QUARANTINE_COLUMNS), identity(silver)
     )
@@ -29,7 +28,7 @@ def reprocess_batch(silver: Silver, batch_id: str) -> dict:
     """Promote valid rows to silver (and to bronze where it lacks them), keep the rest.
 
     Every frame here is read from stored versions, which later writes leave alone. The
-    quarantine slice is replaced last, so a run that dies loses no row.
+    quarantine is replaced last, so a run that dies loses no row.
     """
     dataset = silver.dataset
     assessed = recheck(silver, batch_id)
@@ -61,7 +60,8 @@ def reprocess_batch(silver: Silver, batch_id: str) -> dict:
         .withColumn("_quarantine_batch_id", F.lit(batch_id))
         .drop(*QUALITY_COLUMNS)
     )
-    silver.quarantine.replace_slices(sliced(kept, F.col("_batch_id")), [batch_id])
+    batch = silver.lake.spark.createDataFrame([(batch_id,)], "_batch_id string")
+    replace_quarantined(silver, kept, batch)
 
     return {
         "dataset": dataset.name,

@@ -1,4 +1,4 @@
-"""One row per finished step of a job."""
+"""Rows for the start and the end of each step of a job."""
 
 from __future__ import annotations
 
@@ -53,11 +53,12 @@ def log_run(
 
 @contextmanager
 def logged(lake: Lake, environment: str, **step):
-    """Log the enclosed step as SUCCESS, or as FAILED with its error, which goes on.
+    """Log the enclosed step as STARTED, then as SUCCESS, or as FAILED with its error, which goes on.
 
-    The step may report its size by setting ``rows_processed`` in the dict it is given.
+    The step reports its size by setting ``rows_processed`` in the dict it is given.
     """
     started, report = _now(), {"rows_processed": 0}
+    log_run(lake, environment, step, "STARTED", started)
     try:
         yield report
     except Exception as error:

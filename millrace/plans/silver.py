@@ -18,23 +18,18 @@ from millrace.operators.merge import (
     upsert_by_key,
     upsert_latest,
 )
-from millrace.operators.quality import assess, dq_metrics, split
+from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics
 from millrace.plans.together import together
-from millrace.sources.lake import SLICE, Lake, Table, gathered
-
-# Batch ids are metadata, but their number is not bounded by anything but this: more
-# pending batches than one wave holds are taken in several waves.
-BATCHES_PER_WAVE = 10_000
+from millrace.sources.lake import Lake, Table, gathered
 
 
 @dataclass(frozen=True)
 class Silver:
     """One dataset's silver tables.
 
-    The silver table is cut by the batch a row came with, and each batch by key hash into
-    ``buckets``. An upsert rewrites only the pieces it touches: new keys go to the pieces
-    of their own batch, changed keys leave the piece they were in. Choose ``buckets`` so
-    that a piece of a usual batch is about a gigabyte.
+    The silver table is cut by key hash into ``buckets`` pieces, the quarantine by the hash
+    of the batch id into as many. A write replaces only the pieces it touches, however many
+    deliveries there have been. Choose ``buckets`` so that a piece is about a gigabyte.
     """
 
     lake: Lake
@@ -62,11 +57,29 @@ class Silver:
     def metrics(self) -> Table:
         return self.lake.table("monitoring", f"silver_dq_metrics/{self.dataset.name}")
 
+    def work(self, what: str) -> Table:
+        """Intermediate rows of a run, replaced by the next one."""
+        return self.lake.table("work", f"silver/{self.dataset.name}/{what}")
+
+    def _numbered(self, *columns: str) -> Column:
+        number = F.pmod(F.xxhash64(*columns), F.lit(self.buckets))
+        return F.concat(number.cast("string"), F.lit(f"-of-{self.buckets}"))
+
     def piece(self) -> Column:
-        """The slice a row belongs to, a function of its batch and key."""
-        batch = F.coalesce("_batch_id", F.lit("none"))
-        number = F.pmod(F.xxhash64(*self.dataset.key), F.lit(self.buckets))
-        return F.concat(batch, F.lit("~"), number.cast("string"), F.lit(f"-of-{self.buckets}"))
+        """The slice of silver a row belongs to."""
+        return self._numbered(*self.dataset.key)
+
+    def quarantine_piece(self) -> Column:
+        return self._numbered("_batch_id")
+
+
+def names(df: DataFrame, piece: Column) -> list[str]:
+    """The different pieces rows belong to; there are no more than buckets."""
+    return sorted(r[0] for r in df.select(piece.alias("piece")).distinct().collect())
+
+
+def cut_alike(silver: Silver, table: Table) -> bool:
+    return all(s.endswith(f"-of-{silver.buckets}") for s in table.slices())
 
 
 def transform(valid: DataFrame, dataset: Dataset, environment: str) -> DataFrame:
@@ -76,23 +89,27 @@ def transform(valid: DataFrame, dataset: Dataset, environment: str) -> DataFrame
     )
 
 
-def quarantine_rows(silver: Silver, invalid: DataFrame, batches: list[str]) -> None:
-    """Replace the quarantined rows of the given batches, so that a rerun adds nothing."""
-    rows = gathered(stamp_quarantine(invalid), F.col("_batch_id"))
-    silver.quarantine.replace_slices(rows, batches)
-
+def replace_quarantined(silver: Silver, rows: DataFrame, batches: DataFrame) -> None:
+    """``rows`` become all that is quarantined of ``batches`` (_batch_id); the rest stays."""
+    table, piece = silver.quarantine, silver.quarantine_piece()
+    if not table.exists():
+        table.overwrite(gathered(rows, piece))
+        return
+    alike = cut_alike(silver, table)
+    touched = names(batches, piece) if alike else []
+    held, done = (table.read(touched) if alike else table.read()), batches.distinct().alias("done")
+    same = F.col("held._batch_id").eqNullSafe(F.col("done._batch_id"))
+    kept = held.alias("held").join(done, same, "left_anti")
+    merged = gathered(kept.unionByName(rows, allowMissingColumns=True), piece)
+    if alike:
+        table.replace_slices(merged, touched)
+    else:
+        table.overwrite(merged)
 
-def touched_pieces(silver: Silver, stored: DataFrame, valid: DataFrame) -> list[str]:
-    """Pieces that hold a key of ``valid`` now or will; at most all pieces there are.
 
-    Only keys and batch ids are read, and stored keys are matched against incoming ones
-    without shuffling the former if the latter are few enough to broadcast.
-    """
-    keys = list(silver.dataset.key)
-    narrow = [*keys, "_batch_id"]
-    held = stored.select(*narrow).join(valid.select(*keys).distinct(), keys, "left_semi")
-    pieces = valid.select(*narrow).unionByName(held).select(silver.piece().alias(SLICE))
-    return sorted(r[0] for r in pieces.distinct().collect())
+def quarantine_rows(silver: Silver, invalid: DataFrame, batches: DataFrame) -> None:
+    """Replace the quarantined rows of the given batches, so that a rerun adds nothing."""
+    replace_quarantined(silver, stamp_quarantine(invalid), batches)
 
 
 def upsert_silver(silver: Silver, valid: DataFrame) -> None:
@@ -102,11 +119,11 @@ def upsert_silver(silver: Silver, valid: DataFrame) -> None:
     if not table.exists():
         table.overwrite(gathered(incoming, silver.piece()))
         return
-    if not all(s.endswith(f"-of-{silver.buckets}") for s in table.slices()):
+    if not cut_alike(silver, table):
         merged = upsert_latest(table.read(), incoming, silver.dataset.key)
         table.overwrite(gathered(merged, silver.piece()))
         return
-    touched = touched_pieces(silver, table.read(), standardize_columns(valid))
+    touched = names(standardize_columns(valid).select(*silver.dataset.key), silver.piece())
     if touched:
         merged = upsert_latest(table.read(touched), incoming, silver.dataset.key)
         table.replace_slices(gathered(merged, silver.piece()), touched)
@@ -117,89 +134,80 @@ def record_metrics(silver: Silver, metrics: DataFrame) -> None:
     silver.metrics.overwrite(upsert_by_key(stored, metrics, METRIC_KEY, source_is_unique=True))
 
 
-def mark_processed(silver: Silver, batches: list[str]) -> None:
-    marks = silver.lake.spark.createDataFrame(
-        [(silver.dataset.name, b) for b in batches], "dataset string, _batch_id string"
-    ).withColumn("_processed_timestamp", F.current_timestamp())
+def mark_processed(silver: Silver, batches: DataFrame) -> None:
+    marks = batches.select(
+        F.lit(silver.dataset.name).alias("dataset"),
+        "_batch_id",
+        F.current_timestamp().alias("_processed_timestamp"),
+    )
     stored = silver.control.read_or_none()
     if stored is None:
         stored = silver.lake.spark.createDataFrame([], marks.schema)
     silver.control.overwrite(insert_absent(stored, marks, ["dataset", "_batch_id"]))
 
 
-def pending_batches(silver: Silver, bronze: DataFrame) -> list[str]:
-    """The oldest unprocessed batch ids, at most one wave of them."""
-    pending = unprocessed_batches(bronze, silver.control.read_or_none(), silver.dataset.name)
-    wave = pending.orderBy("_batch_id").limit(BATCHES_PER_WAVE).collect()
-    return [r["_batch_id"] for r in wave]
+def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all, valid, invalid): judged in one pass and stored, from which every sink is fed."""
+    judged = assess(rows, silver.dataset.required, silver.dataset.rules)
+    table = silver.work("assessed")
+    table.overwrite(gathered(judged, F.col("_quality_status")))
+    return table.read(), table.read([VALID]), table.read([QUARANTINE])
 
 
-def run_incremental(silver: Silver) -> list[str]:
-    """Process every pending batch, all of a wave in one pass. Returns their ids.
+def run_incremental(silver: Silver) -> int:
+    """Process every pending batch in one pass. Returns the number of rows processed.
 
-    Marking comes last: a run that dies before it is repeated, and repeating changes
-    nothing that was written already. Checks are cheap next to the scan, so the rows are
-    read again for metrics, quarantine and upsert instead of being kept on executors.
+    Which batches are pending is stored first, and rows are found by joining with that, so
+    their number is not bounded by anything. Marking comes last: a run that dies before it is
+    repeated, and repeating changes nothing that was written already.
     """
-    bronze = silver.bronze.read()
-    done: list[str] = []
-    while True:
-        wave = pending_batches(silver, bronze)
-        if wave:
-            rows = bronze.filter(F.col("_batch_id").isin(wave))
-            assessed = assess(rows, silver.dataset.required, silver.dataset.rules)
-            valid, invalid = split(assessed)
-            metrics = dq_metrics(
-                assessed,
-                silver.environment,
-                silver.dataset.name,
-                silver.dataset.dq_alert_percent,
-            )
-            together(
-                partial(upsert_silver, silver, valid),
-                partial(quarantine_rows, silver, invalid, wave),
-                partial(record_metrics, silver, metrics),
-            )
-            mark_processed(silver, wave)
-            done += wave
-        if len(wave) < BATCHES_PER_WAVE:
-            return done
-
-
-def run_snapshot(silver: Silver, delete_missing: bool = False) -> None:
+    bronze, control = silver.bronze.read(), silver.control.read_or_none()
+    work = silver.work("pending")
+    work.overwrite(unprocessed_batches(bronze, control, silver.dataset.name))
+    pending = work.read()
+    if pending.isEmpty():
+        return 0
+    mine = F.col("rows._batch_id") == F.col("pending._batch_id")
+    rows = bronze.alias("rows").join(pending.alias("pending"), mine, "left_semi")
+    every, valid, invalid = assessed_rows(silver, rows)
+    dataset = silver.dataset
+    metrics = dq_metrics(every, silver.environment, dataset.name, dataset.dq_alert_percent)
+    together(
+        partial(upsert_silver, silver, valid),
+        partial(quarantine_rows, silver, invalid, pending),
+        partial(record_metrics, silver, metrics),
+    )
+    mark_processed(silver, pending)
+    return every.count()
+
+
+def run_snapshot(silver: Silver, delete_missing: bool = False) -> int:
     """Process the bronze table as the source's current state, without a control table.
 
-    Keys gone from the source stay in silver unless ``delete_missing``.
+    Keys gone from the source stay in silver unless ``delete_missing``. Returns the number
+    of rows processed.
     """
     dataset = silver.dataset
-    bronze = silver.bronze.read()
-    assessed = assess(bronze, dataset.required, dataset.rules)
-    valid, invalid = split(assessed)
+    every, valid, invalid = assessed_rows(silver, silver.bronze.read())
     batch_id = F.coalesce(F.max("_batch_id"), F.lit(f"snapshot_{dataset.name}"))
-    record_metrics(
-        silver,
-        dq_metrics(
-            assessed,
-            silver.environment,
-            dataset.name,
-            dataset.dq_alert_percent,
-            batch_id=batch_id,
-        ),
+    metrics = dq_metrics(
+        every, silver.environment, dataset.name, dataset.dq_alert_percent, batch_id=batch_id
     )
-    # A snapshot comes from one ingest run; as many ids as a wave holds is far beyond that.
-    ids = bronze.select("_batch_id").distinct().limit(BATCHES_PER_WAVE + 1).collect()
-    if len(ids) > BATCHES_PER_WAVE:
-        raise ValueError(f"{dataset.name}: a snapshot cannot hold {len(ids)} batches")
-    quarantine_rows(silver, invalid, [r["_batch_id"] for r in ids])
-    if delete_missing:
-        current = transform(valid, dataset, silver.environment)
-        silver.table.overwrite(gathered(current, silver.piece()))
-    else:
-        upsert_silver(silver, latest_snapshot(valid, dataset.key))
 
+    def store_valid() -> None:
+        if delete_missing:
+            current = transform(valid, dataset, silver.environment)
+            silver.table.overwrite(gathered(current, silver.piece()))
+        else:
+            upsert_silver(silver, latest_snapshot(valid, dataset.key))
+
+    together(
+        store_valid,
+        partial(quarantine_rows, silver, invalid, every.select("_batch_id")),
+        partial(record_metrics, silver, metrics),
+    )
+    return every.count()
 
-def run_silver(silver: Silver) -> None:
-    if silver.dataset.snapshot:
-        run_snapshot(silver)
-    else:
-        run_incremental(silver)
+
+def run_silver(silver: Silver) -> int:
+    return run_snapshot(silver) if silver.dataset.snapshot else run_incremental(silver)

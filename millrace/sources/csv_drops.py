@@ -1,26 +1,29 @@
-"""CSV drops, in batch and as a stream of files."""
+"""CSV drops, in batch and as a stream of files.
+
+Columns are matched by the names in each file's own header, which may order them in any way,
+leave some out or add unknown ones; the latter are rescued. A row ends at the line break:
+quoted line breaks are not supported, as files are split for reading.
+"""
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.datasets import Dataset
 from millrace.operators.columns import stamp_ingestion
-from millrace.operators.rescue import type_and_rescue
+from millrace.operators.rescue import UNKNOWN, type_and_rescue
 
 CORRUPT = "_corrupt_record"
-
-# Pruning stays off: a CSV scan does not check the columns it was told to skip.
-CSV_OPTIONS = {
-    "header": "true",
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-    "columnPruning": "false",
-}
+FILE = "_source_file"
+CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def with_corrupt_record(schema: T.StructType) -> T.StructType:
@@ -29,23 +32,80 @@ def with_corrupt_record(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    """Every declared column as text, so that only unparseable lines count as corrupt."""
-    text = [T.StructField(f.name, T.StringType()) for f in schema.fields]
-    return with_corrupt_record(T.StructType(text))
-
-
-def read_drops(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
-    return spark.read.schema(text_schema(dataset.schema)).options(**CSV_OPTIONS).csv(path)
+def located(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_path").alias(FILE))
 
 
-def stream_drops(
-    spark: SparkSession, path: str, dataset: Dataset, files_per_trigger: int | None = None
+def stream_lines(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(text_schema(dataset.schema)).options(**CSV_OPTIONS)
+    """Lines of new files, each with its file; a file comes in one micro-batch."""
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(path)
+    return located(reader.text(path))
+
+
+def read_drops(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    return by_name(located(spark.read.text(path)), dataset)
+
+
+def is_header(dataset: Dataset) -> Column:
+    """A line that has the names of all key columns as fields."""
+    fields = (rf'(^{BYTE_ORDER_MARK}?|,)\s*"?\s*{re.escape(k)}\s*"?\s*(,|$)' for k in dataset.key)
+    return reduce(Column.__and__, (F.col("value").rlike(f) for f in fields))
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line; repeated ones are numbered."""
+    found: list[str] = []
+    for name in next(csv.reader([header.removeprefix(BYTE_ORDER_MARK)])):
+        name = name.strip()
+        copies = sum(f == name or f.startswith(f"{name}#") for f in found)
+        found.append(f"{name}#{copies + 1}" if copies else name)
+    return found
+
+
+def of_layout(lines: DataFrame, names: list[str], dataset: Dataset) -> DataFrame:
+    """Parsed lines of files with these columns, in these places."""
+    places = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+    schema = with_corrupt_record(T.StructType(places))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv("value", ddl, CSV_OPTIONS)
+    parsed = lines.select(row.alias("row"), FILE)
+    at = {name: F.col(f"row.c{i}") for i, name in enumerate(names)}
+    declared = [at.get(c, F.lit(None).cast("string")).alias(c) for c in dataset.columns]
+    unknown = [F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in at.items() if n not in dataset.columns]
+    extra = F.map_from_entries(F.filter(F.array(*unknown), lambda e: e["value"].isNotNull())) if unknown else F.create_map()
+    return parsed.select(
+        *declared,
+        F.col(f"row.{CORRUPT}").alias(CORRUPT),
+        extra.cast("map<string,string>").alias(UNKNOWN),
+        FILE,
+    )
+
+
+def by_name(lines: DataFrame, dataset: Dataset) -> DataFrame:
+    """Declared columns as text, the corrupt line, unknown columns, the file.
+
+    Each file's header is found by the key's names and joined to its lines; files are then
+    parsed layout by layout. Only the different headers, one short line each, come to the
+    driver. Lines with too few or too many fields are corrupt, as is every line of a file
+    without a header. Empty lines are skipped.
+    """
+    header = is_header(dataset)
+    headers = lines.where(header).groupBy(FILE).agg(F.min("value").alias("header"))
+    rows = lines.where(~header & (F.trim("value") != "")).join(headers, FILE, "left")
+    layouts = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    none = {c: F.lit(None).cast("string") for c in dataset.columns}
+    headless = rows.where("header is null").select(
+        *(c.alias(n) for n, c in none.items()),
+        F.col("value").alias(CORRUPT),
+        F.create_map().cast("map<string,string>").alias(UNKNOWN),
+        FILE,
+    )
+    parts = [of_layout(rows.where(F.col("header") == h), header_names(h), dataset) for h in layouts]
+    return reduce(DataFrame.unionByName, parts, headless)
 
 
 def as_bronze(
@@ -56,6 +116,5 @@ def as_bronze(
     at: dt.datetime | None = None,
 ) -> DataFrame:
     """Typed columns, what did not fit, and where each row came from."""
-    located = raw.withColumn("_source_file", F.col("_metadata.file_path"))
-    typed = type_and_rescue(located, dataset.schema, F.col("_source_file"))
-    return stamp_ingestion(typed, environment, batch_id, F.col("_source_file"), at)
+    typed = type_and_rescue(raw, dataset.schema, F.col(FILE))
+    return stamp_ingestion(typed, environment, batch_id, F.col(FILE), at)

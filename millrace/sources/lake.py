@@ -40,6 +40,14 @@ def gathered(df: DataFrame, by: Column) -> DataFrame:
     return sliced(df, by).hint("rebalance", SLICE)
 
 
+def bytes_under(spark: SparkSession, *paths: str) -> int:
+    """Size of all files below the paths; their contents are not read."""
+    if not paths:
+        return 0
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 @dataclass(frozen=True)
 class Lake:
     """A root folder with tables addressed by layer and name."""
@@ -95,11 +103,8 @@ class Table:
         )
 
     def bytes(self) -> int:
-        """Stored size of the current rows."""
-        fs = self._fs()
-        return sum(
-            fs.getContentSummary(self._path(p)).getLength() for p in self._located().values()
-        )
+        """Stored size of the current rows, from the listing alone."""
+        return bytes_under(self.spark, *self._located().values())
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
@@ -130,8 +135,8 @@ class Table:
         self._write_rows(df, target)
         emptied = set(cover) - set(self._slice_folders(f"{target}/{SLICE}=*"))
         for name in sorted(emptied & set(stored)):
-            nothing = self.spark.createDataFrame([], schema)
-            nothing.write.parquet(f"{target}/{stored[name].rsplit('/', 1)[1]}")
+            # An empty folder hides the older one; it takes no job to make.
+            self._fs().mkdirs(self._path(f"{target}/{stored[name].rsplit('/', 1)[1]}"))
         self._commit(target, schema)
 
     def append(self, df: DataFrame) -> None:
@@ -139,6 +144,17 @@ class Table:
         name = f"append-{self._last_number() + 1:08d}"
         self.replace_slices(sliced(df, F.lit(name)), [name])
 
+    def retire(self, keep: int = 1) -> None:
+        """Delete versions that hold no current slice, but for the newest ``keep`` ones.
+
+        Frames that were read from a deleted version can no longer be used.
+        """
+        current = {_VERSION.search(p)[1] for p in self._located().values()}
+        every = sorted({_VERSION.search(p)[1] for p in self._glob(f"{self.path}/v*")})
+        for number in set(every[: max(0, len(every) - keep)]) - current:
+            for folder in self._glob(f"{self.path}/v{number}*"):
+                self._fs().delete(self._path(folder), True)
+
     # -- folders -------------------------------------------------------------------
 
     def _write_rows(self, df: DataFrame, target: str) -> None:
@@ -147,9 +163,12 @@ class Table:
 
     def _commit(self, target: str, schema: T.StructType) -> None:
         fields = [{**f.jsonValue(), "nullable": True} for f in schema.fields]
-        out = self._fs().create(self._path(f"{target}/{MARKER}"), False)
+        draft, marker = self._path(f"{target}/{MARKER}.draft"), self._path(f"{target}/{MARKER}")
+        out = self._fs().create(draft, True)
         out.write(bytearray(json.dumps({"type": "struct", "fields": fields}), "utf-8"))
         out.close()
+        if not self._fs().rename(draft, marker):  # readers see all of it or nothing
+            raise FileExistsError(f"{target} was committed by another writer")
 
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -114,29 +114,35 @@ def latest_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(order_lines(spark, sf_dir), ["order_id"])
 
 
+def orders_of(lines: DataFrame) -> DataFrame:
+    """The orders among deduplicated lines."""
+    return lines.select(*DATASETS["orders"].columns, *TECHNICAL)
+
+
+def returns_of(lines: DataFrame) -> DataFrame:
+    """A return for each of the deduplicated lines that is flagged as returned."""
+    return lines.filter(F.col("line_flag") == "R").select(
+        F.concat(F.lit("R-"), "order_id").alias("return_id"),
+        "order_id",
+        "customer_id",
+        "product_id",
+        F.col("_ingestion_timestamp").cast("date").alias("return_date"),
+        F.col("quantity").alias("return_quantity"),
+        F.col("line_status").alias("return_reason"),
+        F.col("line_value").alias("refund_amount"),
+        F.col("order_status").alias("return_status"),
+        *TECHNICAL,
+    )
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order id: its latest delivery."""
-    return latest_order_lines(spark, sf_dir).select(*DATASETS["orders"].columns, *TECHNICAL)
+    return orders_of(latest_order_lines(spark, sf_dir))
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A return for each order whose latest delivery is flagged as returned."""
-    return (
-        latest_order_lines(spark, sf_dir)
-        .filter(F.col("line_flag") == "R")
-        .select(
-            F.concat(F.lit("R-"), "order_id").alias("return_id"),
-            "order_id",
-            "customer_id",
-            "product_id",
-            F.col("_ingestion_timestamp").cast("date").alias("return_date"),
-            F.col("quantity").alias("return_quantity"),
-            F.col("line_status").alias("return_reason"),
-            F.col("line_value").alias("refund_amount"),
-            F.col("order_status").alias("return_status"),
-            *TECHNICAL,
-        )
-    )
+    return returns_of(latest_order_lines(spark, sf_dir))
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,23 +161,19 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part up to size 10 is on promotion; larger ones never are."""
+    """Every part is on promotion; large ones by more than 100 %, small ones end too early."""
     key, size = F.col("p_partkey"), F.col("p_size")
     start = F.date_add(F.lit("1996-01-01").cast("date"), (key % 365).cast("int"))
-    return (
-        table(spark, sf_dir, "part")
-        .filter(size <= 10)
-        .select(
-            F.concat(F.lit("P-"), key.cast("string")).alias("promotion_id"),
-            F.col("p_name").alias("promotion_name"),
-            key.cast("string").alias("product_id"),
-            start.alias("start_date"),
-            F.date_add(start, size - 3).alias("end_date"),
-            (size * 11).cast("double").alias("discount_percent"),
-            F.col("p_type").alias("promotion_type"),
-            F.lit("ACTIVE").alias("status"),
-            *_technical("promotions", F.lit("1996-01-01").cast("date")),
-        )
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P-"), key.cast("string")).alias("promotion_id"),
+        F.col("p_name").alias("promotion_name"),
+        key.cast("string").alias("product_id"),
+        start.alias("start_date"),
+        F.date_add(start, size - 3).alias("end_date"),
+        (size * 2.5).alias("discount_percent"),
+        F.col("p_type").alias("promotion_type"),
+        F.lit("ACTIVE").alias("status"),
+        *_technical("promotions", F.lit("1996-01-01").cast("date")),
     )
 
 

@@ -67,11 +67,11 @@ ds_promotions AS (
          CAST(DATE '1996-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE) AS start_date,
          CAST(DATE '1996-01-01' + CAST(p_partkey % 365 AS INTEGER) + (p_size - 3) AS DATE)
            AS end_date,
-         CAST(p_size * 11 AS DOUBLE) AS discount_percent, p_type AS promotion_type,
+         CAST(p_size * 2.5 AS DOUBLE) AS discount_percent, p_type AS promotion_type,
          'ACTIVE' AS status,
          TIMESTAMP '1996-01-01' AS _ingestion_timestamp, 'promotions' AS _source_file,
          'promotions_199601' AS _batch_id
-  FROM part WHERE p_size <= 10),
+  FROM part),
 ds_clickstream AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id,
          ts AS event_timestamp, event_type, '/' || event_type AS page_url,
@@ -88,7 +88,8 @@ fact AS (
 
 
 def money(expression: str) -> str:
-    return f"CAST(sum(CAST({expression} AS DECIMAL(18,4))) AS DOUBLE)"
+    """Totals are compared to four decimals: they are rounded once, when they are finished; no -0.0."""
+    return f"round(sum({expression}), 4) + 0.0"
 
 
 MEASURES_SQL = f"""
@@ -100,9 +101,9 @@ MEASURES_SQL = f"""
 
 REVENUE_SQL = """
   SELECT {key}, order_count, CAST(units_sold AS BIGINT) AS units_sold, gross_sales_amount,
-         discount_amount, net_sales_amount, refund_amount,
-         net_sales_amount - refund_amount AS net_revenue
-  FROM (SELECT {key}, {measures}, {refund} AS refund_amount
+         discount_amount, net_sales_amount, refund_amount, net_revenue
+  FROM (SELECT {key}, {measures}, {refund} AS refund_amount,
+               round(sum(net_sales_amount) - sum(refund), 4) + 0.0 AS net_revenue
         FROM (SELECT fact.*, coalesce(r.refund, 0.0) AS refund
               FROM fact LEFT JOIN (
                 SELECT {on}, {refund_sum} AS refund FROM ds_returns GROUP BY {on}
@@ -114,7 +115,7 @@ REVENUE_SQL = """
 def revenue(key: str, on: str = "order_id") -> str:
     return REVENUE_SQL.format(
         key=key, on=on, measures=MEASURES_SQL, refund=money("refund"),
-        refund_sum=money("refund_amount"),
+        refund_sum="sum(refund_amount)",
     )
 
 
@@ -508,14 +509,25 @@ def oracles() -> dict[str, str]:
       FROM text_orders"""
     out["bronze_stream_ingest"] = D(
         f"""SELECT {ORDER_COLUMNS}, CAST(NULL AS VARCHAR) AS _corrupt_record,
-              CAST(NULL AS VARCHAR) AS _rescued_data, 'orders_1' AS _batch_id FROM ds_lines
+              CASE WHEN _batch_id > '{CUT}' THEN payment_method END AS line_note, true AS has_file,
+              CASE WHEN _batch_id > '{CUT}' THEN 'orders_2' ELSE 'orders_1' END AS _batch_id
+            FROM ds_lines
             UNION ALL
             SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), NULL, NULL, NULL,
-              NULL, NULL, NULL, NULL, o_orderkey || ',' || o_custkey, NULL, 'orders_2'
+              NULL, NULL, NULL, NULL, o_orderkey || ',' || o_custkey, NULL, true, 'orders_3'
             FROM orders"""
     )
+    out["bronze_stream_metrics"] = D(
+        f"""SELECT 'orders' AS dataset,
+              CASE WHEN _batch_id > '{CUT}' THEN 'orders_2' ELSE 'orders_1' END AS batch_id,
+              count(*) AS total_records, count(*) FILTER (_batch_id > '{CUT}') AS rescued_records,
+              CAST(0 AS BIGINT) AS corrupt_records
+            FROM ds_lines GROUP BY ALL
+            UNION ALL SELECT 'orders', 'orders_3', count(*), 0, count(*) FROM orders"""
+    )
     out["bronze_snapshot_ingest"] = D(
         f"""SELECT {PROMOTION_COLUMNS}, CAST(NULL AS VARCHAR) AS _corrupt_record,
+            CASE WHEN discount_percent > 50 THEN NULL ELSE 'x' END AS note,
             'promotions_2' AS _batch_id FROM ds_promotions"""
     )
 
@@ -537,24 +549,31 @@ def oracles() -> dict[str, str]:
         f"""SELECT DISTINCT order_id, _source_file, _batch_id FROM ds_lines
             WHERE _batch_id > '{CUT}'"""
     )
-    gold_counts = {
-        "dim_customer": "ds_customers", "dim_product": "ds_products", "fact_orders": "ds_orders",
-        "fact_returns": "ds_returns",
-        "customer_sales_summary": "(SELECT DISTINCT customer_id FROM ds_orders)",
-        "product_sales_summary": "(SELECT DISTINCT product_id FROM ds_orders)",
-        "daily_sales_summary": "(SELECT DISTINCT order_date FROM ds_orders)",
-        "monthly_sales_summary":
-            "(SELECT DISTINCT year(order_date), month(order_date) FROM ds_orders)",
-        "customer_revenue_summary": "(SELECT DISTINCT customer_id FROM ds_orders)",
-        "product_revenue_summary": "(SELECT DISTINCT product_id FROM ds_orders)",
-        "promotion_product_summary": "ds_promotions",
-    }
+    gold = (
+        ("dim_customer", "dim", "CASE WHEN is_current THEN 1 ELSE 0 END"),
+        ("dim_product", "ds_products", "unit_price"),
+        ("dim_date",
+         "(SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS date)",
+         "day(date)"),
+        ("fact_orders", "fact", "net_sales_amount"),
+        ("fact_returns", "ds_returns", "refund_amount"),
+        ("customer_sales_summary", f"({sales('customer_id')})", "net_sales_amount"),
+        ("product_sales_summary", f"({sales('product_id')})", "net_sales_amount"),
+        ("daily_sales_summary", f"({revenue('order_date')})", "net_revenue"),
+        ("monthly_sales_summary",
+         f"""(SELECT year(order_date), month(order_date), sum(net_revenue) AS net_revenue
+              FROM ({revenue('order_date')}) GROUP BY ALL)""", "net_revenue"),
+        ("customer_revenue_summary", f"({revenue('customer_id')})", "net_revenue"),
+        ("product_revenue_summary", f"({revenue('product_id', 'order_id, product_id')})", "net_revenue"),
+        ("promotion_product_summary", "ds_promotions", "discount_percent"),
+    )
     out["gold_build"] = D(
         " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
-            for name, source in gold_counts.items()
-        )
-        + " UNION ALL SELECT 'dim_date', CAST(DATE '2030-12-31' - DATE '2020-01-01' + 1 AS BIGINT)"
+            f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+                round(CAST(sum({amount}) AS DOUBLE), 0) AS amount FROM {source}"""
+            for name, source, amount in gold
+        ),
+        SCD2_SQL,
     )
 
     out["run_log"] = """
@@ -617,11 +636,16 @@ def oracles() -> dict[str, str]:
     )
     out["qa_reconcile"] = D(
         f"""SELECT {money('net_sales_amount')} AS fact_total,
-              {money('net_sales_amount')} AS summary_total, CAST(0 AS DOUBLE) AS delta FROM fact"""
+              (SELECT round(sum(customer_total), 4) FROM (
+                 SELECT sum(net_sales_amount) AS customer_total FROM fact GROUP BY customer_id))
+                AS summary_total,
+              round(abs(sum(net_sales_amount) - (SELECT sum(net_sales_amount) FROM fact)), 4) AS delta
+            FROM fact"""
     )
     out["qa_dimension_coverage"] = D(
         """SELECT count(*) AS fact_rows, count(DISTINCT product_id) AS missing_keys FROM fact
-           WHERE product_id NOT IN (SELECT product_id FROM ds_promotions)"""
+           WHERE product_id NOT IN (SELECT product_id FROM ds_promotions
+                                    WHERE discount_percent > 100)"""
     )
     versions = f"{CUSTOMER_COLUMNS}, effective_start_date, effective_end_date, is_current"
     day_one = f"""SELECT {CUSTOMER_COLUMNS}, DATE '2024-01-01' AS effective_start_date,

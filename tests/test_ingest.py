@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.datasets import DATASETS
 from millrace.operators.ingest_metrics import ingestion_metrics
 from millrace.plans.snapshot import ingest_snapshot
-from millrace.sources.csv_drops import read_drops, text_schema, with_corrupt_record
+from millrace.sources.csv_drops import as_bronze, header_names, read_drops, with_corrupt_record
 from millrace.streaming.bronze import ingest_stream, micro_batch_writer
 
 ORDERS = DATASETS["orders"]
@@ -32,10 +32,44 @@ def metrics_rows(lake, name):
     }
 
 
-def test_corrupt_column_is_added_once():
+def test_corrupt_column_is_added_once(spark):
     schema = with_corrupt_record(ORDERS.schema)
     assert with_corrupt_record(schema) == schema
-    assert {f.dataType.simpleString() for f in text_schema(schema)} == {"string"}
+    assert schema.fieldNames()[-1] == "_corrupt_record"
+
+
+def test_columns_are_matched_by_name(spark, tmp_path):
+    """Another order, a missing column, an unknown one, quotes, a byte order mark, no header."""
+    products = DATASETS["products"]
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        'product_name,product_id,unit_price,colour\n"name, 1",p1,2.5,red\nname2,p2,cheap,\nshort,p3\n\n'
+    )
+    (folder / "b.csv").write_text("\ufeffproduct_id,brand,product_id\np4,b,again\n")
+    (folder / "c.csv").write_text("id,name\np5,n\n")
+    raw = read_drops(spark, str(folder), products)
+    rows = {r["product_id"]: r for r in as_bronze(raw, products, "test", "b1").collect()}
+    assert set(rows) == {"p1", "p2", "p3", "p4", None}
+    assert (rows["p1"]["product_name"], rows["p1"]["unit_price"], rows["p1"]["category"]) == ("name, 1", 2.5, None)
+    rescued = json.loads(rows["p1"]["_rescued_data"])
+    assert rescued.pop("_file_path").endswith("a.csv") and rescued == {"colour": "red"}
+    assert json.loads(rows["p2"]["_rescued_data"])["unit_price"] == "cheap"
+    assert rows["p3"]["_corrupt_record"] == "short,p3"
+    assert json.loads(rows["p4"]["_rescued_data"])["product_id#2"] == "again"
+    lost = [r["_corrupt_record"] for r in as_bronze(raw, products, "test", "b1").collect() if r["product_id"] is None]
+    assert sorted(lost) == ["id,name", "p5,n"]
+    assert header_names('a, "b" ,a') == ["a", '"b"', "a#2"]
+
+
+def test_a_new_checkpoint_keeps_stored_rows(spark, lake, tmp_path, rows):
+    drops, other = tmp_path / "drops", tmp_path / "other"
+    drop(drops, "a.csv", GOOD)
+    ingest_stream(lake, ORDERS, str(drops), str(tmp_path / "cp1"), "test", "orders_1")
+    drop(other, "b.csv", BAD_DATE)
+    ingest_stream(lake, ORDERS, str(other), str(tmp_path / "cp2"), "test", "orders_2")
+    assert rows(lake.table("bronze", "orders").read(), "order_id") == [("o1",), ("o2",)]
+    assert set(metrics_rows(lake, "orders")) == {("orders_1", 0), ("orders_2", 0)}
 
 
 def test_malformed_lines(spark, lake, tmp_path):
@@ -81,7 +115,8 @@ def test_stream_takes_each_file_once(spark, lake, tmp_path, rows):
     assert rows(bronze.read(), "order_id", "_batch_id") == [
         (None, "orders_2"), ("o1", "orders_1"), ("o2", "orders_1"),
     ]
-    assert bronze.slices() == ["mb-0", "mb-1", "mb-2"]
+    streams, numbers = zip(*(s.removeprefix("mb-").rsplit("-", 1) for s in bronze.slices()))
+    assert numbers == ("0", "1", "2") and len(set(streams)) == 1 and len(streams[0]) == 36
     assert set(metrics_rows(lake, "orders")) == {
         ("orders_1", 0), ("orders_1", 1), ("orders_2", 2),
     }

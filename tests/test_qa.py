@@ -75,12 +75,12 @@ def test_coverage_counts_null_and_unknown_keys(spark):
 
 def test_an_empty_lake_reports_missing_tables(spark, lake):
     results = run_qa(lake)
-    assert {(r["status"], r["actual"]) for r in results.collect()} == {("FAIL", "false")}
+    assert {(r["status"], r["actual"]) for r in results.collect()} == {("FAIL", "false"), ("FAIL", None)}
     totals = {r["status"]: r["tests"] for r in store_qa(lake, "dev", results).collect()}
-    assert totals == {"FAIL": 16}
+    assert totals == {"FAIL": 22}
     # a second run is summarized alone, but both are kept
-    assert store_qa(lake, "dev", run_qa(lake)).first()["tests"] == 16
-    assert lake.table("monitoring", "qa_test_results").read().count() == 32
+    assert store_qa(lake, "dev", run_qa(lake)).first()["tests"] == 22
+    assert lake.table("monitoring", "qa_test_results").read().count() == 44
 
 
 def test_missing_columns_fail(spark, lake):
@@ -90,6 +90,34 @@ def test_missing_columns_fail(spark, lake):
     assert "email" in got["bronze.customers required columns"]["details"]
 
 
+def test_broken_tables_are_reported_not_raised(spark, lake):
+    """No key column, no measure, no validity, no metrics for most datasets: a row for each."""
+    lake.table("silver", "customers").overwrite(spark.createDataFrame([("x",)], "email string"))
+    lake.table("gold", "fact_orders").overwrite(spark.createDataFrame([("o",)], "order_id string"))
+    lake.table("gold", "customer_sales_summary").overwrite(spark.createDataFrame([("c",)], "customer_id string"))
+    lake.table("gold", "dim_customer").overwrite(spark.createDataFrame([("c",)], "customer_id string"))
+    lake.table("monitoring", "silver_dq_metrics/orders").overwrite(
+        spark.sql(
+            "SELECT 'e' environment, 'orders' dataset, 'b' batch_id, -1 micro_batch_id, 'PASS' dq_status, "
+            "0.0D dq_failure_rate_percent, 1.0D dq_failure_threshold_percent, now() recorded_at"
+        )
+    )
+    got = {r["test_name"]: (r["status"], r["details"]) for r in run_qa(lake).collect()}
+    assert got["silver.customers business-key uniqueness"] == ("FAIL", "cannot run, missing: customer_id")
+    assert got["silver.customers non-empty"][0] == "PASS"
+    assert got["gold.customer_sales_summary reconciles to the fact"][0] == "WARN"
+    assert got["gold.dim_customer SCD2 current-row integrity"][0] == "FAIL"
+    assert got["gold.dim_customer for fact_orders covers customer_id"][0] == "FAIL"
+    assert got["DQ latest status: orders"][0] == "PASS"
+    assert got["DQ latest status: returns"][0] == "FAIL"
+
+
+def test_bronze_checks_take_one_pass(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", None)], "k string, _corrupt_record string")
+    got = [(r["status"], r["actual"]) for r in checks.check_bronze(df, "B", "t", 3).collect()]
+    assert got == [("PASS", "2"), ("WARN", '{"rescued":0,"corrupt":1}'), ("WARN", "2")]
+
+
 def test_unchanged_counts_copies(spark):
     one = spark.createDataFrame([("a", None), ("b", 1), ("b", 1)], "k string, n int")
     assert status(checks.check_unchanged(one, one.orderBy("k"), "L", "t")) == "PASS"
