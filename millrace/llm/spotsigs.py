@@ -91,23 +91,24 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next_text) for every row of ``docs``.
 
     Of rows that repeat a doc_id the smallest text counts as the next one's; a null doc_id is
-    followed by the first document. The texts are shuffled once by id and once more to where
-    they come next; ids are shuffled by themselves.
+    followed by the first document. The texts are shuffled by id once, an exchange that both
+    joins use, and once more to where they come next; ids are shuffled by themselves.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     order = next_ids(rows.select("doc_id"))
     texts = rows.where("doc_id is not null")
     if not texts.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    followers = order.join(
-        texts.select(F.col("doc_id").alias("next_id"), F.col("text").alias("next_text")), "next_id"
-    ).select(F.col("doc_id").alias("before"), "next_text")
-    named = rows.join(followers, rows["doc_id"] == followers["before"], "left").drop("before")
+    followers = order.join(texts, order["next_id"] == texts["doc_id"]).select(
+        order["doc_id"].alias("before"), F.col("text").alias("next_text")
+    )
+    own = rows.where("doc_id is not null")
+    named = own.join(followers, own["doc_id"] == followers["before"]).drop("before")
     if rows.where("doc_id is null").isEmpty():
         return named
     first = texts.orderBy("doc_id").limit(1).select(F.col("text").alias("first_text"))
     lone = rows.where("doc_id is null").join(first, how="left")
-    return named.where("doc_id is not null").unionByName(
+    return named.unionByName(
         lone.select("doc_id", "text", F.coalesce("first_text", "text").alias("next_text"))
     )
 
