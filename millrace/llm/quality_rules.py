@@ -20,6 +20,7 @@ MOST_CONDITIONS = 3
 MOST_RULES = 12
 LEAST_PRECISION = 0.95  # of a rule, on rows that it was not grown on
 LEAST_COVERED = 3  # rejected rows that a rule must find among those
+SLACK = 0.005  # gain given up for distance from kept rows
 PRUNING_SHARE = 3  # one row in so many is kept for pruning
 
 FEATURES = (
@@ -164,6 +165,7 @@ def fits(rule: Rule, of: Column) -> Column:
 
 
 def cut_points(labelled: DataFrame) -> dict[str, list[float]]:
+    """Quantiles of each feature among kept and among rejected rows, and the middles between them."""
     shares = F.array(*(F.lit((k + 1) / (CUTS + 1)) for k in range(CUTS)))
     rejected = [
         F.percentile_approx(F.when(F.col("rejected") == r, F.col("m")[f].cast("double")), shares, 1000).alias(f"{f}_{r}")
@@ -171,7 +173,11 @@ def cut_points(labelled: DataFrame) -> dict[str, list[float]]:
         for r in (0, 1)
     ]
     found = labelled.agg(*rejected).first()
-    return {f: sorted({c for r in (0, 1) for c in found[f"{f}_{r}"] or ()}) for f in FEATURES}
+    cuts = {}
+    for f in FEATURES:
+        values = sorted({c for r in (0, 1) for c in found[f"{f}_{r}"] or ()})
+        cuts[f] = sorted({*values, *((a + b) / 2 for a, b in zip(values, values[1:]))})
+    return cuts
 
 
 def binned(labelled: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
@@ -205,21 +211,30 @@ def totals(tally: dict, side: int) -> tuple[int, int]:
 
 
 def best_condition(tally: dict, cuts: dict[str, list[float]]):
-    """(gain, feature, above, cut index) with the largest information gain for rejected rows."""
+    """(gain, feature, above, cut index) with the largest information gain for rejected rows.
+
+    Of the cuts of that feature and side that are as good within SLACK, the one that rejects
+    least: a rule keeps its distance from the kept rows where nothing lies between.
+    """
     kept, rejected = totals(tally, 0)
     if not rejected:
         return None
-    before, best = math.log2(rejected / (rejected + kept)), None
+    before = math.log2(rejected / (rejected + kept))
+    tried: dict[tuple[str, bool], list[tuple[float, int]]] = {}
     for k, f in enumerate(FEATURES):
         low = [0, 0]
         for c in range(len(cuts[f])):
             low = [a + b for a, b in zip(low, tally.get((0, k, c), (0, 0)))]
             for above, (n, p) in ((False, low), (True, (kept - low[0], rejected - low[1]))):
                 if p:
-                    gain = p * (math.log2(p / (p + n)) - before)
-                    if best is None or gain > best[0] + 1e-9:
-                        best = (gain, f, above, c)
-    return best
+                    tried.setdefault((f, above), []).append((p * (math.log2(p / (p + n)) - before), c))
+    if not tried:
+        return None
+    feature, above = max(tried, key=lambda t: max(tried[t])[0])
+    best = max(gain for gain, _ in tried[feature, above])
+    close = [(c if above else -c, gain) for gain, c in tried[feature, above] if gain >= best * (1 - SLACK)]
+    place, gain = max(close)
+    return gain, feature, above, abs(place)
 
 
 def learn(labelled: DataFrame) -> list[Rule]:
