@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,8 +15,9 @@ from millrace.llm.shared import keyed, stored
 
 #: Consecutive sentences in a span, and the words it has at least.
 SENTENCES, WORDS = 3, 25
-#: Longer sentences count as several, cut after so many words.
-LONG = 16
+#: Sentences of more words count as several: they are cut after every word whose hash is a
+#: multiple of CUT, wherever the sentence began, and after twice as many words at the latest.
+LONG, CUT = 16, 8
 ROWS_OUT = 50_000
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)\s*")
@@ -23,7 +25,7 @@ _WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
-    """The text in pieces that join to it again: sentences, cut after every LONG words."""
+    """The text in pieces that join to it again: sentences, long ones cut where their words say."""
     out: list[str] = []
     for m in _SENTENCE.finditer(text):
         piece = m[0]
@@ -33,9 +35,14 @@ def sentences(text: str) -> list[str]:
         if len(words) <= LONG:
             out.append(piece)
             continue
-        lead = piece[: len(piece) - sum(map(len, words))]
-        cut = ["".join(words[i : i + LONG]) for i in range(0, len(words), LONG)]
-        out += [lead + cut[0], *cut[1:]]
+        held = [piece[: len(piece) - sum(map(len, words))]]
+        for word in words:
+            held.append(word)
+            if zlib.crc32(word.strip().lower().encode()) % CUT == 0 or len(held) > 2 * LONG:
+                out.append("".join(held))
+                held = []
+        if held:
+            out.append("".join(held))
     return out
 
 

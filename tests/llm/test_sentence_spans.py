@@ -57,3 +57,13 @@ def test_edges(docs_of, words):
     twice = sentence_spans.remove_repeated_spans(docs_of([(1, base, "a"), (1, base, "a"), (None, base, None)])).collect()
     assert sorted(r["text"] for r in twice) == ["", "", base]
     assert sentence_spans.remove_repeated_spans(docs_of([])).collect() == []
+
+
+def test_a_passage_inside_other_sentences_is_caught(docs_of, words):
+    """It begins and ends in the middle of sentences; most of it goes, what surrounds it stays."""
+    passage = words(70, 5).replace(".", "")
+    before, after = words(30, 1).replace(".", "") + " ", " " + words(30, 2).replace(".", "")
+    texts = [words(40, 3) + " " + passage + " " + words(40, 4), before + passage + after]
+    rows = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeated_spans(docs_of(texts)).collect()}
+    left = rows[1].split()
+    assert len(left) <= 60 + 25 and rows[1].startswith(before.strip()) and rows[1].endswith(after.strip())
