@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.shared import stored
+from millrace.llm.shared import in_batches, stored
 
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
@@ -233,8 +233,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH) ->
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     encoded = stored(
-        rows.mapInArrow(_encoder(vocabulary), "doc_id long, curve long, doc_tokens long, ids binary"), "packing-ids"
+        in_batches(rows, _encoder(vocabulary), "doc_id long, curve long, doc_tokens long, ids binary"), "packing-ids"
     )
     order = ("curve", "doc_id", "doc_tokens")
     along = encoded.repartitionByRange(*order).sortWithinPartitions(*order)
-    return along.select("doc_id", "ids").mapInArrow(_cutter(length), ", ".join(f"{c} long" for c in PIECES))
+    return in_batches(along.select("doc_id", "ids"), _cutter(length), ", ".join(f"{c} long" for c in PIECES))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.shared import in_batches
+
 #: Texts are indexed and scanned in segments of about this many characters.
 SEGMENT_CHARS = 4_000_000
 #: A set of alternative strings is kept whole up to this size, then only its trigrams are.
@@ -209,7 +211,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("secrets", T.ArrayType(SPAN))])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_scanner(tuple(rules), finish), schema)
+    return in_batches(rows, _scanner(tuple(rules), finish), schema)
 
 
 def redacted(text: str, found: list[tuple[int, int, int]], mask: str) -> str:
@@ -246,4 +248,4 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RU
             )
         return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(_scanner(tuple(rules), finish), docs.schema)
+    return in_batches(docs, _scanner(tuple(rules), finish), docs.schema)

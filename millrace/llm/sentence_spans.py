@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import keyed, stored
+from millrace.llm.shared import in_batches, keyed, stored
 
 #: Consecutive sentences in a span, and the words it has at least.
 SENTENCES, WORDS = 3, 25
@@ -117,7 +117,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     rows = keyed(docs, "spans-rows")
-    every = stored(rows.select("key", "text").mapInArrow(_spans, SPAN), "spans-all")
+    every = stored(in_batches(rows.select("key", "text"), _spans, SPAN), "spans-all")
     firsts = every.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "at")).alias("first"))
     repeated = stored(
         firsts.where("times > 1").select("hash", "more", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")),
@@ -127,4 +127,4 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     by_text = stored(later.select("key", "at", "n"), "spans-later").groupBy("key").agg(
         F.collect_list(F.struct("at", "n")).alias("found")
     )
-    return rows.join(by_text, "key", "left").select("doc_id", "text", "found").mapInArrow(_clean, CLEANED)
+    return in_batches(rows.join(by_text, "key", "left").select("doc_id", "text", "found"), _clean, CLEANED)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,19 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: Texts go to Python in batches of about this many bytes, whatever their number.
+BATCH_BYTES = 8 << 20
+
+
+def in_batches(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``, with the session's batches cut to BATCH_BYTES if they are larger."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if int(re.sub(r"\D", "", conf.get(setting)) or 0) > BATCH_BYTES:
+        conf.set(setting, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def whole_row(df: DataFrame):
     """All columns as one struct, so that no name of theirs clashes with a working column."""
     return F.struct(*(F.col(f"`{c}`") for c in df.columns))

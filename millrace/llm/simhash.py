@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import components, stored, whole_row
+from millrace.llm.shared import components, in_batches, stored, whole_row
 
 BITS = 64
 SHINGLE = 3
@@ -44,7 +44,7 @@ def _simhashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, print) per row; ``print`` is the fingerprint as a signed long. Null text: 0."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_simhashes, "doc_id long, print long")
+    return in_batches(rows, _simhashes, "doc_id long, print long")
 
 
 def digits(column: str) -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import keyed, stored
+from millrace.llm.shared import in_batches, keyed, stored
 
 #: Strings of this many bytes are removed wherever they occur twice or more.
 LENGTH = 400
@@ -400,26 +400,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs, "suffix-rows")
     texts = rows.select("key", "text")
     samples = stored(
-        texts.mapInArrow(_samples, "key long, hash long, at long, first long, last long"), "suffix-samples"
+        in_batches(texts, _samples, "key long, hash long, at long, first long, last long"), "suffix-samples"
     )
     ranks = stored(samples.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-ranks")
     hits = samples.join(ranks, "hash").groupBy("key").agg(
         F.collect_list(F.struct("hash", "n", "at", "first", "last")).alias("hits")
     )
-    contexts = stored(texts.join(hits, "key").mapInArrow(_contexts, CONTEXT), "suffix-contexts")
+    contexts = stored(in_batches(texts.join(hits, "key"), _contexts, CONTEXT), "suffix-contexts")
     cold = contexts.where(F.col("n") <= HOT).select("hash", "left", "context", "key", "firsts")
-    found = cold.repartition("hash").sortWithinPartitions("hash").mapInArrow(_blocks, FOUND)
+    found = in_batches(cold.repartition("hash").sortWithinPartitions("hash"), _blocks, FOUND)
     hot = ranks.where(F.col("n") > HOT).agg(F.sum("n").alias("n")).first()["n"]
     if hot:
         buckets = -(-hot * (LENGTH - GRAM) // BUCKET)
-        windows = stored(
-            contexts.where(F.col("n") > HOT)
-            .select("context", "key", "firsts")
-            .mapInArrow(_window_records(buckets), "bucket long, records binary"),
-            "suffix-windows",
-        )
+        own = contexts.where(F.col("n") > HOT).select("context", "key", "firsts")
+        windows = stored(in_batches(own, _window_records(buckets), "bucket long, records binary"), "suffix-windows")
         at_once = windows.where("bucket < 0").mapInArrow(_settled, FOUND)
         onward = windows.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
-        found = found.union(at_once).union(onward.mapInArrow(_buckets, FOUND))
+        found = found.union(at_once).union(in_batches(onward, _buckets, FOUND))
     by_text = stored(found, "suffix-found").groupBy("key").agg(F.collect_list("ranges").alias("found"))
-    return rows.join(by_text, "key", "left").select("doc_id", "text", "found").mapInArrow(_remove, REMOVED)
+    return in_batches(rows.join(by_text, "key", "left").select("doc_id", "text", "found"), _remove, REMOVED)
