@@ -38,7 +38,9 @@ def in_batches(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow``, with the session's batches cut to BATCH_BYTES if they are larger."""
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
     conf = df.sparkSession.conf
-    if int(re.sub(r"\D", "", conf.get(setting)) or 0) > BATCH_BYTES:
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", conf.get(setting).strip().lower()).groups()
+    size = int(number) << 10 * " kmgt".index(unit or " ")
+    if not 0 < size <= BATCH_BYTES:
         conf.set(setting, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
