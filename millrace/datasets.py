@@ -94,6 +94,7 @@ class Dataset:
         return replace(self, rules=tuple(rules), dq_alert_percent=percent)
 
 
+# Keys, required columns, rules, their texts and thresholds.
 DATASETS: dict[str, Dataset] = {
     d.name: d
     for d in (
@@ -176,7 +177,7 @@ DATASETS: dict[str, Dataset] = {
     )
 }
 
-# The earlier rule set, kept for gating rows before bronze. Its alert threshold is 10 %.
+# The earlier rule set, kept for gating rows before bronze. Its alert threshold is 10 %.
 STRICT_GATE: dict[str, Dataset] = {
     "customers": replace(
         DATASETS["customers"],

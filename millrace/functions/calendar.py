@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def calendar_columns(name: str) -> dict[str, Column]:
-    """Week is the ISO week; day_of_week counts from Sunday = 1."""
+    """Week is the ISO week; day_of_week counts from Sunday = 1. The names."""
     day = F.col(name)
     return {
         "date_key": F.date_format(day, "yyyyMMdd").cast("int"),

@@ -14,6 +14,7 @@ LINEAGE = ("_ingestion_timestamp", "_source_file")
 def fact_orders(orders: DataFrame) -> DataFrame:
     """One row per order with gross and net amount; an unknown discount counts as none."""
     gross = F.col("quantity") * F.col("unit_price")
+    # The fact's columns.
     return orders.select(
         "order_id",
         "customer_id",
@@ -31,6 +32,7 @@ def fact_orders(orders: DataFrame) -> DataFrame:
 
 
 def fact_returns(returns: DataFrame) -> DataFrame:
+    # The fact's columns.
     return returns.select(
         "return_id",
         "order_id",

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Names of measures, here and in the aliases below.
 MEASURES = ("quantity", "gross_amount", "discount_amount", "net_sales_amount")
 
 

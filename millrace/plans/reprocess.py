@@ -63,6 +63,7 @@ def reprocess_batch(silver: Silver, batch_id: str) -> dict:
     batch = silver.lake.spark.createDataFrame([(batch_id,)], "_batch_id string")
     replace_quarantined(silver, kept, batch)
 
+    # The names of the result.
     return {
         "dataset": dataset.name,
         "batch_id": batch_id,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from millrace.sources.lake import Lake
 
+# The log's columns.
 RUN_LOG_DDL = """
     log_id string, environment string, job_id string, run_id string, task_run_id string,
     task_key string, notebook_name string, cell_name string, domain string, dataset string,

@@ -444,6 +444,33 @@ def oracles() -> dict[str, str]:
     )
     out["dq_metrics_gate"] = D(CUSTOMER_METRICS_SQL.format(assessed=gate, threshold="10.0"))
 
+    gates = {
+        "customers": ("ds_customers", [
+            *blank("customer_id", "email", "signup_date", "customer_segment"), EMAIL]),
+        "products": ("ds_products", [
+            *blank("product_id", "product_name", "category", "unit_price", "currency"), ("unit_price < 0", "low")]),
+        "orders": ("ds_lines", [
+            *blank("order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price",
+                   "payment_method", "order_status"),
+            ("quantity <= 0", "low"), ("unit_price < 0", "low"), ("discount_amount < 0", "low")]),
+        "clickstream": ("ds_clickstream", [
+            *blank("event_id", "customer_id", "event_timestamp", "event_type", "session_id"),
+            ("trim(event_type) = ''", "empty")]),
+        "returns": ("ds_returns", [
+            *blank("return_id", "order_id", "customer_id", "product_id", "return_date", "return_quantity",
+                   "refund_amount", "return_status"),
+            ("return_quantity <= 0", "low"), ("refund_amount < 0", "low")]),
+    }
+    held = "count(*) FILTER (_quality_status = 'QUARANTINE')"
+    out["bronze_gate"] = D(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS dataset, count(*) AS total_records, {held} AS quarantined_records,
+                CASE WHEN 100.0 * {held} / count(*) > 10 THEN 'FAIL' ELSE 'PASS' END AS gate
+                FROM ({reasons(frame, '*', *tests)})"""
+            for name, (frame, tests) in gates.items()
+        )
+    )
+
     # One row per key.
     out["dedup_latest"] = D(
         latest_orders(columns=ORDER_COLUMNS + ", _ingestion_timestamp, _batch_id")

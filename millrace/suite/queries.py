@@ -310,6 +310,21 @@ def dq_metrics_gate(spark, sf):
     return customer_metrics(spark, sf, STRICT_GATE["customers"]).drop("recorded_at")
 
 
+@query
+def bronze_gate(spark, sf):
+    """All five rule sets of the gate before bronze: what each would have held back."""
+    found = None
+    for name, spec in STRICT_GATE.items():
+        rows = assess(src.FRAMES[name](spark, sf), spec.required, spec.rules)
+        held = F.count_if(F.col("_quality_status") == "QUARANTINE")
+        counts = rows.agg(F.count(F.lit(1)).alias("total_records"), held.alias("quarantined_records"))
+        rate = 100.0 * F.col("quarantined_records") / F.col("total_records")
+        status = F.when(rate > spec.dq_alert_percent, "FAIL").otherwise("PASS")
+        row = counts.select(F.lit(name).alias("dataset"), "*", status.alias("gate"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 # -- one row per key ---------------------------------------------------------------
 
 
