@@ -20,7 +20,7 @@ MOST_CONDITIONS = 3
 MOST_RULES = 12
 LEAST_PRECISION = 0.95  # of a rule, on rows that it was not grown on
 LEAST_COVERED = 3  # rejected rows that a rule must find among those
-SLACK = 0.005  # gain given up for distance from kept rows
+SLACK = 0.005  # gain given up for distance from both kinds of rows
 PRUNING_SHARE = 3  # one row in so many is kept for pruning
 
 FEATURES = (
@@ -210,11 +210,12 @@ def totals(tally: dict, side: int) -> tuple[int, int]:
     return sum(v[0] for v in own), sum(v[1] for v in own)
 
 
-def best_condition(tally: dict, cuts: dict[str, list[float]]):
+def best_condition(tally: dict, cuts: dict[str, list[float]], but: frozenset = frozenset()):
     """(gain, feature, above, cut index) with the largest information gain for rejected rows.
 
-    Of the cuts of that feature and side that are as good within SLACK, the one that rejects
-    least: a rule keeps its distance from the kept rows where nothing lies between.
+    Of the cuts of that feature and side that are as good within SLACK, the middle one: a rule
+    keeps its distance from both kinds of rows where nothing lies between. ``but``:
+    (feature, above) that have been tried in vain.
     """
     kept, rejected = totals(tally, 0)
     if not rejected:
@@ -226,15 +227,17 @@ def best_condition(tally: dict, cuts: dict[str, list[float]]):
         for c in range(len(cuts[f])):
             low = [a + b for a, b in zip(low, tally.get((0, k, c), (0, 0)))]
             for above, (n, p) in ((False, low), (True, (kept - low[0], rejected - low[1]))):
-                if p:
+                if p and (f, above) not in but:
                     tried.setdefault((f, above), []).append((p * (math.log2(p / (p + n)) - before), c))
     if not tried:
         return None
     feature, above = max(tried, key=lambda t: max(tried[t])[0])
     best = max(gain for gain, _ in tried[feature, above])
-    close = [(c if above else -c, gain) for gain, c in tried[feature, above] if gain >= best * (1 - SLACK)]
-    place, gain = max(close)
-    return gain, feature, above, abs(place)
+    close = [(c, gain) for gain, c in tried[feature, above] if gain >= best * (1 - SLACK)]
+    values = [cuts[feature][c] for c, _ in close]
+    middle = (min(values) + max(values)) / 2
+    c, gain = min(close, key=lambda t: abs(cuts[feature][t[0]] - middle))
+    return gain, feature, above, c
 
 
 def learn(labelled: DataFrame) -> list[Rule]:
@@ -242,20 +245,21 @@ def learn(labelled: DataFrame) -> list[Rule]:
 
     Sequential covering: a conjunction is grown one threshold at a time by information gain
     over the rows no rule covers yet, cut back to the prefix that does best on the rows kept
-    for pruning, and taken if it is precise there. All counts are sums over a stored table of
-    binned rows; the driver sees a few hundred of them per step. No labelled row, or none
-    rejected, gives no rule.
+    for pruning, and taken if it is precise there; else the next best first condition is tried,
+    until none is left. All counts are sums over a stored table of binned rows; the driver sees
+    some hundred of them per step. No labelled row, or none rejected, gives no rule.
     """
     cuts = cut_points(labelled)
     if not any(cuts.values()):
         return []
     rest = binned(labelled, cuts)
+    rest_tally = tallies(rest)
     rules: list[Rule] = []
+    vain: frozenset = frozenset()
     while len(rules) < MOST_RULES:
-        inside, grown, tried = rest, [], []
-        tally = tallies(inside)
+        inside, tally, grown, tried = rest, rest_tally, [], []
         while len(grown) < MOST_CONDITIONS:
-            best = best_condition(tally, cuts)
+            best = best_condition(tally, cuts, frozenset() if grown else vain)
             if best is None or best[0] <= 1e-9:
                 break
             _, feature, above, c = best
@@ -264,20 +268,23 @@ def learn(labelled: DataFrame) -> list[Rule]:
             tally = tallies(inside)
             n, p = totals(tally, 1)
             worth = (p - n) / (p + n) if p + n else -1.0
-            tried.append((worth, -len(grown), p, n, inside, tuple(grown)))
+            tried.append((worth, -len(grown), p, n, tuple(grown)))
             if not totals(tally, 0)[0]:
                 break
         if not tried:
             break
-        _, _, p, n, _, rule = max(tried, key=lambda t: t[:2])
+        _, _, p, n, rule = max(tried, key=lambda t: t[:2])
         if p < LEAST_COVERED or p < LEAST_PRECISION * (p + n):
-            break
+            vain |= {(grown[0].feature, grown[0].above)}
+            continue
         rules.append(rule)
+        vain = frozenset()
         covered = F.lit(True)
         for condition in rule:
             c = cuts[condition.feature].index(condition.cut)
             covered &= F.col(condition.feature) > c if condition.above else F.col(condition.feature) <= c
         rest = rest.where(~covered)
+        rest_tally = tallies(rest)
     return rules
 
 
