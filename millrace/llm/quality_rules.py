@@ -236,7 +236,7 @@ def best_condition(tally: dict, cuts: dict[str, list[float]], but: frozenset = f
     close = [(c, gain) for gain, c in tried[feature, above] if gain >= best * (1 - SLACK)]
     values = [cuts[feature][c] for c, _ in close]
     middle = (min(values) + max(values)) / 2
-    c, gain = min(close, key=lambda t: abs(cuts[feature][t[0]] - middle))
+    c, gain = min(close, key=lambda t: (abs(cuts[feature][t[0]] - middle), -t[0] if above else t[0]))
     return gain, feature, above, c
 
 
