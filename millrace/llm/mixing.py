@@ -63,48 +63,57 @@ def preference(size: str = "size") -> Column:
     return 0.25 + 0.75 * F.least(F.lit(1.0), F.col(size) / FULL_PREFERENCE_WORDS)
 
 
-def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, total_percent: int = TOTAL_PERCENT, most: int = MOST_COPIES) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs``.
-
-    A source to be taken r times gives every document floor(r) whole copies for certain. The
-    fraction left is drawn by Pareto order sampling: a document's chance p to be included is
-    1 - (1 - fraction) ** preference, u is its own random number, and documents are ranked by
-    (u / (1 - u)) / (p / (1 - p)). The sample's size is fixed in words: ranks are taken for as
-    long as they fit into the words needed, and the last place goes to the document left
-    whose size comes closest to the words still lacking.
-
-    Ranks are cut into buckets and only the bucket in which the words run out is looked at
-    more closely, level by level, so that no source is ever sorted in one task. Random numbers
-    come from doc_id and size, hence reruns and other partitionings agree. Null text: size 0,
-    taken 0. Null source: a source of its own, last in order. Documents of equal rank go by
-    doc_id; rows that repeat id, source and size are together one entry with the count of
-    their copies added up, so each of them is taken or left alike.
-    """
-    sized = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size")), "mix-sizes")
-    targets = stored(source_targets(sized, weights, total_percent, most), "mix-targets")
+def with_rank(rows: DataFrame, seed: str) -> DataFrame:
+    """Adds ``sure`` (whole copies for certain), ``fraction`` and ``rank`` (0 to 1) to rows with
+    doc_id, size, source_size and target. The rank falls with the odds of being included."""
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    u, f, p = F.col("u"), F.col("fraction"), F.col("p")
+    u, p = F.col("u"), F.col("p")
     odds = (u / (1 - u)) / (p / (1 - p))
-    known = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    entries = known.withColumns(
-        {"sure": F.floor(ratio).cast("long"), "u": uniform(seed)}
-    ).withColumn("fraction", ratio - F.col("sure"))
-    drawn = entries.withColumn("p", 1 - F.pow(1 - f, preference())).withColumn(
-        "rank", F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(F.lit(1.0))
+    known = rows.withColumns({"sure": F.floor(ratio).cast("long"), "u": uniform(seed)})
+    chance = known.withColumn("fraction", ratio - F.col("sure")).withColumn(
+        "p", 1 - F.pow(1 - F.col("fraction"), preference())
     )
-    ranked = stored(drawn.drop("u", "p"), "mix-ranked")
+    return chance.withColumn("rank", F.when(p > 0, odds / (1 + odds)).otherwise(F.lit(1.0))).drop("u", "p")
+
+
+def by_source(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of a table that has one row per source; null is a source."""
+    of = table.withColumnRenamed("source", "of_source")
+    return rows.join(of, F.col("source").eqNullSafe(F.col("of_source")), how).drop("of_source")
+
+
+def in_bucket() -> Column:
+    high = F.col("low") + F.col("width")
+    return (F.col("rank") >= F.col("low")) & ((F.col("rank") < high) | (high == 1))
+
+
+def place() -> Column:
+    return F.struct("rank", "doc_id", "size")
+
+
+def drawn() -> Column:
+    """Whether a row's rank lies before the place where its source's words run out."""
+    return (F.col("rank") < F.col("low")) | F.coalesce(in_bucket() & (place() <= F.col("limit")), F.lit(False))
+
+
+def source_cuts(sized: DataFrame, seed: str, weights, total_percent: int, most: int) -> DataFrame:
+    """One row per source of ``sized`` (doc_id, source, size): all that decides about a document.
 
-    # Where the words of each source run out: (source, low, high, needed) in ever finer buckets.
+    Ranks are cut into buckets, and only the bucket in which a source's words run out is looked
+    at more closely, level by level, so that no source is ever sorted in one task.
+    """
+    targets = stored(source_targets(sized, weights, total_percent, most), "mix-targets")
+    ranked = stored(with_rank(by_source(sized, targets), seed), "mix-ranked")
     needed = F.round(F.max("fraction") * F.max("source_size"))
     cut = ranked.groupBy("source").agg(needed.alias("needed")).select(
         "source", F.lit(0.0).alias("low"), F.lit(1.0).alias("width"), "needed"
     )
     cut = stored(cut, "mix-cut")
     for _ in range(LEVELS):
-        inside = ranked.join(cut.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
         step = F.least(F.lit(BUCKETS - 1), F.floor((F.col("rank") - F.col("low")) / F.col("width") * BUCKETS)).cast("int")
         counted = (
-            inside.where("rank >= low and (rank < low + width or low + width = 1)")
+            by_source(ranked, cut)
+            .where(in_bucket())
             .withColumn("step", step)
             .groupBy("source", "low", "width", "needed", "step")
             .agg(F.sum("size").cast("double").alias("words"))
@@ -121,56 +130,73 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, total_percent: int
             ),
             "mix-cut",
         )
-    edge = ranked.join(cut.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    high = F.col("low") + F.col("width")
-    inside = (F.col("rank") >= F.col("low")) & ((F.col("rank") < high) | (high == 1))
     close = (
-        edge.where(inside)
+        by_source(ranked, cut)
+        .where(in_bucket())
         .groupBy("source", "rank", "doc_id", "size", "needed")
         .agg(F.sum("size").cast("double").alias("words"))
     )
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("rank", "doc_id", "size"))
     won = close.withColumn("upto", upto).where("upto <= needed").groupBy("source").agg(
-        F.max(F.struct("rank", "doc_id", "size")).alias("limit"), F.max("upto").alias("used")
-    )
-    me = F.struct("rank", "doc_id", "size")
-    limits = stored(won.withColumnRenamed("source", "of"), "mix-limits")
-    reached = (
-        edge.join(limits, F.col("source").eqNullSafe(F.col("of")), "left")
-        .drop("of")
-        .withColumn("drawn", (F.col("rank") < F.col("low")) | F.coalesce(inside & (me <= F.col("limit")), F.lit(False)))
-        .withColumn("lacking", F.col("needed") - F.coalesce("used", F.lit(0.0)))
+        F.max(place()).alias("limit"), F.max("upto").alias("used")
     )
+    lacking = F.col("needed") - F.coalesce("used", F.lit(0.0))
+    limits = stored(by_source(cut, won, "left").withColumn("lacking", lacking).drop("needed", "used"), "mix-limits")
     # The last place goes to the document left that fits the words still lacking best.
     misfit = F.abs(F.col("size") - F.col("lacking"))
-    last = (
-        reached.where(~F.col("drawn") & (F.col("fraction") > 0) & (misfit < F.col("lacking")))
-        .groupBy("source")
-        .agg(F.min(F.struct(misfit.alias("misfit"), "rank", "doc_id", "size")).alias("last"))
+    left = by_source(ranked, limits).where(~drawn() & (F.col("fraction") > 0) & (misfit < F.col("lacking")))
+    last = left.groupBy("source").agg(
+        F.min(F.struct(misfit.alias("misfit"), "rank", "doc_id", "size")).alias("last")
     )
-    last = stored(last.select(F.col("source").alias("of"), "last"), "mix-last")
-    final = reached.join(last, F.col("source").eqNullSafe(F.col("of")), "left")
-    is_last = me.eqNullSafe(F.struct("last.rank", "last.doc_id", "last.size")) & F.col("last").isNotNull()
-    once_more = F.when((F.col("fraction") > 0) & (F.col("drawn") | is_last), 1).otherwise(0)
-    copies = F.col("sure") + once_more
-    return final.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+    everything = by_source(by_source(targets, limits), last, "left")
+    return stored(everything.drop("lacking"), "mix-cuts")
+
+
+def with_copies(rows: DataFrame, cuts: DataFrame, seed: str) -> DataFrame:
+    """``rows`` (doc_id, source, size, ...) with source_size, target and ``copies``."""
+    known = with_rank(by_source(rows, cuts), seed)
+    is_last = F.col("last").isNotNull() & place().eqNullSafe(F.struct("last.rank", "last.doc_id", "last.size"))
+    once_more = F.when((F.col("fraction") > 0) & (drawn() | is_last), 1).otherwise(0)
+    return known.withColumn("copies", F.col("sure") + once_more)
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"))
+
+
+def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, total_percent: int = TOTAL_PERCENT, most: int = MOST_COPIES) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs``.
+
+    A source to be taken r times gives every document floor(r) whole copies for certain. The
+    fraction left is drawn by Pareto order sampling: a document's chance p to be included is
+    1 - (1 - fraction) ** preference, u is its own random number, and documents are ranked by
+    (u / (1 - u)) / (p / (1 - p)). The sample's size is fixed in words: ranks are taken for as
+    long as they fit into the words needed, and the last place goes to the document left
+    whose size comes closest to the words still lacking.
+
+    Random numbers come from doc_id and size, hence reruns and other partitionings agree. Null
+    text: size 0, taken 0. Null source: a source of its own, last in order. Documents of equal
+    rank go by doc_id; rows that repeat id, source and size are taken or left alike.
+    """
+    sized = stored(sizes(docs), "mix-sizes")
+    cuts = source_cuts(sized, seed, weights, total_percent, most)
+    return with_copies(sized, cuts, seed).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, seed: str = "mix", weights=WEIGHTS, total_percent: int = TOTAL_PERCENT, most: int = MOST_COPIES
+) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it has copies, all columns kept.
 
-    Rows are told apart by doc_id, source and size. A document without words has no copies.
+    Documents meet only the table of sources, so texts are not shuffled. A document without
+    words has no copies.
     """
-    wanted = mix(docs, **settings).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    wanted = stored(wanted, "mix-copies")
-    id_, source, size = F.col("doc_id").cast("long"), F.col("source"), word_count()
-    rows = docs.select(whole_row(docs).alias("row"), id_.alias("of_id"), source.alias("of_source"), size.alias("of_size"))
-    same = (
-        F.col("of_id").eqNullSafe(F.col("doc_id"))
-        & F.col("of_source").eqNullSafe(F.col("source"))
-        & (F.col("of_size") == F.col("size"))
+    cuts = source_cuts(stored(sizes(docs), "mix-sizes"), seed, weights, total_percent, most)
+    rows = docs.select(
+        whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size")
     )
+    taken = with_copies(rows, cuts, seed).where("copies > 0 and size > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return rows.join(wanted, same).select("row", times.alias("nr")).select("row.*")
+    return taken.select("row", times.alias("nr")).select("row.*")
