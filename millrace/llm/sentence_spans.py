@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -15,40 +16,50 @@ from millrace.llm.shared import in_batches, keyed, stored
 
 #: Consecutive sentences in a span, and the words it has at least.
 SENTENCES, WORDS = 3, 25
-#: Sentences of more words count as several: they are cut after every word whose hash is a
-#: multiple of CUT, wherever the sentence began, and after twice as many words at the latest.
-LONG, CUT = 16, 8
+#: Sentences count as several: they are cut after the word with the least hash of every run of
+#: CUT words, so that no piece is longer. Such cuts depend on the words around only: in a run of 50
+#: equal words all but the outer CUT - 1 are cut alike, and hold a whole span wherever it begins:
+#: it starts by word 2 * CUT - 1, has WORDS by CUT - 1 more, and 2 * (2 * CUT - 1) + WORDS - 1 <= 50.
+CUT = 7
 ROWS_OUT = 50_000
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)\s*")
+# Scripts without blanks between words (Thai to Khmer, kana, Han); each character counts as a word.
+_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_HAS_BARE = re.compile(f"[{_BARE}]")
+_UNIT = re.compile(f"[{_BARE}]|[^\\s{_BARE}]+")
 _WORD = re.compile(r"\S+\s*")
+_BARE_WORD = re.compile(f"(?:[{_BARE}]|[^\\s{_BARE}]+)\\s*")
+
+
+def words_of(text: str) -> list[str]:
+    """Words in lower case; characters where there are no blanks."""
+    if text.isascii() or not _HAS_BARE.search(text):
+        return text.lower().split()
+    return _UNIT.findall(text.lower())
+
+
+def winnowed(words: list[str]) -> list[int]:
+    """Places of the words with the least hash, the first of equals, of every CUT words in a row."""
+    if len(words) < CUT:
+        return []
+    hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.int64, len(words))
+    least = np.lib.stride_tricks.sliding_window_view(hashes, CUT).argmin(axis=1)
+    return np.unique(least + np.arange(len(least))).tolist()
 
 
 def sentences(text: str) -> list[str]:
-    """The text in pieces that join to it again: sentences, long ones cut where their words say."""
-    out: list[str] = []
-    for m in _SENTENCE.finditer(text):
-        piece = m[0]
-        if not piece:
-            continue
-        words = _WORD.findall(piece)
-        if len(words) <= LONG:
-            out.append(piece)
-            continue
-        held = [piece[: len(piece) - sum(map(len, words))]]
-        for word in words:
-            held.append(word)
-            if zlib.crc32(word.strip().lower().encode()) % CUT == 0 or len(held) > 2 * LONG:
-                out.append("".join(held))
-                held = []
-        if held:
-            out.append("".join(held))
-    return out
+    """The text in pieces that join to it again: sentences, cut where their words say."""
+    pattern = _WORD if text.isascii() or not _HAS_BARE.search(text) else _BARE_WORD
+    ends = [m.end() for m in pattern.finditer(text)]
+    cuts = {m.end() for m in _SENTENCE.finditer(text)} | {ends[i] for i in winnowed(words_of(text))} | {len(text)}
+    places = sorted(cuts - {0})
+    return [text[a:b] for a, b in zip([0, *places], places)]
 
 
 def spans(pieces: list[str]) -> Iterator[tuple[int, int, str]]:
     """(first, number, normal form) of the shortest span from each sentence on that is long enough."""
-    words = [p.lower().split() for p in pieces]
+    words = [words_of(p) for p in pieces]
     filled = [i for i, w in enumerate(words) if w]
     end = total = 0
     for k, i in enumerate(filled):
@@ -106,8 +117,9 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, n_removed, text) for every row of ``docs`` (doc_id, text, ...).
 
     From every sentence on, the shortest span of SENTENCES or more consecutive sentences with
-    WORDS or more words is hashed (96 bits, case and white space aside); long sentences count
-    as several. All spans meet by hash. The first occurrence, by document and place, stays;
+    WORDS or more words is hashed (96 bits, case and white space aside); sentences count as
+    several (CUT). Every repeated run of 50 words holds a span; up to 2 * CUT - 1 words at each end
+    of it may stay. All spans meet by hash. The first occurrence, by document and place, stays;
     sentences in any later one are removed, in the same document too. Counts and firsts are
     aggregated before the shuffle; the join back to places reads stored tables on both sides,
     so that a span found everywhere is split.

@@ -1,3 +1,5 @@
+import random
+
 from millrace.llm import sentence_spans
 from millrace.llm.queries import queries
 from millrace.llm.sentence_spans import sentences, spans
@@ -67,3 +69,30 @@ def test_a_passage_inside_other_sentences_is_caught(docs_of, words):
     rows = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeated_spans(docs_of(texts)).collect()}
     left = rows[1].split()
     assert len(left) <= 60 + 25 and rows[1].startswith(before.strip()) and rows[1].endswith(after.strip())
+
+
+def spans_shared(texts):
+    return set.intersection(*({normal for _, _, normal in spans(sentences(t))} for t in texts))
+
+
+def test_every_run_of_50_words_holds_a_whole_span(words):
+    """At random places, with and without punctuation, between random words."""
+    rng = random.Random(8)
+    pool = words(30_000, 11).split()
+    bare = [w.strip(".") for w in pool]
+    for k in range(4000):
+        source, other = (pool, bare)[k % 2], (pool, bare)[k // 2 % 2]
+        at = rng.randrange(len(source) - 60)
+        passage = source[at : at + 50 + k % 2]
+        texts = []
+        for _ in range(2):
+            start, n, m = rng.randrange(len(other) - 200), rng.randrange(60), rng.randrange(60)
+            texts.append(" ".join(other[start : start + n] + passage + other[start + n : start + n + m]))
+        assert any(normal in " ".join(passage).lower() for normal in spans_shared(texts)), texts
+
+
+def test_text_without_blanks_counts_characters():
+    rng = random.Random(2)
+    signs = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(n)) for n in (60, 90, 80, 70, 50)]
+    texts = [signs[1] + signs[0] + signs[2], signs[3] + signs[0] + signs[4]]
+    assert spans_shared(texts) and ["".join(sentences(t)) for t in texts] == texts
