@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    exact_dedup,
     html_text,
     mixing,
     packing,
@@ -99,6 +100,11 @@ def op10_suffix_dedup(spark, sf):
     )
 
 
+@query
+def op12_exact_dedup(spark, sf):
+    return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
@@ -158,6 +164,14 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        CAST((sure + CASE WHEN fraction > 0 AND (drawn OR place = 1 AND abs(size - lacking) < lacking) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM placed""",
+    "op12_exact_dedup": r"""
+WITH hashed AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) AS place FROM hashed
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, place = 1 AS kept, text_sha256
+FROM placed WINDOW same AS (PARTITION BY text_sha256)""",
 }
 
 
