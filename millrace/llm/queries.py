@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    collocations,
     exact_dedup,
     html_text,
     mixing,
@@ -100,6 +101,11 @@ def op10_suffix_dedup(spark, sf):
     )
 
 
+@query
+def op11_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 @query
 def op12_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
@@ -164,6 +170,48 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        CAST((sure + CASE WHEN fraction > 0 AND (drawn OR place = 1 AND abs(size - lacking) < lacking) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM placed""",
+    "op11_collocations": r"""
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), lengths AS (
+  SELECT unnest([1, 2, 3, 4, 5]) AS d
+), runs AS (
+  SELECT lang, d, w, unnest(range(1, len(w) - d + 2)) AS i FROM worded, lengths WHERE len(w) >= d
+), phrases AS (
+  SELECT lang, d, w[i:i + d - 1] AS p, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+  SELECT * FROM phrases WHERE d > 1
+), longer AS (
+  SELECT lang, d - 1 AS d, unnest([p[1:d - 1], p[2:d]]) AS p, f FROM candidates WHERE d > 2
+), inside AS (
+  SELECT lang, p, max(f) AS f FROM longer GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside i ON c.lang = i.lang AND c.p = i.p
+  WHERE i.f IS NULL OR 100 * i.f < 100 * c.f
+), cuts AS (
+  SELECT *, unnest(range(1, d)) AS k FROM kept
+), counted AS (
+  SELECT c.lang, c.p, c.f AS a, c.k, x.f AS l, y.f AS r, s.n,
+         (1000::HUGEINT * c.f * s.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN sizes s ON c.lang = s.lang
+  JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+  JOIN phrases y ON y.lang = c.lang AND y.p = c.p[c.k + 1:c.d]
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM counted
+), ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+  FROM lowest WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op12_exact_dedup": r"""
 WITH hashed AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
