@@ -17,6 +17,7 @@ from millrace.llm import (
     secrets,
     sentence_spans,
     simhash,
+    spelling,
     spotsigs,
     suffix_dedup,
     url_filter,
@@ -111,6 +112,11 @@ def op12_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op13_spelling(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
