@@ -226,8 +226,54 @@ WITH hashed AS (
 )
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, place = 1 AS kept, text_sha256
 FROM placed WINDOW same AS (PARTITION BY text_sha256)""",
+    "op13_spelling": r"""
+WITH RECURSIVE steps AS (
+  SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8
+), lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), found AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM lowered
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed, run, count(*) AS n FROM found WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(keyed)), '..'), lambda x: ('0x' || x)::BIGINT)),
+           lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]))) AS h
+  FROM runs, crc
+), spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), less AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON l.rest = w.word
+), ranked AS (
+  SELECT p.word, p.near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS place
+  FROM pairs p JOIN words w ON p.near = w.word
+), judged AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+         CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form, CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1
+), chains AS (
+  SELECT word, form AS at FROM judged WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, j.form FROM chains c JOIN judged j ON c.at = j.word WHERE j.form IS NOT NULL
+), ends AS (
+  SELECT c.word, c.at AS root FROM chains c JOIN judged j ON c.at = j.word WHERE j.form IS NULL
+)
+SELECT j.word, j.n, j.n_near, j.form, j.form_n, coalesce(e.root, j.word) AS root FROM judged j LEFT JOIN ends e ON j.word = e.word""",
 }
 
 
 def oracles() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(ORACLES)
\ No newline at end of file
