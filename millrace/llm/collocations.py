@@ -1,6 +1,6 @@
 """Phrases whose words occur together more often than apart, from FM-indexes over word ids.
 
-Texts are cut into shards of some two million words where they are read. Each shard is one
+Texts are cut into shards of up to six million words where they are read. Each shard is one
 FM-index (``fm_index``) and is stored; its phrases are enumerated by extending BWT intervals to
 the left and to the right. Counts are summed across shards one length at a time where that
 prunes: words, then pairs of frequent words, then all longer phrases of frequent pairs. What
@@ -26,9 +26,11 @@ LONGEST = 5
 LEAST = 100
 PERCENT = 100  # a phrase inside a longer one that has so much of its count is dropped
 TOP = 2000
-#: Words of a shard, and bytes of a text that are split into words at once.
-SHARD_WORDS = 1 << 21
+#: Words of a shard: its index takes some 50 bytes for each while it is made.
+SHARD_WORDS = 6 << 20
+#: Bytes of a text that are split into words at once, and words that are turned into numbers at once.
 BLOCK = 1 << 20
+CODED = 1 << 18
 #: Ends a piece: bytes that no UTF-8 text has.
 END = b"\xff"
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", END * 10)
@@ -62,69 +64,102 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4")[:, 0]
 
 
-def indexed(shard: int, of_lang: dict[str, list[bytes]], open_lang: str | None) -> dict:
-    """One row of SHARD. Of ``open_lang`` the last words are only context; the next shard counts them."""
-    parts, words, size, outside = [np.zeros(1, np.int64)], [], 1, []
-    for lang, found in sorted(of_lang.items()):
-        coded = pa.array(found, pa.binary()).dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+class Words:
+    """One language's words of a shard as numbers; END is 0."""
+
+    def __init__(self, carried: list[bytes] = ()):
+        self.number, self.names = {END: 0}, [END]
+        self.codes, self.fresh = [np.zeros(0, np.int32)], list(carried)
+
+    def add(self, found: list[bytes]) -> None:
+        self.fresh += found
+        if len(self.fresh) >= CODED:
+            self.code()
+
+    def code(self) -> None:
+        coded = pa.array(self.fresh, pa.binary()).dictionary_encode()
         names = coded.dictionary.to_pylist()
-        new = len(words) + 1 + np.cumsum([name != END for name in names]) - 1
-        new[[i for i, name in enumerate(names) if name == END]] = DELIMITER
-        words += [{"lang": lang, "word": name.decode()} for name in names if name != END]
-        parts += [new[codes], np.zeros(1, np.int64)]
+        for name in names:
+            if name not in self.number:
+                self.number[name] = len(self.names)
+                self.names.append(name)
+        numbers = np.array([self.number[name] for name in names], np.int32)
+        self.codes = [np.concatenate([*self.codes, numbers[coded.indices.to_numpy()]])]
+        self.fresh = []
+
+    def text(self) -> np.ndarray:
+        self.code()
+        return self.codes[0]
+
+    def last(self, n: int) -> list[bytes]:
+        return [self.names[c] for c in self.text()[-n:]]
+
+
+def indexed(shard: int, of_lang: dict[str, Words], open_lang: str | None) -> pa.RecordBatch:
+    """One row of SHARD. Of ``open_lang`` the last words are only context; the next shard counts them."""
+    parts, langs, names, size, outside = [np.zeros(1, np.int32)], [], [], 1, np.zeros(0, np.int64)
+    for lang, words in sorted(of_lang.items()):
+        codes = words.text()
         if lang == open_lang:
-            outside = range(size + max(0, len(codes) - LONGEST + 1), size + len(codes))
+            outside = np.arange(size + max(0, len(codes) - LONGEST + 1), size + len(codes))
+        parts += [np.where(codes > 0, codes + len(names), 0), np.zeros(1, np.int32)]
+        langs += [lang] * (len(words.names) - 1)
+        names += words.names[1:]
         size += len(codes) + 1
     text = np.concatenate(parts)
     left, order = bwt_of(text, LONGEST)
+    context = np.flatnonzero(np.isin(order, outside)) if len(outside) else outside
     right, _ = bwt_of(text[::-1], LONGEST)
-    counts = np.bincount(text, minlength=len(words) + 1)
-    counts -= np.bincount(text[list(outside)], minlength=len(words) + 1)
-    for word, n in zip(words, counts[1:].tolist()):
-        word["n"] = n
-    context = np.flatnonzero(np.isin(order, outside)) if outside else np.zeros(0, np.int64)
-    return {"shard": shard, "n": size, "leftward": packed(left), "rightward": packed(right), "outside": context, "words": words}
-
-
-ARROW_SHARD = pa.schema(
-    [("shard", pa.int64()), ("n", pa.int64()), ("leftward", pa.binary()), ("rightward", pa.binary()), ("outside", pa.list_(pa.int32())),
-     ("words", pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])))]
-)
+    counts = np.bincount(text, minlength=len(names) + 1) - np.bincount(text[outside], minlength=len(names) + 1)
+    words = pa.StructArray.from_arrays(
+        [pa.array(langs, pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts[1:], pa.int64())], ["lang", "word", "n"]
+    )
+    return pa.RecordBatch.from_arrays(
+        [pa.array([shard], pa.int64()), pa.array([size], pa.int64()), pa.array([packed(left)], pa.binary()), pa.array([packed(right)], pa.binary()),
+         pa.ListArray.from_arrays([0, len(context)], pa.array(context, pa.int32())), pa.ListArray.from_arrays([0, len(words)], words)],
+        ["shard", "n", "leftward", "rightward", "outside", "words"],
+    )
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
     number, size = TaskContext.get().partitionId() << 32, 0
-    of_lang: dict[str, list[bytes]] = defaultdict(list)
+    of_lang: dict[str, Words] = defaultdict(Words)
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            for part in blocks(text.cast(pa.binary()).as_py()):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
+            for part in blocks(text.as_py()):
                 found = tokens(part)
-                of_lang[lang] += found
+                of_lang[lang].add(found)
                 size += len(found)
                 if size >= shard_words:
-                    yield pa.RecordBatch.from_pylist([indexed(number, of_lang, lang)], ARROW_SHARD)
-                    carried = of_lang[lang][1 - LONGEST :]
-                    of_lang = defaultdict(list, {lang: carried})
+                    yield indexed(number, of_lang, lang)
+                    carried = of_lang[lang].last(LONGEST - 1)
+                    of_lang = defaultdict(Words, {lang: Words(carried)})
                     number, size = number + 1, len(carried)
-            of_lang[lang].append(END)
+            of_lang[lang].add([END])
     if size:
-        yield pa.RecordBatch.from_pylist([indexed(number, of_lang, None)], ARROW_SHARD)
+        yield indexed(number, of_lang, None)
 
 
 class Shard:
-    """A stored shard's index, with the frequent words' numbers."""
-
-    def __init__(self, row: dict):
-        n = row["n"]
-        self.index = Bidirectional(unpacked(row["leftward"], n), unpacked(row["rightward"], n))
-        self.outside = np.array(row["outside"], np.int64)
-        known = row["known"]
-        self.symbols = np.array([k["symbol"] for k in known], np.int64)
-        self.ids = np.array([k["id"] for k in known], np.int64)
-        width = int(self.index.left.bwt.max(initial=0)) + 1
-        self.width, self.id_of = width, np.full(width, -1, np.int64)
+    """Row ``i`` of a batch of stored shards: its index, with the frequent words' numbers."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        row = batch.slice(i, 1)
+        one = lambda c: row.column(c)[0].as_py()
+        sides = [unpacked(one(c), one("n")) for c in ("leftward", "rightward") if c in batch.schema.names]
+        self.index = Bidirectional(*sides)
+        self.number = one("shard")
+        self.outside = row.column("outside").flatten().to_numpy().astype(np.int64)
+        self.symbols, self.ids = self.listed(row, "known", ("symbol", "id"))
+        self.width = int(self.index.left.bwt.max(initial=0)) + 1
+        self.id_of = np.full(self.width, -1, np.int64)
         self.id_of[self.symbols] = self.ids
+        self.alive = self.listed(row, "alive", ("a", "b")) if "alive" in batch.schema.names else None
+
+    @staticmethod
+    def listed(row: pa.RecordBatch, column: str, fields: tuple[str, str]) -> list[np.ndarray]:
+        items = row.column(column).flatten()
+        return [items.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in fields]
 
     def counts(self, phrases: Phrases) -> np.ndarray:
         """Occurrences, without those that begin in another shard's words."""
@@ -139,11 +174,10 @@ class Shard:
         found = self.index.extended(self.frequent_words(), to_the_left=True)
         return found.where(self.id_of[found.symbols[:, 0]] >= 0)
 
-    def longer(self, pairs: list[dict]) -> Iterator[Phrases]:
+    def longer(self) -> Iterator[Phrases]:
         """Phrases of three and more words, all pairs in them frequent, one length after another."""
         order = np.argsort(self.ids)
-        symbol_of = lambda ids: self.symbols[order[np.searchsorted(self.ids, ids, sorter=order)]]
-        a, b = (symbol_of(np.array([p[c] for p in pairs], np.int64)) for c in "ab")
+        a, b = (self.symbols[order[np.searchsorted(self.ids, ids, sorter=order)]] for ids in self.alive)
         alive = np.sort(a * self.width + b)
 
         def is_alive(phrases: Phrases, at: int) -> np.ndarray:
@@ -160,28 +194,22 @@ class Shard:
             yield phrases
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    for i in range(batch.num_rows):
-        yield batch.slice(i, 1).to_pylist()[0]
-
-
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in _rows(batch):
-            shard = Shard(row)
+        for i in range(batch.num_rows):
+            shard = Shard(batch, i)
             found = shard.pairs()
             ids, n = shard.id_of[found.symbols], shard.counts(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), row["shard"])), *(pa.array(np.ascontiguousarray(ids[:, k])) for k in (0, 1)), pa.array(n)],
-                ["shard", "a", "b", "n"],
-            )
+            numbers = np.full(len(n), shard.number)
+            arrays = [numbers, np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]), n]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", "a", "b", "n"])
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in _rows(batch):
-            shard = Shard(row)
-            for found in shard.longer(row["pairs"]):
+        for i in range(batch.num_rows):
+            shard = Shard(batch, i)
+            for found in shard.longer():
                 m, length = found.symbols.shape
                 ids = pa.ListArray.from_arrays(np.arange(m + 1, dtype=np.int32) * length, shard.id_of[found.symbols].ravel())
                 yield pa.RecordBatch.from_arrays([ids, pa.array(shard.counts(found))], ["ids", "n"])
@@ -205,11 +233,11 @@ def frequent_phrases(found: DataFrame, words: DataFrame, least: int) -> DataFram
     known = local.join(words.select("lang", "word", "id"), ["lang", "word"])
     known = stored(known.groupBy("shard").agg(F.collect_list(F.struct("symbol", "id")).alias("known")), "phrases-known")
     indexes = found.drop("words").join(known, "shard")
-    pairs = in_batches(indexes, _pairs, "shard long, a long, b long, n long")
+    pairs = in_batches(indexes.drop("rightward"), _pairs, "shard long, a long, b long, n long")
     # A pair comes once per shard; its total goes back to each of them with the same shuffle.
     total = F.sum("n").over(Window.partitionBy("a", "b"))
     pairs = stored(pairs.withColumn("f", total).where(F.col("f") >= least), "phrases-pairs")
-    alive = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    alive = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("alive"))
     longer = in_batches(indexes.join(alive, "shard"), _longer, "ids array<long>, n long")
     longer = longer.groupBy("ids").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     single = words.select(F.array("id").alias("ids"), "f")

@@ -12,24 +12,35 @@ from dataclasses import dataclass
 import numpy as np
 
 DELIMITER = 0
+#: Symbols of intervals that are looked at at once.
+SYMBOLS = 1 << 20
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the suffixes in the order of their first ``depth`` symbols (at least)."""
-    n = len(text)
-    rank, span = text.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    """Starts of the suffixes in the order of their first ``depth`` symbols (at least).
+
+    As many symbols as fit make up the first key; after that the span of the keys doubles.
+    """
+    n, bits = len(text), max(1, int(text.max(initial=0)).bit_length())
+    ends = np.concatenate([text, np.zeros(62 // bits, text.dtype)])
+    key, span = np.zeros(n, np.int64), 0
+    while span < min(depth, 62 // bits):
+        key = (key << bits) | ends[span : span + n]
+        span += 1
+    del ends
+    order = np.argsort(key)
     while span < depth:
-        following = np.zeros(n, np.int64)
-        following[: n - span] = rank[span:] + 1
-        key = rank * (int(rank.max(initial=0)) + 2) + following
-        order = np.argsort(key, kind="stable")
-        in_order = key[order]
-        changed = np.concatenate([[0], (in_order[1:] != in_order[:-1]).astype(np.int64)])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(changed)
-        if len(changed) and rank[order[-1]] == n - 1:
+        number = key[order]
+        changed = number[1:] != number[:-1]
+        number[:1] = 0
+        np.cumsum(changed, out=number[1:])
+        if n == 0 or number[-1] == n - 1:
             break
+        number *= n + 1
+        key[order] = number
+        del order, changed, number
+        key[: n - span] += key[span:] // (n + 1) + 1
+        order = np.argsort(key)
         span *= 2
     return order
 
@@ -44,11 +55,12 @@ class Bwt:
     """Backward search by one BWT. Intervals [lo, hi) are of suffix ranks."""
 
     def __init__(self, bwt: np.ndarray):
-        self.bwt = bwt.astype(np.int64)
-        self.n = len(bwt)
-        places = np.argsort(bwt, kind="stable")
+        self.bwt, self.n = bwt, len(bwt)
         #: Ascending, one per rank: the suffix's first symbol and the place of that symbol in the BWT.
-        self.keys = self.bwt[places] * (self.n + 1) + places
+        self.keys = bwt.astype(np.int64)
+        self.keys *= self.n + 1
+        self.keys += np.arange(self.n)
+        self.keys.sort()
 
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Suffixes that are below each symbol, or begin with it and continue below rank ``at``."""
@@ -63,13 +75,17 @@ class Bwt:
 
         The intervals together may not be much larger than the text; give equal ones once.
         """
-        total = int(size.sum())
-        owner = np.repeat(np.arange(len(lo)), size)
-        within = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-        symbols = self.bwt[np.repeat(lo, size) + within]
-        width = int(self.bwt.max(initial=0)) + 1
-        pairs, counts = np.unique(owner * width + symbols, return_counts=True)
-        return pairs // width, pairs % width, counts
+        upto = np.cumsum(size)
+        cuts = np.searchsorted(upto, np.arange(SYMBOLS, upto[-1] if len(upto) else 0, SYMBOLS))
+        parts = []
+        for start, end in zip([0, *cuts], [*cuts, len(lo)]):
+            some = size[start:end]
+            at = np.repeat(lo[start:end] - np.cumsum(some) + some, some) + np.arange(some.sum())
+            owner = np.repeat(np.arange(start, end), some)
+            width = int(self.keys[-1] // (self.n + 1)) + 1 if self.n else 1
+            pairs, counts = np.unique(owner * width + self.bwt[at], return_counts=True)
+            parts.append((pairs // width, pairs % width, counts))
+        return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 @dataclass
@@ -89,9 +105,9 @@ class Phrases:
 
 
 class Bidirectional:
-    def __init__(self, left: np.ndarray, right: np.ndarray):
-        """``left``: BWT of the text, ``right``: of the reversed text."""
-        self.left, self.right = Bwt(left), Bwt(right)
+    def __init__(self, left: np.ndarray, right: np.ndarray | None = None):
+        """``left``: BWT of the text, ``right``: of the reversed text, which only extending to the right needs."""
+        self.left, self.right = Bwt(left), None if right is None else Bwt(right)
 
     def words(self) -> Phrases:
         """Every symbol but the delimiter."""
