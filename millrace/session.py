@@ -48,6 +48,12 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "millrace
     return spark
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is that Spark writes to."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for this run under ``spark.checkpoint.dir``, shared by all executors.
 
