@@ -123,11 +123,21 @@ def one_per_group(docs: DataFrame, distance: int = 2) -> DataFrame:
     """The rows of ``docs`` with each component's smallest doc_id, once each; all columns stay.
 
     Rows without doc_id stay only where nobody in their component has one, one of each fingerprint.
+    The ids that go are joined, so that a short list of them leaves the texts where they are;
+    texts are only shuffled to drop repeated rows of one id, and only those.
     """
     groups = stored(near_duplicates(docs, distance), "simhash-groups")
     rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "simhash-kept")
-    named = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
+    of_id = groups.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("doc_id") == F.col("component_id")).alias("stays")
+    )
+    of_id = stored(of_id.where("rows > 1 or not stays"), "simhash-ids")
+    going, repeated = of_id.where("not stays").select("doc_id"), of_id.where("stays").select("doc_id")
+    named = rows.where("doc_id is not null").join(going, "doc_id", "left_anti")
+    if not repeated.isEmpty():
+        once = named.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        named = named.join(repeated, "doc_id", "left_anti").unionByName(once)
+    named = named.select("row.*")
     lone = groups.where("component_id is null").select("fingerprint").distinct()
     if lone.isEmpty():
         return named
