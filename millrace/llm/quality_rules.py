@@ -17,7 +17,6 @@ MOST_REPEATED_PERCENT = 30
 #: How the list is learned.
 CUTS = 24  # thresholds tried per feature
 MOST_CONDITIONS = 3
-MOST_RULES = 12
 LEAST_PRECISION = 0.95  # of a rule, on rows that it was not grown on
 LEAST_COVERED = 3  # rejected rows that a rule must find among those
 SLACK = 0.005  # gain given up for distance from both kinds of rows
@@ -256,7 +255,7 @@ def learn(labelled: DataFrame) -> list[Rule]:
     rest_tally = tallies(rest)
     rules: list[Rule] = []
     vain: frozenset = frozenset()
-    while len(rules) < MOST_RULES:
+    while True:
         inside, tally, grown, tried = rest, rest_tally, [], []
         while len(grown) < MOST_CONDITIONS:
             best = best_condition(tally, cuts, frozenset() if grown else vain)
@@ -331,9 +330,13 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns; measured once, in a stored copy."""
+    """The rows of ``docs`` that are kept, with their columns.
+
+    What the list is learned from is stored without texts; the rows are then measured again where
+    they are read, by what the rules ask for, so that no copy of them is written.
+    """
     name = "measures"
     rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    measured = stored(with_measures(rows, name).select("row", "doc_id", name), "quality-measured")
-    rules = learn(labelled_measures(measured, labels, name))
-    return measured.where(verdict(F.col(name), first_rule(rules, F.col(name)))).select("row.*")
+    labelled = labelled_measures(with_measures(rows.drop("row"), name), labels, name)
+    rules = learn(stored(labelled, "quality-labelled"))
+    return with_measures(rows, name).where(verdict(F.col(name), first_rule(rules, F.col(name)))).select("row.*")

@@ -88,3 +88,16 @@ def test_no_python_in_the_plan(spark, docs_of, words):
     measured = quality_rules.with_measures(docs_of([words(40)]), "measures").select(F.col("measures"))
     plan = measured._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_more_kinds_of_junk_than_any_fixed_number_of_rules(spark):
+    """Fourteen kinds, each told from good rows by a band of one measure: a rule is learned for each."""
+    kinds = 14
+    rows = []
+    for i in range(kinds * 120):
+        band, bad = i % kinds, i // kinds % 2
+        rows.append((i, bad, band + 0.6 * bad))
+    flat = spark.createDataFrame(rows, "doc_id long, rejected int, v double")
+    m = F.struct(*(F.col("v").alias(f) if f == "chars_per_word" else F.lit(0.0).alias(f) for f in quality_rules.FEATURES))
+    learned = quality_rules.learn(flat.select("doc_id", "rejected", m.alias("m")))
+    assert len(learned) > 12
