@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.mixing import mixed_documents
-from millrace.llm.near_copies import one_per_group
 from millrace.llm.packing import pack
 from millrace.llm.quality_rules import good_documents
 from millrace.llm.secrets import redact
-from millrace.llm.shared import stored, table
+from millrace.llm.shared import discard, noted, stored, table
+from millrace.llm.simhash import one_per_group
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; op9's own setting is narrower."""
+    """One document stays of each group whose fingerprints are linked, as op9 links them."""
     return one_per_group(docs)
 
 
@@ -52,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each reading what the one before has written."""
-
-    def step(docs: DataFrame, stage) -> DataFrame:
-        name, apply = stage
-        return stored(apply(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
-
-    return reduce(step, STAGES, table(spark, sf_dir, "documents"))
+    """All stages over ``documents``, each reading what the one before has written.
+
+    When a stage's result is written, what it was read from and what it stored on the way go.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES:
+        with noted() as made:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        discard(spark, before + made[:-1])
+        before = made[-1:]
+    return docs
