@@ -1,5 +1,7 @@
+import itertools
+
 import corpus_pipeline
-from millrace.llm import mixing, quality_rules, simhash
+from millrace.llm import mixing, quality_rules, shared, simhash
 from millrace.llm.shared import stored, table
 from test_packing import check
 
@@ -54,3 +56,11 @@ def test_odd_rows_pass_through_every_stage(spark, docs_of, words, tmp_path):
     spark.createDataFrame([(3, 1, 0), (1, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {4} <= {r["doc_id"] for r in got} <= {None, 3, 4, 5}
+
+
+def test_run_leaves_its_result_alone_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    numbers = itertools.count()
+    monkeypatch.setattr(shared, "scratch_dir", lambda _, purpose: f"{tmp_path}/{purpose}-{next(numbers)}")
+    rows = corpus_pipeline.run(spark, SF)
+    left = [p.name for p in tmp_path.iterdir()]
+    assert len(left) == 1 and left[0].startswith("pipeline-packing-") and rows.count() > 0
