@@ -1,6 +1,6 @@
 """Phrases whose words occur together more often than apart, from FM-indexes over word ids.
 
-Texts are cut into shards of up to six million words where they are read. Each shard is one
+Texts are cut into shards of up to three million words where they are read. Each shard is one
 FM-index (``fm_index``) and is stored; its phrases are enumerated by extending BWT intervals to
 the left and to the right. Counts are summed across shards one length at a time where that
 prunes: words, then pairs of frequent words, then all longer phrases of frequent pairs. What
@@ -27,7 +27,7 @@ LEAST = 100
 PERCENT = 100  # a phrase inside a longer one that has so much of its count is dropped
 TOP = 2000
 #: Words of a shard: its index takes some 50 bytes for each while it is made.
-SHARD_WORDS = 6 << 20
+SHARD_WORDS = 3 << 20
 #: Bytes of a text that are split into words at once, and words that are turned into numbers at once.
 BLOCK = 1 << 20
 CODED = 1 << 18
@@ -222,19 +222,25 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
 
 
 def frequent_words(found: DataFrame, least: int) -> DataFrame:
-    """(lang, word, f, id) of the words with ``least`` occurrences in their language."""
-    words = found.select(F.explode("words").alias("w")).groupBy("w.lang", "w.word").agg(F.sum("w.n").alias("f"))
-    return stored(words.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "phrases-words")
+    """(shard, symbol, lang, word, f, id) of the words with ``least`` occurrences in their language, stored.
+
+    A word comes once for each shard that has it; with the same shuffle its total and its number
+    go back to each of them.
+    """
+    local = found.select("shard", F.posexplode("words").alias("at", "w")).select("shard", (F.col("at") + 1).alias("symbol"), "w.*")
+    same = Window.partitionBy("lang", "word")
+    total = local.withColumn("row", F.monotonically_increasing_id()).select(
+        "shard", "symbol", "lang", "word", F.sum("n").over(same).alias("f"), F.min("row").over(same).alias("id")
+    )
+    return stored(total.where(F.col("f") >= least), "phrases-local-words")
 
 
-def frequent_phrases(found: DataFrame, words: DataFrame, least: int) -> DataFrame:
+def frequent_phrases(found: DataFrame, local: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """(ids, f) of all phrases of 1 to LONGEST words with ``least`` occurrences, stored."""
-    local = found.select("shard", F.posexplode("words").alias("at", "w")).select("shard", (F.col("at") + 1).alias("symbol"), "w.lang", "w.word")
-    known = local.join(words.select("lang", "word", "id"), ["lang", "word"])
-    known = stored(known.groupBy("shard").agg(F.collect_list(F.struct("symbol", "id")).alias("known")), "phrases-known")
+    known = stored(local.groupBy("shard").agg(F.collect_list(F.struct("symbol", "id")).alias("known")), "phrases-known")
     indexes = found.drop("words").join(known, "shard")
     pairs = in_batches(indexes.drop("rightward"), _pairs, "shard long, a long, b long, n long")
-    # A pair comes once per shard; its total goes back to each of them with the same shuffle.
+    # As with words: a pair comes once for each shard, and its total goes back to each.
     total = F.sum("n").over(Window.partitionBy("a", "b"))
     pairs = stored(pairs.withColumn("f", total).where(F.col("f") >= least), "phrases-pairs")
     alive = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("alive"))
@@ -285,9 +291,10 @@ def collocations(
     phrase that is frequent enough, gives no row.
     """
     found = shards(docs, shard_words)
-    words = frequent_words(found, least)
+    local = frequent_words(found, least)
+    words = stored(local.groupBy("id").agg(*(F.first(c).alias(c) for c in ("lang", "word", "f"))), "phrases-words")
     sizes = stored(found.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n")), "phrases-sizes")
-    listed = scored(frequent_phrases(found, words, least), words, sizes, percent)
+    listed = scored(frequent_phrases(found, local, words, least), words, sizes, percent)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = listed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
