@@ -169,10 +169,11 @@ class Shard:
         words = self.index.words()
         return words.where(self.id_of[words.symbols[:, 0]] >= 0)
 
-    def pairs(self) -> Phrases:
-        """Pairs of frequent words."""
-        found = self.index.extended(self.frequent_words(), to_the_left=True)
-        return found.where(self.id_of[found.symbols[:, 0]] >= 0)
+    def pairs(self) -> Iterator[Phrases]:
+        """Pairs of frequent words, some at a time."""
+        for words in self.frequent_words().blocks():
+            found = self.index.extended(words, to_the_left=True)
+            yield found.where(self.id_of[found.symbols[:, 0]] >= 0)
 
     def longer(self) -> Iterator[Phrases]:
         """Phrases of three and more words, all pairs in them frequent, one length after another."""
@@ -185,24 +186,23 @@ class Shard:
             near = np.minimum(np.searchsorted(alive, keys), len(alive) - 1)
             return alive[near] == keys
 
-        phrases = self.pairs()
-        phrases = phrases.where(is_alive(phrases, 0))
-        for length in range(3, LONGEST + 1):
-            to_the_left = length % 2 == 0
-            phrases = self.index.extended(phrases, to_the_left)
-            phrases = phrases.where(is_alive(phrases, 0 if to_the_left else length - 2))
-            yield phrases
+        for found in self.pairs():
+            phrases = found.where(is_alive(found, 0))
+            for length in range(3, LONGEST + 1):
+                to_the_left = length % 2 == 0
+                phrases = self.index.extended(phrases, to_the_left)
+                phrases = phrases.where(is_alive(phrases, 0 if to_the_left else length - 2))
+                yield phrases
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             shard = Shard(batch, i)
-            found = shard.pairs()
-            ids, n = shard.id_of[found.symbols], shard.counts(found)
-            numbers = np.full(len(n), shard.number)
-            arrays = [numbers, np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]), n]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", "a", "b", "n"])
+            for found in shard.pairs():
+                ids, n = shard.id_of[found.symbols], shard.counts(found)
+                arrays = [np.full(len(n), shard.number), np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]), n]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", "a", "b", "n"])
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,13 +7,14 @@ steps take arrays of intervals at once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 DELIMITER = 0
-#: Symbols of intervals that are looked at at once.
-SYMBOLS = 1 << 20
+#: Occurrences of phrases that are extended at once.
+SYMBOLS = 1 << 19
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -75,17 +76,10 @@ class Bwt:
 
         The intervals together may not be much larger than the text; give equal ones once.
         """
-        upto = np.cumsum(size)
-        cuts = np.searchsorted(upto, np.arange(SYMBOLS, upto[-1] if len(upto) else 0, SYMBOLS))
-        parts = []
-        for start, end in zip([0, *cuts], [*cuts, len(lo)]):
-            some = size[start:end]
-            at = np.repeat(lo[start:end] - np.cumsum(some) + some, some) + np.arange(some.sum())
-            owner = np.repeat(np.arange(start, end), some)
-            width = int(self.keys[-1] // (self.n + 1)) + 1 if self.n else 1
-            pairs, counts = np.unique(owner * width + self.bwt[at], return_counts=True)
-            parts.append((pairs // width, pairs % width, counts))
-        return tuple(np.concatenate(x) for x in zip(*parts))
+        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        width = int(self.keys[-1] // (self.n + 1)) + 1 if self.n else 1
+        pairs, counts = np.unique(np.repeat(np.arange(len(lo)), size) * width + self.bwt[at], return_counts=True)
+        return pairs // width, pairs % width, counts
 
 
 @dataclass
@@ -100,9 +94,16 @@ class Phrases:
     size: np.ndarray
     symbols: np.ndarray
 
-    def where(self, chosen: np.ndarray) -> "Phrases":
+    def where(self, chosen: np.ndarray | slice) -> "Phrases":
         return Phrases(self.left[chosen], self.right[chosen], self.size[chosen], self.symbols[chosen])
 
+    def blocks(self) -> Iterator["Phrases"]:
+        """All of them, some at a time, with about SYMBOLS occurrences or a single phrase."""
+        upto = np.cumsum(self.size)
+        cuts = np.searchsorted(upto, np.arange(SYMBOLS, int(upto[-1]) if len(upto) else 0, SYMBOLS))
+        for start, end in zip([0, *cuts], [*cuts, len(upto)]):
+            yield self.where(slice(start, end))
+
 
 class Bidirectional:
     def __init__(self, left: np.ndarray, right: np.ndarray | None = None):
