@@ -1,13 +1,12 @@
 """CSV drops, in batch and as a stream of files.
 
-Columns are matched by the names in each file's own header, which may order them in any way,
+Columns are matched by the names in each file's first line, which may order them in any way,
 leave some out or add unknown ones; the latter are rescued. A row ends at the line break:
 quoted line breaks are not supported, as files are split for reading.
 """
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 import re
 from functools import reduce
@@ -19,9 +18,15 @@ from pyspark.sql import types as T
 from millrace.datasets import Dataset
 from millrace.operators.columns import stamp_ingestion
 from millrace.operators.rescue import UNKNOWN, type_and_rescue
+from millrace.session import scratch_dir
 
 CORRUPT = "_corrupt_record"
 FILE = "_source_file"
+BLOCK = "_block"
+#: Files of a read whose layouts are broadcast, some hundred bytes each; beyond, lines are joined by shuffles.
+MOST_FILES = 100_000
+#: Follows the last field of a header; no header has it.
+MARK = "\x01"
 CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -33,7 +38,9 @@ def with_corrupt_record(schema: T.StructType) -> T.StructType:
 
 
 def located(lines: DataFrame) -> DataFrame:
-    return lines.select("value", F.col("_metadata.file_path").alias(FILE))
+    return lines.select(
+        "value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)
+    )
 
 
 def stream_lines(
@@ -50,62 +57,96 @@ def read_drops(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
     return by_name(located(spark.read.text(path)), dataset)
 
 
-def is_header(dataset: Dataset) -> Column:
-    """A line that has the names of all key columns as fields."""
-    fields = (rf'(^{BYTE_ORDER_MARK}?|,)\s*"?\s*{re.escape(k)}\s*"?\s*(,|$)' for k in dataset.key)
-    return reduce(Column.__and__, (F.col("value").rlike(f) for f in fields))
-
-
-def header_names(header: str) -> list[str]:
-    """Column names of a header line; repeated ones are numbered."""
-    found: list[str] = []
-    for name in next(csv.reader([header.removeprefix(BYTE_ORDER_MARK)])):
-        name = name.strip()
-        copies = sum(f == name or f.startswith(f"{name}#") for f in found)
-        found.append(f"{name}#{copies + 1}" if copies else name)
-    return found
-
-
-def of_layout(lines: DataFrame, names: list[str], dataset: Dataset) -> DataFrame:
-    """Parsed lines of files with these columns, in these places."""
-    places = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
-    schema = with_corrupt_record(T.StructType(places))
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    row = F.from_csv("value", ddl, CSV_OPTIONS)
-    parsed = lines.select(row.alias("row"), FILE)
-    at = {name: F.col(f"row.c{i}") for i, name in enumerate(names)}
-    declared = [at.get(c, F.lit(None).cast("string")).alias(c) for c in dataset.columns]
-    unknown = [F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in at.items() if n not in dataset.columns]
-    extra = F.map_from_entries(F.filter(F.array(*unknown), lambda e: e["value"].isNotNull())) if unknown else F.create_map()
-    return parsed.select(
-        *declared,
-        F.col(f"row.{CORRUPT}").alias(CORRUPT),
-        extra.cast("map<string,string>").alias(UNKNOWN),
-        FILE,
-    )
+def headers(lines: DataFrame) -> DataFrame:
+    """(file, header): the first line of each file that is not blank.
+
+    A file's beginning is read by one task, which numbers its lines in order.
+    """
+    first = lines.where((F.col(BLOCK) == 0) & (F.trim("value") != ""))
+    first = first.select(FILE, "value", F.monotonically_increasing_id().alias("at"))
+    return first.groupBy(FILE).agg(F.min_by("value", "at").alias("header"))
+
+
+def names_keys(dataset: Dataset) -> Column:
+    """A header that may have the names of all key columns as fields."""
+    fields = (rf'(?i)(^{BYTE_ORDER_MARK}?|,)\s*"?\s*{re.escape(k)}\s*"?\s*(,|$)' for k in dataset.key)
+    return reduce(Column.__and__, (F.col("header").rlike(f) for f in fields))
+
+
+def cells(line: Column, width: int) -> Column:
+    """The first ``width`` fields of a line."""
+    row = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)))
+    return F.array(*(row[f"c{i}"] for i in range(width)))
+
+
+def unlike(names: Column, mark: str) -> Column:
+    """Names with repeated ones numbered."""
+
+    def named(name: Column, i: Column) -> Column:
+        copies = F.size(F.filter(F.slice(names, 1, i), lambda n: n == name))
+        return F.when(copies > 0, F.concat(name, F.lit(mark), (copies + 1).cast("string"))).otherwise(name)
+
+    return F.transform(names, named)
+
+
+def layouts(first: DataFrame, dataset: Dataset, width: int) -> DataFrame:
+    """(file, header, n, places, others) of the files whose header names the key.
+
+    ``places`` has the number of each declared column's field, 0 for none; names are compared
+    without blanks around them and whatever their case. ``others`` are the unknown fields.
+    """
+    plain = F.regexp_replace("header", f"^{BYTE_ORDER_MARK}", "")
+    found = first.where(names_keys(dataset)).withColumn("cells", cells(F.concat(plain, F.lit(f",{MARK}")), width + 1))
+    found = found.withColumn("n", F.array_position("cells", MARK).cast("int") - 1).where("n > 0")
+    trimmed = F.transform(F.slice("cells", 1, F.col("n")), lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    found = found.withColumn("names", unlike(trimmed, "#")).withColumn("names", unlike(F.col("names"), "##"))
+    low = F.transform("names", F.lower)
+    found = found.withColumn("places", F.array(*(F.array_position(low, c.lower()).cast("int") for c in dataset.columns)))
+    every = F.transform("names", lambda name, i: F.struct(name.alias("key"), (i + 1).alias("at")))
+    others = F.filter(every, lambda e: ~F.array_contains("places", e["at"]))
+    keyed = reduce(Column.__and__, (F.get("places", F.lit(list(dataset.columns).index(k))) > 0 for k in dataset.key))
+    return found.where(keyed).select(FILE, "header", "n", "places", others.alias("others"))
 
 
 def by_name(lines: DataFrame, dataset: Dataset) -> DataFrame:
     """Declared columns as text, the corrupt line, unknown columns, the file.
 
-    Each file's header is found by the key's names and joined to its lines; files are then
-    parsed layout by layout. Only the different headers, one short line each, come to the
-    driver. Lines with too few or too many fields are corrupt, as is every line of a file
-    without a header. Empty lines are skipped.
+    The first line of a file is its header; lines that spell it again are none of its rows. All
+    layouts are parsed in one pass: a line is filled up to the widest layout's number of fields
+    and its file's layout, joined to it, says which field is which column. Headers are stored;
+    only their number and the widest one's fields come to the driver. Lines with too few or too many fields are
+    corrupt, as is every line of a file whose header does not name the key. Blank lines are
+    skipped.
     """
-    header = is_header(dataset)
-    headers = lines.where(header).groupBy(FILE).agg(F.min("value").alias("header"))
-    rows = lines.where(~header & (F.trim("value") != "")).join(headers, FILE, "left")
-    layouts = sorted(r["header"] for r in headers.select("header").distinct().collect())
-    none = {c: F.lit(None).cast("string") for c in dataset.columns}
-    headless = rows.where("header is null").select(
-        *(c.alias(n) for n, c in none.items()),
-        F.col("value").alias(CORRUPT),
-        F.create_map().cast("map<string,string>").alias(UNKNOWN),
+    spark, folder = lines.sparkSession, scratch_dir(lines.sparkSession, "headers")
+    headers(lines).write.parquet(folder)
+    first = spark.read.parquet(folder)
+    fields = F.max(F.when(names_keys(dataset), F.regexp_count("header", F.lit(",")) + 1))
+    counted = first.agg(F.count(F.lit(1)).alias("files"), fields.alias("width")).first()
+    width = counted["width"] or 1
+    layout = layouts(first, dataset, width)
+    if counted["files"] <= MOST_FILES:
+        layout = F.broadcast(layout)
+
+    rows = lines.where(F.trim("value") != "").join(layout, FILE, "left")
+    rows = rows.where(F.col("header").isNull() | (F.col("value") != F.col("header")))
+    ddl = ", ".join(f"c{i} string" for i in range(width)) + f", {CORRUPT} string"
+    filled = F.concat("value", F.repeat(F.lit(","), F.lit(width) - F.col("n")))
+    parsed = rows.select(
+        "value", FILE, "n", "places", "others", F.from_csv(filled, ddl, CSV_OPTIONS).alias("row")
+    ).select("*", F.array(*(F.col(f"row.c{i}") for i in range(width))).alias("cells"))
+    sound = F.col("n").isNotNull() & F.col(f"row.{CORRUPT}").isNull()
+    # A key that is there twice, by another case, is numbered already; see ``unlike``.
+    unknown = F.filter(
+        F.transform("others", lambda o: F.struct(o["key"].alias("key"), F.get("cells", o["at"] - 1).alias("value"))),
+        lambda e: e["value"].isNotNull(),
+    )
+    return parsed.select(
+        *(F.get("cells", F.get("places", F.lit(k)) - 1).alias(c) for k, c in enumerate(dataset.columns)),
+        F.when(~sound, F.col("value")).alias(CORRUPT),
+        F.coalesce(F.map_from_entries(unknown), F.create_map().cast("map<string,string>")).alias(UNKNOWN),
         FILE,
     )
-    parts = [of_layout(rows.where(F.col("header") == h), header_names(h), dataset) for h in layouts]
-    return reduce(DataFrame.unionByName, parts, headless)
 
 
 def as_bronze(

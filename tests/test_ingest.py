@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.datasets import DATASETS
 from millrace.operators.ingest_metrics import ingestion_metrics
 from millrace.plans.snapshot import ingest_snapshot
-from millrace.sources.csv_drops import as_bronze, header_names, read_drops, with_corrupt_record
+from millrace.sources import csv_drops
+from millrace.sources.csv_drops import as_bronze, read_drops, with_corrupt_record
 from millrace.streaming.bronze import ingest_stream, micro_batch_writer
 
 ORDERS = DATASETS["orders"]
@@ -59,7 +61,66 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert json.loads(rows["p4"]["_rescued_data"])["product_id#2"] == "again"
     lost = [r["_corrupt_record"] for r in as_bronze(raw, products, "test", "b1").collect() if r["product_id"] is None]
     assert sorted(lost) == ["id,name", "p5,n"]
-    assert header_names('a, "b" ,a') == ["a", '"b"', "a#2"]
+
+
+def test_the_first_line_is_the_header_and_nothing_else(spark, tmp_path):
+    """A row may spell a key's name; names may have blanks and another case, and be repeated."""
+    products = DATASETS["products"]
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    (folder / "a.csv").write_text("product_id,product_name,unit_price,currency\np1,n,1.5,EUR\np2,product_id,1.5,EUR\n")
+    (folder / "b.csv").write_text("\n \n Product_ID , CURRENCY,x,x,x#2, \"x\"\nq1,EUR,1,2,3,4\nq2,product_id,,,,\nq3,EUR\n")
+    (folder / "c.csv").write_text('"currency","product_id"\n"a,b",r1\n"open,r2\n')
+    (folder / "d.csv").write_text("name,id\nproduct_id,product_id\n")
+    (folder / "e.csv").write_text("")
+    (folder / "f.csv").write_text("," * 3000 + "\nproduct_id\n")
+    raw = read_drops(spark, str(folder), products)
+    rows = {r["product_id"]: r for r in raw.where("product_id is not null").collect()}
+    assert rows.keys() == {"p1", "p2", "q1", "q2", "q3", "r1"} | ({None} & rows.keys())
+    assert rows["p2"]["product_name"] == "product_id" and rows["p2"]["_corrupt_record"] is None
+    assert rows["q1"]["currency"] == "EUR" and rows["q1"]["_unknown_columns"] == {"x": "1", "x#2": "2", "x#2##2": "3", '"x"': "4"}
+    assert rows["q2"]["currency"] == "product_id" and rows["q2"]["_unknown_columns"] == {}
+    assert rows["q3"]["_corrupt_record"] == "q3,EUR"
+    assert rows["r1"]["currency"] == "a,b" and rows["r1"]["_corrupt_record"] is None
+    lost = [r["_corrupt_record"] for r in raw.where("product_id is null").collect()]
+    assert sorted(lost) == sorted(['"open,r2', "name,id", "product_id,product_id", "," * 3000, "product_id"])
+
+
+@pytest.mark.parametrize("files", [csv_drops.MOST_FILES, 0])
+def test_one_scan_for_any_number_of_layouts(spark, tmp_path, monkeypatch, files):
+    monkeypatch.setattr(csv_drops, "MOST_FILES", files)
+    products = DATASETS["products"]
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    names = list(products.columns)
+    for k in range(len(names)):
+        turned = names[k:] + names[:k]
+        (folder / f"{k}.csv").write_text(",".join(turned) + f",extra{k}\n" + ",".join(f"{n}-{k}" for n in turned) + ",e\n")
+    raw = read_drops(spark, str(folder), products)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and re.findall(r"Relation \[.*\] (\w+)", plan) == ["text", "parquet"]
+    rows = raw.collect()
+    assert sorted(r["product_id"] for r in rows) == [f"product_id-{k}" for k in range(len(names))]
+    for r in rows:
+        k = r["product_id"].rsplit("-", 1)[1]
+        assert all(r[n] == f"{n}-{k}" for n in names) and r["_unknown_columns"] == {f"extra{k}": "e"}
+
+
+def test_a_large_file_read_in_parts(spark, tmp_path):
+    """Only the part with the beginning has the header; rows of all parts are matched by it."""
+    products = DATASETS["products"]
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    (folder / "a.csv").write_text("currency,product_id\n" + "".join(f"EUR,p{i}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = read_drops(spark, str(folder), products)
+        assert raw.rdd.getNumPartitions() > 4
+        counts = raw.agg(F.count_distinct("product_id"), F.count(F.when(F.col("currency") == "EUR", 1)), F.count("_corrupt_record")).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tuple(counts) == (20_000, 20_000, 0)
 
 
 def test_a_new_checkpoint_keeps_stored_rows(spark, lake, tmp_path, rows):
