@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.columns import QUALITY_COLUMNS, QUARANTINE_COLUMNS, stamp_quarantine
@@ -9,15 +10,21 @@ from millrace.operators.latest import any_per_key
 from millrace.operators.merge import absent_from
 from millrace.operators.quality import VALID, assess, split
 from millrace.plans.silver import Silver, replace_quarantined, upsert_silver
+from millrace.sources.lake import Table
 
 
 def identity(silver: Silver) -> list[str]:
     return ["_source_file", "_batch_id", *silver.dataset.key]
 
 
+def of_batch(table: Table, batch_id: str) -> DataFrame:
+    """One batch's rows; the folders of others are not read."""
+    return table.read().filter(F.col("_batch_id") == batch_id)
+
+
 def recheck(silver: Silver, batch_id: str):
     """The batch's quarantined rows, each once, judged by the dataset's current rules."""
-    rows = silver.quarantine.read().filter(F.col("_batch_id") == batch_id)
+    rows = of_batch(silver.quarantine, batch_id)
     plain = any_per_key(
         rows.drop(*QUALITY_COLUMNS, *QUARANTINE_COLUMNS), identity(silver)
     )
@@ -39,7 +46,7 @@ def reprocess_batch(silver: Silver, batch_id: str) -> dict:
 
     missing = promoted
     if silver.bronze.exists():
-        missing = absent_from(promoted, silver.bronze.read(), identity(silver))
+        missing = absent_from(promoted, of_batch(silver.bronze, batch_id), identity(silver))
     new_keys = valid.select(*dataset.key).distinct()
     if silver.table.exists():
         new_keys = absent_from(new_keys, silver.table.read(), list(dataset.key))

@@ -93,14 +93,14 @@ def replace_quarantined(silver: Silver, rows: DataFrame, batches: DataFrame) ->
     """``rows`` become all that is quarantined of ``batches`` (_batch_id); the rest stays."""
     table, piece = silver.quarantine, silver.quarantine_piece()
     if not table.exists():
-        table.overwrite(gathered(rows, piece))
+        table.overwrite(gathered(rows, piece, "_batch_id"))
         return
     alike = cut_alike(silver, table)
     touched = names(batches, piece) if alike else []
     held, done = (table.read(touched) if alike else table.read()), batches.distinct().alias("done")
     same = F.col("held._batch_id").eqNullSafe(F.col("done._batch_id"))
     kept = held.alias("held").join(done, same, "left_anti")
-    merged = gathered(kept.unionByName(rows, allowMissingColumns=True), piece)
+    merged = gathered(kept.unionByName(rows, allowMissingColumns=True), piece, "_batch_id")
     if alike:
         table.replace_slices(merged, touched)
     else:
@@ -154,6 +154,29 @@ def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame
     return table.read(), table.read([VALID]), table.read([QUARANTINE])
 
 
+def store_pending(silver: Silver, bronze: DataFrame) -> None:
+    """Which batches of bronze are not marked yet. Ids come from the partition folders alone."""
+    conf, setting = silver.lake.spark.conf, "spark.sql.optimizer.metadataOnly"
+    before, ids = conf.get(setting), silver.work("batches")
+    conf.set(setting, "true")
+    try:
+        ids.overwrite(bronze.select("_batch_id").distinct())
+    finally:
+        conf.set(setting, before)
+    pending = unprocessed_batches(ids.read(), silver.control.read_or_none(), silver.dataset.name)
+    silver.work("pending").overwrite(pending.withColumn("dataset", F.lit(silver.dataset.name)))
+
+
+def pending_rows(silver: Silver, bronze: DataFrame) -> DataFrame:
+    """Bronze rows of the pending batches.
+
+    The filter on the small side is what lets Spark prune bronze's partition folders by it
+    at run time; folders of other batches are not read.
+    """
+    pending = silver.work("pending").read().where(F.col("dataset") == silver.dataset.name)
+    return bronze.join(pending.select("_batch_id"), "_batch_id", "left_semi").select(*bronze.columns)
+
+
 def run_incremental(silver: Silver) -> int:
     """Process every pending batch in one pass. Returns the number of rows processed.
 
@@ -161,15 +184,12 @@ def run_incremental(silver: Silver) -> int:
     their number is not bounded by anything. Marking comes last: a run that dies before it is
     repeated, and repeating changes nothing that was written already.
     """
-    bronze, control = silver.bronze.read(), silver.control.read_or_none()
-    work = silver.work("pending")
-    work.overwrite(unprocessed_batches(bronze, control, silver.dataset.name))
-    pending = work.read()
+    bronze = silver.bronze.read()
+    store_pending(silver, bronze)
+    pending = silver.work("pending").read().select("_batch_id")
     if pending.isEmpty():
         return 0
-    mine = F.col("rows._batch_id") == F.col("pending._batch_id")
-    rows = bronze.alias("rows").join(pending.alias("pending"), mine, "left_semi")
-    every, valid, invalid = assessed_rows(silver, rows)
+    every, valid, invalid = assessed_rows(silver, pending_rows(silver, bronze))
     dataset = silver.dataset
     metrics = dq_metrics(every, silver.environment, dataset.name, dataset.dq_alert_percent)
     together(

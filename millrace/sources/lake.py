@@ -7,6 +7,9 @@ DataFrame that ``read`` returned keeps its meaning while later versions are writ
 Rows may carry a ``_slice`` (a batch, a micro-batch, a hash of the key). Then a write may
 cover some slices only, and readers take each slice from the newest version that holds
 it. One writer per table is assumed.
+
+Bronze and the quarantine are cut by batch as well: a slice's rows lie in partition folders of
+their ``_batch_id``, which Spark discovers, so that a filter or a join on it prunes files.
 """
 
 from __future__ import annotations
@@ -24,20 +27,22 @@ from pyspark.sql import types as T
 SLICE = "_slice"
 MARKER = "_COMMITTED"
 WHOLE = ".whole"
-_VERSION = re.compile(r"/v(\d{8})(?:\.whole)?(?:/|$)")
+BATCH = "_batch_id"
+BY_BATCH = ("bronze", "silver_quarantine")
+_VERSION = re.compile(r"/(?:v|_version=)(\d{8})(?:\.whole)?(?:/|$)")
 
 
 def sliced(df: DataFrame, by: Column) -> DataFrame:
     return df.withColumn(SLICE, by)
 
 
-def gathered(df: DataFrame, by: Column) -> DataFrame:
+def gathered(df: DataFrame, by: Column, *also: str) -> DataFrame:
     """Sliced, with each slice's rows brought together into files of a good size.
 
     Without it, every task writes a file into every slice. The hint lets adaptive
     execution split a slice that is too large for one task and merge small ones.
     """
-    return sliced(df, by).hint("rebalance", SLICE)
+    return sliced(df, by).hint("rebalance", SLICE, *also)
 
 
 def bytes_under(spark: SparkSession, *paths: str) -> int:
@@ -56,7 +61,7 @@ class Lake:
     root: str
 
     def table(self, layer: str, name: str) -> "Table":
-        return Table(self.spark, f"{self.root}/{layer}/{name}")
+        return Table(self.spark, f"{self.root}/{layer}/{name}", layer in BY_BATCH)
 
     def tables(self, layer: str, family: str, names: Iterable[str]) -> DataFrame | None:
         """Rows of ``family/<name>`` for every name that exists.
@@ -72,9 +77,12 @@ class Lake:
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, by_batch: bool = False):
         self.spark = spark
         self.path = path
+        self.by_batch = by_batch
+        #: Folders of slices are only partition folders to Spark if their versions are, too.
+        self.prefix = "_version=" if by_batch else "v"
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -96,11 +104,11 @@ class Table:
         chosen = located if slices is None else [s for s in slices if s in located]
         if not chosen:
             return self.spark.createDataFrame([], self.schema())
-        return (
-            self.spark.read.schema(self.schema())
-            .option("recursiveFileLookup", "true")
-            .parquet(*sorted(located[s] for s in chosen))
-        )
+        reader, folders = self.spark.read.schema(self.schema()), sorted(located[s] for s in chosen)
+        if self.by_batch:
+            found = reader.option("basePath", self.path).parquet(*folders)
+            return found.select(*self.schema().fieldNames())
+        return reader.option("recursiveFileLookup", "true").parquet(*folders)
 
     def bytes(self) -> int:
         """Stored size of the current rows, from the listing alone."""
@@ -112,6 +120,8 @@ class Table:
     def overwrite(self, df: DataFrame) -> None:
         """Replace the table, its schema included."""
         target = self._new_folder(WHOLE)
+        if self.by_batch and SLICE not in df.columns:
+            df = gathered(df, F.lit("all"), *(c for c in (BATCH,) if c in df.columns))
         self._write_rows(df, target)
         self._commit(target, df.drop(SLICE).schema)
 
@@ -142,7 +152,8 @@ class Table:
     def append(self, df: DataFrame) -> None:
         """Add rows as a slice of their own."""
         name = f"append-{self._last_number() + 1:08d}"
-        self.replace_slices(sliced(df, F.lit(name)), [name])
+        by_batch = self.by_batch and BATCH in df.columns
+        self.replace_slices(gathered(df, F.lit(name), BATCH) if by_batch else sliced(df, F.lit(name)), [name])
 
     def retire(self, keep: int = 1) -> None:
         """Delete versions that hold no current slice, but for the newest ``keep`` ones.
@@ -150,16 +161,16 @@ class Table:
         Frames that were read from a deleted version can no longer be used.
         """
         current = {_VERSION.search(p)[1] for p in self._located().values()}
-        every = sorted({_VERSION.search(p)[1] for p in self._glob(f"{self.path}/v*")})
+        every = sorted({_VERSION.search(p)[1] for p in self._glob(f"{self.path}/{self.prefix}*")})
         for number in set(every[: max(0, len(every) - keep)]) - current:
-            for folder in self._glob(f"{self.path}/v{number}*"):
+            for folder in self._glob(f"{self.path}/{self.prefix}{number}*"):
                 self._fs().delete(self._path(folder), True)
 
     # -- folders -------------------------------------------------------------------
 
     def _write_rows(self, df: DataFrame, target: str) -> None:
-        writer = df.write.partitionBy(SLICE) if SLICE in df.columns else df.write
-        writer.parquet(target)
+        cut = (SLICE, BATCH) if self.by_batch else (SLICE,)
+        df.write.partitionBy(*(c for c in cut if c in df.columns)).parquet(target)
 
     def _commit(self, target: str, schema: T.StructType) -> None:
         fields = [{**f.jsonValue(), "nullable": True} for f in schema.fields]
@@ -182,15 +193,15 @@ class Table:
 
     def _last_number(self) -> int:
         """Unfinished versions count too: their folders are not used again."""
-        return max((int(_VERSION.search(p)[1]) for p in self._glob(f"{self.path}/v*")), default=0)
+        return max((int(_VERSION.search(p)[1]) for p in self._glob(f"{self.path}/{self.prefix}*")), default=0)
 
     def _new_folder(self, suffix: str) -> str:
-        return f"{self.path}/v{self._last_number() + 1:08d}{suffix}"
+        return f"{self.path}/{self.prefix}{self._last_number() + 1:08d}{suffix}"
 
     def _versions(self) -> list[str]:
         """Committed version folders, newest first, back to the last whole one."""
         versions = []
-        for marker in reversed(self._glob(f"{self.path}/v*/{MARKER}")):
+        for marker in reversed(self._glob(f"{self.path}/{self.prefix}*/{MARKER}")):
             versions.append(marker[: -len(MARKER) - 1])
             if versions[-1].endswith(WHOLE):
                 break
@@ -208,7 +219,7 @@ class Table:
     def _located(self) -> dict[str, str]:
         """Slice name to folder; a version without slices is one slice named ''."""
         by_version: dict[str, list[str]] = {}
-        for folder in self._glob(f"{self.path}/v*/{SLICE}=*"):
+        for folder in self._glob(f"{self.path}/{self.prefix}*/{SLICE}=*"):
             by_version.setdefault(folder.rsplit("/", 1)[0], []).append(folder)
         located: dict[str, str] = {}
         for version in self._versions():

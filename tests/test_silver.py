@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import millrace.plans.silver as plan
 from millrace.datasets import DATASETS, Dataset, Rule
-from millrace.plans.reprocess import reprocess_batch
+from millrace.plans.reprocess import of_batch, reprocess_batch
 from millrace.plans.silver import Silver, run_incremental, run_silver, run_snapshot
+from millrace.sources.lake import Table
 
 ITEMS = Dataset(
     name="items",
@@ -235,3 +236,46 @@ def test_shipped_datasets_are_consistent():
         names = set(d.columns)
         assert set(d.key) <= set(d.required) <= names
         assert {r.column for r in d.rules} <= names
+
+
+def scanned(df):
+    """(files, rows) that the frame's scan with partition filters has read, once it has run."""
+    df.collect()
+    top = df._jdf.queryExecution().executedPlan()
+    if top.nodeName() == "AdaptiveSparkPlan":
+        top = top.executedPlan().plan()
+    leaves = top.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("Scan parquet") and leaf.partitionFilters().nonEmpty():
+            return tuple(leaf.metrics().get(k).get().value() for k in ("numFiles", "numOutputRows"))
+    raise AssertionError("no scan with partition filters")
+
+
+def test_a_second_delivery_reads_no_file_of_the_first(spark, silver):
+    silver.bronze.append(bronze_rows(spark, *[(f"k{i}", 1, 0, f"b{i % 7}") for i in range(70)]))
+    run_incremental(silver)
+    silver.bronze.append(bronze_rows(spark, ("x", 1, 1, "late"), ("y", 1, 1, "late")))
+    bronze = silver.bronze.read()
+    plan.store_pending(silver, bronze)
+    rows = plan.pending_rows(silver, bronze)
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+    assert scanned(rows) == (1, 2)
+    assert sorted(r["k"] for r in rows.collect()) == ["x", "y"]
+
+
+def test_pending_ids_come_from_the_folders(spark, silver, monkeypatch):
+    silver.bronze.append(bronze_rows(spark, *[(f"k{i}", 1, 0, f"b{i % 3}") for i in range(30)], ("n", 1, 0, None)))
+    plans = []
+    write = Table.overwrite
+    monkeypatch.setattr(Table, "overwrite", lambda t, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(t, df))
+    plan.store_pending(silver, silver.bronze.read())
+    assert sorted(r[0] for r in silver.work("pending").read().collect()) == ["b0", "b1", "b2"]
+    assert "FileScan" not in plans[0] and "LocalTableScan" in plans[0]
+
+
+def test_reprocessing_reads_one_batch_only(spark, silver):
+    silver.bronze.append(bronze_rows(spark, *[(f"k{i}", -1, 0, f"b{i % 9}") for i in range(90)]))
+    run_incremental(silver)
+    for table in (silver.bronze, silver.quarantine):
+        assert scanned(of_batch(table, "b4")) == (1, 10)
