@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,92 +21,206 @@ SENTENCES, WORDS = 3, 25
 CUT = 7
 ROWS_OUT = 50_000
 
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)\s*")
 # Scripts without blanks between words (Thai to Khmer, kana, Han); each character counts as a word.
-_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
-_HAS_BARE = re.compile(f"[{_BARE}]")
-_UNIT = re.compile(f"[{_BARE}]|[^\\s{_BARE}]+")
-_WORD = re.compile(r"\S+\s*")
-_BARE_WORD = re.compile(f"(?:[{_BARE}]|[^\\s{_BARE}]+)\\s*")
+_BARE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF))
+_IS_BARE = np.zeros(0xFB01, bool)
+for _low, _high in _BARE:
+    _IS_BARE[_low : _high + 1] = True
+_IS_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_UNIT = re.compile("[{0}]|[^\\s{0}]+".format("".join(f"{chr(low)}-{chr(high)}" for low, high in _BARE)))
+
+
+def lowered(text: str) -> str:
+    """In lower case, character by character where the whole would change its length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def words_of(text: str) -> list[str]:
     """Words in lower case; characters where there are no blanks."""
-    if text.isascii() or not _HAS_BARE.search(text):
-        return text.lower().split()
-    return _UNIT.findall(text.lower())
+    return _UNIT.findall(lowered(text))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+#: Two independent hashes of words: each letter's is multiplied with its place's.
+_PLACES = 1 << 16
+_SEEDS = (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
+_OF_PLACE = [mixed(np.arange(1, _PLACES + 1, dtype=np.uint64) * np.uint64(s)) for s in _SEEDS]
+
 
+def at_place(of_place: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return of_place[places % _PLACES] * (2 * (places // _PLACES) + 1).astype(np.uint64)
 
-def winnowed(words: list[str]) -> list[int]:
-    """Places of the words with the least hash, the first of equals, of every CUT words in a row."""
-    if len(words) < CUT:
-        return []
-    hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.int64, len(words))
+
+def of_words(letters: np.ndarray, first: np.ndarray, lane: int) -> np.ndarray:
+    """Hashes of the words that begin at ``first``, from the hashes of their letters in a row."""
+    place = np.arange(len(letters)) - np.repeat(first, np.diff(first, append=len(letters)))
+    return mixed(np.add.reduceat(letters * at_place(_OF_PLACE[lane], place), first))
+
+
+def winnowed(hashes: np.ndarray) -> np.ndarray:
+    """Places of the least hash, the first of equals, of every CUT words in a row."""
+    if len(hashes) < CUT:
+        return np.zeros(0, np.int64)
     least = np.lib.stride_tricks.sliding_window_view(hashes, CUT).argmin(axis=1)
-    return np.unique(least + np.arange(len(least))).tolist()
+    return np.unique(least + np.arange(len(least)))
+
+
+def cut(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(borders of the pieces, from 0 to the end; hashes of letters; first letter and piece of each word).
+
+    Pieces are sentences, which end with their marks or a line and the blanks after it, cut
+    again where their words say.
+    """
+    points = np.frombuffer(lowered(text).encode("utf-32-le", "surrogatepass"), "<u4")
+    solid = np.flatnonzero(~_IS_SPACE[np.minimum(points, len(_IS_SPACE) - 1)])
+    n = len(points)
+    if not len(solid):
+        return np.array([0, n] if n else [0]), np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
+    own = points[solid]
+    mark = (own == ord(".")) | (own == ord("!")) | (own == ord("?"))
+    bare = _IS_BARE[np.minimum(own, len(_IS_BARE) - 1)] & (own < len(_IS_BARE))
+    lines = np.cumsum(points == 10)[solid]
+    apart = solid[1:] > solid[:-1] + 1
+    ends = np.where(apart, mark[:-1] | (lines[1:] > lines[:-1]), mark[:-1] & ~mark[1:])
+    new = np.concatenate([[True], apart | bare[1:] | bare[:-1]])
+    letters = mixed(own.astype(np.uint64) + np.uint64(1))
+    unit = np.flatnonzero(new)
+    after = winnowed(of_words(letters, unit, 0)) + 1
+    sentence = np.concatenate([[lines[0] > 0], ends])
+    borders = np.concatenate([[0], solid[sentence], solid[unit[after[after < len(unit)]]], [n]])
+    borders = np.unique(borders)
+    first = np.flatnonzero(new | np.concatenate([[False], ends]))
+    return borders, letters, np.stack([first, np.searchsorted(borders, solid[first], "right") - 1], axis=1)
 
 
 def sentences(text: str) -> list[str]:
-    """The text in pieces that join to it again: sentences, cut where their words say."""
-    pattern = _WORD if text.isascii() or not _HAS_BARE.search(text) else _BARE_WORD
-    ends = [m.end() for m in pattern.finditer(text)]
-    cuts = {m.end() for m in _SENTENCE.finditer(text)} | {ends[i] for i in winnowed(words_of(text))} | {len(text)}
-    places = sorted(cuts - {0})
-    return [text[a:b] for a, b in zip([0, *places], places)]
+    """The text in pieces that join to it again."""
+    borders = cut(text)[0].tolist()
+    return [text[a:b] for a, b in zip(borders, borders[1:])]
 
 
 def spans(pieces: list[str]) -> Iterator[tuple[int, int, str]]:
-    """(first, number, normal form) of the shortest span from each sentence on that is long enough."""
+    """(first, number, normal form) of the shortest span from each sentence on that is long enough.
+
+    The last of them comes once more up to the end, so that no sentence is in none.
+    ``hashed_spans`` finds the same by hash; this says what they are.
+    """
     words = [words_of(p) for p in pieces]
     filled = [i for i, w in enumerate(words) if w]
+
+    def span(k: int, end: int) -> tuple[int, int, str]:
+        return filled[k], filled[end - 1] - filled[k] + 1, " ".join(w for j in filled[k:end] for w in words[j])
+
     end = total = 0
     for k, i in enumerate(filled):
         while end < len(filled) and (end - k < SENTENCES or total < WORDS):
             total += len(words[filled[end]])
             end += 1
         if end - k < SENTENCES or total < WORDS:
+            if k and before < len(filled):
+                yield span(k - 1, len(filled))
             return
-        last = filled[end - 1]
-        yield i, last - i + 1, " ".join(w for j in filled[k:end] for w in words[j])
+        yield span(k, end)
+        before = end
         total -= len(words[i])
 
 
-SPAN = "key long, hash long, more int, at int, n int"
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of a lane's seed, and of its inverse modulo 2 to the 64th."""
+    if lane not in _POWERS or len(_POWERS[lane][0]) < n:
+        size = max(_PLACES, 2 * n)
+        bases = (_SEEDS[lane], pow(_SEEDS[lane], -1, 1 << 64))
+        _POWERS[lane] = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)])) for b in bases)
+    up, down = _POWERS[lane]
+    return up[:n], down[:n]
+
+
+def hashed_spans(text: str) -> tuple[int, list[np.ndarray]]:
+    """The number of pieces, and (hash, more, start, end) of every span, by characters."""
+    borders, letters, words = cut(text)
+    of_piece = np.bincount(words[:, 1], minlength=len(borders) - 1)
+    filled = np.flatnonzero(of_piece)
+    upto = np.concatenate([[0], np.cumsum(of_piece[filled])])
+    end = np.maximum(np.arange(len(filled)) + SENTENCES, np.searchsorted(upto, upto[:-1] + WORDS))
+    end = end[end <= len(filled)]  # ends never fall
+    k = np.arange(len(end))
+    if not len(k):
+        return len(borders) - 1, []
+    if end[-1] < len(filled):
+        k, end = np.append(k, k[-1]), np.append(end, len(filled))
+    hashes = []
+    for lane in (0, 1):
+        up, down = powers(lane, len(words) + 1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(of_words(letters, words[:, 0], lane) * up[:-1])])
+        hashes.append(mixed((sums[upto[end]] - sums[upto[k]]) * down[upto[k]]))
+    more = (hashes[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return len(borders) - 1, [hashes[0].view(np.int64), more, borders[filled[k]], borders[filled[end - 1] + 1]]
+
+
+#: A row without hash has the number of a text's pieces as its end.
+SPAN = "key long, hash long, more int, start int, end int"
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    names = ["key", "hash", "more", "start", "end"]
 
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "hash", "more", "at", "n"])
+    def out(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*found)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     for batch in batches:
-        rows: list[tuple] = []
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-            for at, n, normal in spans(sentences(text)):
-                digest = xxhash.xxh3_128_intdigest(normal.encode())
-                rows.append((key, (digest & (1 << 64) - 1) - (1 << 63), (digest >> 64 & (1 << 32) - 1) - (1 << 31), at, n))
-            if len(rows) >= ROWS_OUT:
-                yield out(rows)
-                rows = []
-        yield out(rows)
+        keys, pieces, found, size = batch.column("key").to_pylist(), [], [], 0
+        for key, text in zip(keys, batch.column("text")):
+            n, columns = hashed_spans(text.as_py())
+            pieces.append(n)
+            if columns:
+                found.append([np.full(len(columns[0]), key), *columns])
+                size += len(columns[0])
+            if size >= ROWS_OUT:
+                yield out(found)
+                found, size = [], 0
+        if found:
+            yield out(found)
+        none = [pa.nulls(len(keys), k) for k in kinds[1:3]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, kinds[0]), *none, pa.array([0] * len(keys), kinds[3]), pa.array(pieces, kinds[4])], names
+        )
 
 
 CLEANED = "doc_id long, n_sentences long, n_removed long, text string"
 
 
+def without(text: str, found: list[dict]) -> tuple[int, str]:
+    """(pieces removed, text left) when the spans found are taken out; they may overlap."""
+    borders, kept, removed, upto = cut(text)[0], [], 0, 0
+    for start, end in sorted((f["start"], f["end"]) for f in found):
+        if end <= upto:
+            continue
+        if start > upto:
+            kept.append(text[upto:start])
+        start = max(start, upto)
+        removed += int(np.searchsorted(borders, end) - np.searchsorted(borders, start))
+        upto = end
+    return removed, "".join(kept) + text[upto:]
+
+
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, counts, removed = [], [], []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist()):
-            pieces = sentences(text)
-            gone = {i for f in found or () for i in range(f["at"], f["at"] + f["n"])}
-            kept.append("".join(p for i, p in enumerate(pieces) if i not in gone) if gone else text)
-            counts.append(len(pieces))
-            removed.append(len(gone))
+        texts = batch.column("text").to_pylist()
+        cleaned = [without(t, f) if f else (0, t) for t, f in zip(texts, batch.column("found").to_pylist())]
+        removed, kept = zip(*cleaned) if cleaned else ((), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+            [batch.column("doc_id"), batch.column("n_sentences"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
             ["doc_id", "n_sentences", "n_removed", "text"],
         )
 
@@ -119,7 +231,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     From every sentence on, the shortest span of SENTENCES or more consecutive sentences with
     WORDS or more words is hashed (96 bits, case and white space aside); sentences count as
     several (CUT). Every repeated run of 50 words holds a span; up to 2 * CUT - 1 words at each end
-    of it may stay. All spans meet by hash. The first occurrence, by document and place, stays;
+    of it may stay, unless the text ends there. All spans meet by hash. The first occurrence, by document and place, stays;
     sentences in any later one are removed, in the same document too. Counts and firsts are
     aggregated before the shuffle; the join back to places reads stored tables on both sides,
     so that a span found everywhere is split.
@@ -130,13 +242,16 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """
     rows = keyed(docs, "spans-rows")
     every = stored(in_batches(rows.select("key", "text"), _spans, SPAN), "spans-all")
-    firsts = every.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "at")).alias("first"))
+    hashed = every.where("hash is not null")
+    firsts = hashed.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "start")).alias("first"))
     repeated = stored(
-        firsts.where("times > 1").select("hash", "more", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")),
+        firsts.where("times > 1").select("hash", "more", F.col("first.key").alias("first_key"), F.col("first.start").alias("first_start")),
         "spans-repeated",
     )
-    later = every.join(repeated, ["hash", "more"]).where("key <> first_key or at <> first_at")
-    by_text = stored(later.select("key", "at", "n"), "spans-later").groupBy("key").agg(
-        F.collect_list(F.struct("at", "n")).alias("found")
+    later = hashed.join(repeated, ["hash", "more"]).where("key <> first_key or start <> first_start")
+    found = later.select("key", F.struct("start", "end").alias("span"), F.lit(None).cast("long").alias("n"))
+    pieces = every.where("hash is null").select("key", F.lit(None).cast(found.schema["span"].dataType), F.col("end").cast("long"))
+    by_text = stored(found.union(pieces), "spans-later").groupBy("key").agg(
+        F.collect_list("span").alias("found"), F.max("n").alias("n_sentences")
     )
-    return in_batches(rows.join(by_text, "key", "left").select("doc_id", "text", "found"), _clean, CLEANED)
+    return in_batches(rows.join(by_text, "key").select("doc_id", "text", "found", "n_sentences"), _clean, CLEANED)
