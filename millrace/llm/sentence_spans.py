@@ -145,7 +145,7 @@ def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashed_spans(text: str) -> tuple[int, list[np.ndarray]]:
-    """The number of pieces, and (hash, more, start, end) of every span, by characters."""
+    """The number of pieces, and (hash, more, start, length) of every span, by characters."""
     borders, letters, words = cut(text)
     of_piece = np.bincount(words[:, 1], minlength=len(borders) - 1)
     filled = np.flatnonzero(of_piece)
@@ -163,16 +163,17 @@ def hashed_spans(text: str) -> tuple[int, list[np.ndarray]]:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(of_words(letters, words[:, 0], lane) * up[:-1])])
         hashes.append(mixed((sums[upto[end]] - sums[upto[k]]) * down[upto[k]]))
     more = (hashes[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return len(borders) - 1, [hashes[0].view(np.int64), more, borders[filled[k]], borders[filled[end - 1] + 1]]
+    start = borders[filled[k]]
+    return len(borders) - 1, [hashes[0].view(np.int64), more, start, borders[filled[end - 1] + 1] - start]
 
 
-#: A row without hash has the number of a text's pieces as its end.
-SPAN = "key long, hash long, more int, start int, end int"
+#: A row without hash has the number of a text's pieces as its length.
+SPAN = "key long, hash long, more int, start int, length int"
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-    names = ["key", "hash", "more", "start", "end"]
+    names = ["key", "hash", "more", "start", "length"]
 
     def out(found: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*found)]
@@ -203,7 +204,7 @@ CLEANED = "doc_id long, n_sentences long, n_removed long, text string"
 def without(text: str, found: list[dict]) -> tuple[int, str]:
     """(pieces removed, text left) when the spans found are taken out; they may overlap."""
     borders, kept, removed, upto = cut(text)[0], [], 0, 0
-    for start, end in sorted((f["start"], f["end"]) for f in found):
+    for start, end in sorted((f["start"], f["start"] + f["length"]) for f in found):
         if end <= upto:
             continue
         if start > upto:
@@ -241,7 +242,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     rows = keyed(docs, "spans-rows")
-    every = stored(in_batches(rows.select("key", "text"), _spans, SPAN), "spans-all")
+    every = stored(in_batches(rows.select("key", "text"), _spans, SPAN), "spans-all", "zstd")
     hashed = every.where("hash is not null")
     firsts = hashed.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "start")).alias("first"))
     repeated = stored(
@@ -249,9 +250,9 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
         "spans-repeated",
     )
     later = hashed.join(repeated, ["hash", "more"]).where("key <> first_key or start <> first_start")
-    found = later.select("key", F.struct("start", "end").alias("span"), F.lit(None).cast("long").alias("n"))
-    pieces = every.where("hash is null").select("key", F.lit(None).cast(found.schema["span"].dataType), F.col("end").cast("long"))
-    by_text = stored(found.union(pieces), "spans-later").groupBy("key").agg(
+    found = later.select("key", F.struct("start", "length").alias("span"), F.lit(None).cast("long").alias("n"))
+    pieces = every.where("hash is null").select("key", F.lit(None).cast(found.schema["span"].dataType), F.col("length").cast("long"))
+    by_text = found.union(pieces).groupBy("key").agg(
         F.collect_list("span").alias("found"), F.max("n").alias("n_sentences")
     )
     return in_batches(rows.join(by_text, "key").select("doc_id", "text", "found", "n_sentences"), _clean, CLEANED)

@@ -36,11 +36,11 @@ def noted() -> Iterator[list[str]]:
             outer += made
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, safe from lost executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     if _made.get() is not None:
         _made.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
