@@ -1,6 +1,6 @@
 """Phrases whose words occur together more often than apart, from FM-indexes over word ids.
 
-Texts are cut into shards of up to three million words where they are read. Each shard is one
+Texts are cut into shards of some two and a half million words where they are read. Each shard is one
 FM-index (``fm_index``) and is stored; its phrases are enumerated by extending BWT intervals to
 the left and to the right. Counts are summed across shards one length at a time where that
 prunes: words, then pairs of frequent words, then all longer phrases of frequent pairs. What
@@ -27,7 +27,9 @@ LEAST = 100
 PERCENT = 100  # a phrase inside a longer one that has so much of its count is dropped
 TOP = 2000
 #: Words of a shard: its index takes some 50 bytes for each while it is made.
-SHARD_WORDS = 3 << 20
+SHARD_WORDS = 5 << 19
+#: Enough for the different words of a shard; beyond them 20 bits number a task's shards, 20 the task.
+SYMBOL_BITS = 23
 #: Bytes of a text that are split into words at once, and words that are turned into numbers at once.
 BLOCK = 1 << 20
 CODED = 1 << 18
@@ -122,7 +124,7 @@ def indexed(shard: int, of_lang: dict[str, Words], open_lang: str | None) -> pa.
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
-    number, size = TaskContext.get().partitionId() << 32, 0
+    number, size = TaskContext.get().partitionId() << 20, 0
     of_lang: dict[str, Words] = defaultdict(Words)
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
@@ -132,6 +134,7 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.
                 size += len(found)
                 if size >= shard_words:
                     yield indexed(number, of_lang, lang)
+                    pa.default_memory_pool().release_unused()
                     carried = of_lang[lang].last(LONGEST - 1)
                     of_lang = defaultdict(Words, {lang: Words(carried)})
                     number, size = number + 1, len(carried)
@@ -203,6 +206,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, n = shard.id_of[found.symbols], shard.counts(found)
                 arrays = [np.full(len(n), shard.number), np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]), n]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", "a", "b", "n"])
+            del shard
+            pa.default_memory_pool().release_unused()
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,14 +229,13 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
 def frequent_words(found: DataFrame, least: int) -> DataFrame:
     """(shard, symbol, lang, word, f, id) of the words with ``least`` occurrences in their language, stored.
 
-    A word comes once for each shard that has it; with the same shuffle its total and its number
-    go back to each of them.
+    A word comes once for each shard that has it; with the same shuffle its total and its number,
+    the first shard's for it, go back to each of them.
     """
     local = found.select("shard", F.posexplode("words").alias("at", "w")).select("shard", (F.col("at") + 1).alias("symbol"), "w.*")
     same = Window.partitionBy("lang", "word")
-    total = local.withColumn("row", F.monotonically_increasing_id()).select(
-        "shard", "symbol", "lang", "word", F.sum("n").over(same).alias("f"), F.min("row").over(same).alias("id")
-    )
+    first = F.col("shard") * (1 << SYMBOL_BITS) + F.col("symbol")
+    total = local.select("shard", "symbol", "lang", "word", F.sum("n").over(same).alias("f"), F.min(first).over(same).alias("id"))
     return stored(total.where(F.col("f") >= least), "phrases-local-words")
 
 
@@ -242,7 +246,7 @@ def frequent_phrases(found: DataFrame, local: DataFrame, words: DataFrame, least
     pairs = in_batches(indexes.drop("rightward"), _pairs, "shard long, a long, b long, n long")
     # As with words: a pair comes once for each shard, and its total goes back to each.
     total = F.sum("n").over(Window.partitionBy("a", "b"))
-    pairs = stored(pairs.withColumn("f", total).where(F.col("f") >= least), "phrases-pairs")
+    pairs = stored(pairs.select("shard", "a", "b", total.alias("f")).where(F.col("f") >= least), "phrases-pairs")
     alive = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("alive"))
     longer = in_batches(indexes.join(alive, "shard"), _longer, "ids array<long>, n long")
     longer = longer.groupBy("ids").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
