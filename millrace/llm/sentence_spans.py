@@ -252,7 +252,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     later = hashed.join(repeated, ["hash", "more"]).where("key <> first_key or start <> first_start")
     found = later.select("key", F.struct("start", "length").alias("span"), F.lit(None).cast("long").alias("n"))
     pieces = every.where("hash is null").select("key", F.lit(None).cast(found.schema["span"].dataType), F.col("length").cast("long"))
-    by_text = found.union(pieces).groupBy("key").agg(
+    by_text = stored(found.union(pieces), "spans-later", "zstd").groupBy("key").agg(
         F.collect_list("span").alias("found"), F.max("n").alias("n_sentences")
     )
     return in_batches(rows.join(by_text, "key").select("doc_id", "text", "found", "n_sentences"), _clean, CLEANED)
