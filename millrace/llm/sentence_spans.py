@@ -201,25 +201,28 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 CLEANED = "doc_id long, n_sentences long, n_removed long, text string"
 
 
-def without(text: str, found: list[dict]) -> tuple[int, str]:
+def without(text: str, start: np.ndarray, end: np.ndarray) -> tuple[int, str]:
     """(pieces removed, text left) when the spans found are taken out; they may overlap."""
-    borders, kept, removed, upto = cut(text)[0], [], 0, 0
-    for start, end in sorted((f["start"], f["start"] + f["length"]) for f in found):
-        if end <= upto:
-            continue
-        if start > upto:
-            kept.append(text[upto:start])
-        start = max(start, upto)
-        removed += int(np.searchsorted(borders, end) - np.searchsorted(borders, start))
-        upto = end
-    return removed, "".join(kept) + text[upto:]
+    order = np.argsort(start, kind="stable")
+    start, upto = start[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > upto[:-1]]))
+    low, high = start[new], upto[np.append(new[1:], len(upto)) - 1]
+    borders = cut(text)[0]
+    removed = int((np.searchsorted(borders, high) - np.searchsorted(borders, low)).sum())
+    kept = [text[a:b] for a, b in zip([0, *high.tolist()], [*low.tolist(), len(text)])]
+    return removed, "".join(kept)
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        cleaned = [without(t, f) if f else (0, t) for t, f in zip(texts, batch.column("found").to_pylist())]
-        removed, kept = zip(*cleaned) if cleaned else ((), ())
+        found = batch.column("found")
+        spans, upto = found.flatten(), np.append(0, np.cumsum(found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+        start, length = (spans.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "length"))
+        removed, kept = [], []
+        for text, a, b in zip(batch.column("text").to_pylist(), upto.tolist(), upto[1:].tolist()):
+            n, left = without(text, start[a:b], start[a:b] + length[a:b]) if a < b else (0, text)
+            removed.append(n)
+            kept.append(left)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("n_sentences"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
             ["doc_id", "n_sentences", "n_removed", "text"],
