@@ -10,6 +10,8 @@ group takes the same path. The last digits of a total follow the order of additi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,31 @@ def refunds_on_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
+#: Sums that add up: partial ones of some orders each give those of all orders.
+ADDED = (
+    "order_count", "units_sold", "gross_sales_amount", "discount_amount", "net_sales_amount",
+    "refund_amount",
+)
+
+
+def _stacked_sums(
+    orders: DataFrame, refunds: DataFrame, keys: Sequence[str], unique_orders: bool
+) -> DataFrame:
+    stacked = orders.select(*keys, "order_id", *MEASURES).unionByName(
+        refunds.select(*keys, "refund_amount"), allowMissingColumns=True
+    )
+    return stacked.groupBy(*keys).agg(
+        *_order_measures(unique_orders), F.sum("refund_amount").alias("refund_amount")
+    )
+
+
+def _net(sums: DataFrame) -> DataFrame:
+    refund = F.coalesce("refund_amount", F.lit(0.0))
+    return sums.withColumns(
+        {"refund_amount": refund, "net_revenue": F.col("net_sales_amount") - refund}
+    )
+
+
 def revenue_by(
     orders: DataFrame, refunds: DataFrame, key: str, unique_orders: bool = False
 ) -> DataFrame:
@@ -67,17 +94,17 @@ def revenue_by(
     where it is read and never shuffled row by row. The refund follows the order: its
     date, its customer. Returns of unknown orders are not in ``refunds``.
     """
-    stacked = orders.select(key, "order_id", *MEASURES).unionByName(
-        refunds.select(key, "refund_amount"), allowMissingColumns=True
-    )
-    return (
-        stacked.groupBy(key)
-        .agg(
-            *_order_measures(unique_orders),
-            F.coalesce(F.sum("refund_amount"), F.lit(0.0)).alias("refund_amount"),
-        )
-        .withColumn("net_revenue", F.col("net_sales_amount") - F.col("refund_amount"))
-    )
+    return _net(_stacked_sums(orders, refunds, [key], unique_orders))
+
+
+def partial_revenue(orders: DataFrame, refunds: DataFrame, piece: str, key: str) -> DataFrame:
+    """Sums per ``key`` of each ``piece`` of the orders, each order id being in one row only."""
+    return _stacked_sums(orders, refunds, [piece, key], True)
+
+
+def revenue_of_partials(partials: DataFrame, key: str) -> DataFrame:
+    """What ``revenue_by`` gives for unique orders, from the sums of their pieces."""
+    return _net(partials.groupBy(key).agg(*[F.sum(c).alias(c) for c in ADDED]))
 
 
 def daily_sales(orders: DataFrame, returns: DataFrame, unique_orders: bool = False) -> DataFrame:

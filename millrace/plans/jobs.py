@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.environments import Environment, dataset, new_batch_id
 from millrace.plans.gold import build_gold
+from millrace.plans.pieces import pieces_for
 from millrace.plans.qa import PROMOTIONS_EXPECTED, run_qa, store_qa
 from millrace.plans.reprocess import reprocess_batch
 from millrace.plans.run_log import logged
@@ -64,7 +66,8 @@ def bronze_job(
 
 
 def _silver(env: Environment, lake: Lake, name: str) -> Silver:
-    return Silver(lake, dataset(name), env.name, env.buckets.get(name, 1))
+    silver = Silver(lake, dataset(name), env.name)
+    return replace(silver, buckets=pieces_for(silver.table, silver.bronze, env.buckets.get(name)))
 
 
 def silver_job(spark: SparkSession, env: Environment, name: str, **ids) -> None:

@@ -19,6 +19,7 @@ from millrace.operators.merge import (
     upsert_latest,
 )
 from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics
+from millrace.plans.pieces import names, piece_of
 from millrace.plans.together import together
 from millrace.sources.lake import Lake, Table, gathered
 
@@ -61,21 +62,12 @@ class Silver:
         """Intermediate rows of a run, replaced by the next one."""
         return self.lake.table("work", f"silver/{self.dataset.name}/{what}")
 
-    def _numbered(self, *columns: str) -> Column:
-        number = F.pmod(F.xxhash64(*columns), F.lit(self.buckets))
-        return F.concat(number.cast("string"), F.lit(f"-of-{self.buckets}"))
-
     def piece(self) -> Column:
         """The slice of silver a row belongs to."""
-        return self._numbered(*self.dataset.key)
+        return piece_of(self.dataset.key, self.buckets)
 
     def quarantine_piece(self) -> Column:
-        return self._numbered("_batch_id")
-
-
-def names(df: DataFrame, piece: Column) -> list[str]:
-    """The different pieces rows belong to; there are no more than buckets."""
-    return sorted(r[0] for r in df.select(piece.alias("piece")).distinct().collect())
+        return piece_of(["_batch_id"], self.buckets)
 
 
 def cut_alike(silver: Silver, table: Table) -> bool:

@@ -98,6 +98,10 @@ class Table:
     def slices(self) -> list[str]:
         return sorted(self._located())
 
+    def written(self) -> dict[str, int]:
+        """The version that holds each current slice; later writes have higher numbers."""
+        return {s: int(_VERSION.search(p)[1]) for s, p in self._located().items()}
+
     def read(self, slices: Iterable[str] | None = None) -> DataFrame:
         """The current rows, or those of the named slices."""
         located = self._located()

@@ -189,11 +189,11 @@ def test_closed_history_and_untouched_slices_stay_as_they_are(spark, lake, rows)
 
     table = lake.table("gold", "dim_customer")
     days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
-    merge_customers(lake, customers(a="Lyon", b="Nice"), days[0])
-    merge_customers(lake, customers(a="Paris", b="Nice"), days[1])
+    merge_customers(lake, customers(a="Lyon", b="Nice"), days[0], 4)
+    merge_customers(lake, customers(a="Paris", b="Nice"), days[1], 4)
     closed = table._located()["closed-2024-01-02"]
-    merge_customers(lake, customers(a="Paris", b="Metz", c="Brest"), days[2])
-    merge_customers(lake, customers(a="Paris", b="Metz", c="Brest"), days[2])
+    merge_customers(lake, customers(a="Paris", b="Metz", c="Brest"), days[2], 4)
+    merge_customers(lake, customers(a="Paris", b="Metz", c="Brest"), days[2], 4)
     assert table._located()["closed-2024-01-02"] == closed
     got = rows(table.read(), "customer_id", "city", "is_current")
     assert got == [
@@ -210,3 +210,133 @@ def test_closed_history_and_untouched_slices_stay_as_they_are(spark, lake, rows)
     assert lake.table("gold", "fact").read().agg(F.sum("amount")).first()[0] == 201.0
     upsert_gold(lake, "fact", changed.filter("order_id <> '7'"), ["order_id"], 8)
     assert lake.table("gold", "fact")._located() == after
+
+
+def customers_of(spark, cities):
+    from millrace.operators.scd2 import TRACKED
+
+    frame = spark.createDataFrame(list(cities.items()), "customer_id string, city string")
+    others = {c: F.lit("x") for c in TRACKED if c not in ("city", "signup_date")}
+    return frame.withColumns(others).withColumn("signup_date", F.lit(D1))
+
+
+def test_one_changed_customer_rewrites_one_piece(spark, lake, rows):
+    from millrace.plans.gold import merge_customers
+
+    cities = {f"c{i}": "Lyon" for i in range(60)}
+    table = lake.table("gold", "dim_customer")
+    merge_customers(lake, customers_of(spark, cities), D1, 8)
+    before = table.written()
+    assert len(before) == 8
+    merge_customers(lake, customers_of(spark, cities), D2, 8)
+    assert table.written() == before
+    merge_customers(lake, customers_of(spark, {**cities, "c7": "Nice"}), D2, 8)
+    after = table.written()
+    assert sum(after[s] != v for s, v in before.items()) == 1
+    assert set(after) - set(before) == {"closed-2024-02-01"}
+    # Another number of pieces, later: the same history, closed versions in the slices of their days.
+    other = dt.date(2024, 3, 1)
+    merge_customers(lake, customers_of(spark, {**cities, "c7": "Metz", "new": "Brest"}), other, 3)
+    assert {s for s in table.slices() if s.startswith("closed")} == {"closed-2024-02-01", "closed-2024-03-01"}
+    assert {s for s in table.slices() if s.startswith("current")} == {f"current-{i}-of-3" for i in range(3)}
+    got = rows(table.read().filter("customer_id IN ('c7', 'new')"), "customer_id", "city", "effective_start_date", "is_current")
+    assert got == [("c7", "Lyon", D1, False), ("c7", "Metz", other, True), ("c7", "Nice", D2, False), ("new", "Brest", other, True)]
+    assert table.read().count() == 63
+
+
+def test_a_value_that_moves_to_an_empty_column_is_a_change(spark, lake, rows):
+    from millrace.plans.gold import upsert_gold
+
+    ddl = "id string, a string, b string"
+    upsert_gold(lake, "t", spark.createDataFrame([("1", "x", None), ("2", "y", None)], ddl), ["id"], 2)
+    upsert_gold(lake, "t", spark.createDataFrame([("1", None, "x")], ddl), ["id"], 2)
+    assert rows(lake.table("gold", "t").read()) == [("1", None, "x"), ("2", "y", None)]
+
+
+def test_a_row_cut_by_another_column_moves_with_it(spark, lake, rows):
+    from millrace.plans.gold import upsert_gold
+
+    first = spark.range(40).selectExpr("string(id) return_id", "string(id % 10) order_id")
+    upsert_gold(lake, "r", first, ["return_id"], 4, ["order_id"])
+    second = first.withColumn("order_id", F.when(F.col("return_id") == "3", "8").otherwise(F.col("order_id")))
+    upsert_gold(lake, "r", second, ["return_id"], 4, ["order_id"])
+    assert rows(lake.table("gold", "r").read()) == rows(second)
+    from millrace.plans.pieces import piece_of
+
+    for name in lake.table("gold", "r").slices():
+        assert rows(lake.table("gold", "r").read([name])) == rows(second.where(piece_of(["order_id"], 4) == name))
+
+
+def test_summaries_read_changed_pieces_only_and_equal_a_full_build(spark, lake, rows):
+    from millrace.plans import gold
+    from millrace.sources.lake import Lake
+
+    def facts_of(extra, refund):
+        orders = spark.range(300).selectExpr(
+            "string(id) order_id", "string(id % 17) customer_id", "string(id % 5) product_id",
+            "date_add(date'2024-01-01', cast(id % 40 as int)) order_date",
+            f"cast(IF(id = 5, {extra}, id % 3) as int) quantity", "cast(id as double) gross_amount",
+            "IF(id % 2 = 0, NULL, 1.5D) discount_amount", "cast(id as double) net_sales_amount",
+        )
+        returns = spark.range(60).selectExpr(
+            "string(id) return_id", "string(id * 6) order_id", "string(id % 5) product_id",
+            "1 return_quantity", f"IF(id = 2, {refund}, 2.5D) refund_amount",
+        )
+        return orders, returns
+
+    def store(where, extra, refund, pieces=8):
+        orders, returns = facts_of(extra, refund)
+        gold.upsert_gold(where, "fact_orders", orders, ["order_id"], pieces)
+        gold.upsert_gold(where, "fact_returns", returns, ["return_id"], pieces, ["order_id"])
+
+    def summaries_of(where):
+        names = [f"{k}_{w}_summary" for k in ("customer", "product") for w in ("revenue", "sales")]
+        return {n: rows(where.table("gold", n).read()) for n in (*names, "daily_sales_summary", "monthly_sales_summary")}
+
+    def built(extra, refund):
+        whole = Lake(spark, f"{lake.root}-{extra}-{refund}")
+        store(whole, extra, refund)
+        gold.sum_sales(whole, 8)
+        return summaries_of(whole)
+
+    partials = lake.table("gold_partials", "customer_id")
+    store(lake, 1, 0.5)
+    gold.sum_sales(lake, 8)
+    assert summaries_of(lake) == built(1, 0.5)
+    before = partials.written()
+    assert len(before) == 8
+
+    # One order and one return change. The first attempt dies between the facts and the sums.
+    store(lake, 9, 7.5)
+    store(lake, 9, 7.5)
+    facts = [lake.table("gold", f"fact_{n}") for n in ("orders", "returns")]
+    stale = gold.stale_pieces(partials, facts)
+    assert 1 <= len(stale) <= 2
+    gold.sum_sales(lake, 8)
+    after = partials.written()
+    assert sorted(s for s in after if after[s] != before[s]) == stale
+    assert summaries_of(lake) == built(9, 7.5)
+    assert gold.stale_pieces(partials, facts) == []
+
+    # Cut anew, all is summed again.
+    store(lake, 9, 7.5, pieces=3)
+    gold.sum_sales(lake, 3)
+    assert set(partials.slices()) == {f"{i}-of-3" for i in range(3)}
+    assert summaries_of(lake) == built(9, 7.5)
+
+
+def test_number_of_pieces_follows_the_size(spark, lake, monkeypatch):
+    from millrace.plans import pieces
+
+    source, table = lake.table("silver", "s"), lake.table("gold", "t")
+    assert pieces.pieces_for(table, source) == pieces.LEAST_PIECES
+    source.overwrite(spark.range(1000))
+    monkeypatch.setattr(pieces, "PIECE_BYTES", max(1, source.bytes() // 20))
+    assert 20 <= pieces.pieces_for(table, source) <= 22
+    assert pieces.pieces_for(table, source, 3) == 3
+    from millrace.plans.gold import upsert_gold
+
+    upsert_gold(lake, "t", spark.range(100).selectExpr("string(id) id"), ["id"], 6)
+    assert pieces.pieces_for(table, source) == 6
+    upsert_gold(lake, "t", spark.range(100).selectExpr("string(id) id"), ["id"], 4)
+    assert 20 <= pieces.pieces_for(table, source) <= 22
