@@ -125,6 +125,16 @@ def sales(key: str) -> str:
       FROM (SELECT {key}, {MEASURES_SQL} FROM fact GROUP BY {key})"""
 
 
+MONTHLY_SQL = f"""SELECT CAST(year(order_date) AS INTEGER) AS year,
+    CAST(month(order_date) AS INTEGER) AS month,
+    CAST(sum(order_count) AS BIGINT) AS order_count,
+    CAST(sum(units_sold) AS BIGINT) AS units_sold,
+    {', '.join(money(m) + ' AS ' + m for m in (
+        'gross_sales_amount', 'discount_amount', 'net_sales_amount', 'refund_amount',
+        'net_revenue'))}
+  FROM ({revenue('order_date')}) GROUP BY ALL"""
+
+
 def reasons(frame: str, columns: str, *tests: tuple[str, str]) -> str:
     """Rows with the ``; ``-joined texts of the conditions that hold."""
     cases = ", ".join(f"CASE WHEN {condition} THEN '{text}' END" for condition, text in tests)
@@ -383,16 +393,7 @@ def oracles() -> dict[str, str]:
                 FROM ds_returns GROUP BY {keys}"""
         )
     out["daily_sales"] = D(revenue("order_date"))
-    out["monthly_sales"] = D(
-        f"""SELECT CAST(year(order_date) AS INTEGER) AS year,
-              CAST(month(order_date) AS INTEGER) AS month,
-              CAST(sum(order_count) AS BIGINT) AS order_count,
-              CAST(sum(units_sold) AS BIGINT) AS units_sold,
-              {', '.join(money(m) + ' AS ' + m for m in (
-                  'gross_sales_amount', 'discount_amount', 'net_sales_amount', 'refund_amount',
-                  'net_revenue'))}
-            FROM ({revenue('order_date')}) GROUP BY ALL"""
-    )
+    out["monthly_sales"] = D(MONTHLY_SQL)
     out["customer_revenue"] = D(revenue("customer_id"))
     out["product_revenue"] = D(revenue("product_id", "order_id, product_id"))
     out["promotion_products"] = D(
@@ -626,14 +627,30 @@ def oracles() -> dict[str, str]:
         ("product_revenue_summary", f"({revenue('product_id', 'order_id, product_id')})", "net_revenue"),
         ("promotion_product_summary", "ds_promotions", "discount_percent"),
     )
-    out["gold_build"] = D(
-        " UNION ALL ".join(
-            f"""SELECT '{name}' AS table_name, count(*) AS row_count,
-                round(CAST(sum({amount}) AS DOUBLE), 0) AS amount FROM {source}"""
-            for name, source, amount in gold
-        ),
-        SCD2_SQL,
+    measures = (
+        "order_count", "units_sold", "gross_sales_amount", "discount_amount", "net_sales_amount",
+        "refund_amount", "net_revenue",
     )
+    no_measures = ", ".join(f"NULL AS {m}" for m in measures)
+    whole = [
+        f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+            round(CAST(sum({amount}) AS DOUBLE), 0) AS amount, NULL AS key, {no_measures} FROM {source}"""
+        for name, source, amount in gold
+    ]
+    every_row = [
+        f"""SELECT '{name}', NULL, NULL, CAST({key} AS VARCHAR), {', '.join(
+            'NULL' if 'sales_summary' in name and m in measures[5:] and key in ('customer_id', 'product_id') else m
+            for m in measures)} FROM ({sql})"""
+        for name, key, sql in (
+            ("customer_sales_summary", "customer_id", sales("customer_id")),
+            ("product_sales_summary", "product_id", sales("product_id")),
+            ("daily_sales_summary", "order_date", revenue("order_date")),
+            ("monthly_sales_summary", "year || '-' || month", MONTHLY_SQL),
+            ("customer_revenue_summary", "customer_id", revenue("customer_id")),
+            ("product_revenue_summary", "product_id", revenue("product_id", "order_id, product_id")),
+        )
+    ]
+    out["gold_build"] = D(" UNION ALL ".join(whole + every_row), SCD2_SQL)
 
     out["run_log"] = """
       SELECT 'test' AS environment, 'gold' AS task_key, 'dim_product' AS cell_name,

@@ -676,10 +676,21 @@ GOLD_AMOUNTS = {
     "promotion_product_summary": "discount_percent",
 }
 
+#: What a row of a summary is known by.
+GOLD_SUMMARIES = {
+    "customer_sales_summary": "customer_id",
+    "product_sales_summary": "product_id",
+    "daily_sales_summary": "order_date",
+    "monthly_sales_summary": "concat(year, '-', month)",
+    "customer_revenue_summary": "customer_id",
+    "product_revenue_summary": "product_id",
+}
+
 
 @query
 def gold_build(spark, sf):
-    """Gold of day one, then of day two over silver that has changed: rows and sums.
+    """Gold of day one, then of day two over silver that has changed: each table's rows and one
+    sum, and every row and measure of the sales summaries.
 
     On day one the later deliveries are missing, orders have other quantities, refunds are
     not known, customers are those of the first day of their history.
@@ -715,6 +726,12 @@ def gold_build(spark, sf):
         )
         rows = rows.select(F.lit(name).alias("table_name"), "row_count", "amount")
         found = rows if found is None else found.unionByName(rows)
+    for name, key in GOLD_SUMMARIES.items():
+        rows = to_cents(lake.table("gold", name).read())
+        measures = [c for c in summaries.ADDED + ("net_revenue",) if c in rows.columns]
+        key = F.expr(key).cast("string").alias("key")
+        rows = rows.select(F.lit(name).alias("table_name"), key, *measures)
+        found = found.unionByName(rows, allowMissingColumns=True)
     return found
 
 
