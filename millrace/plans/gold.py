@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
@@ -145,7 +145,8 @@ def sum_sales(lake: Lake, pieces: int) -> None:
     facts = [lake.table("gold", name) for name in ("fact_orders", "fact_returns")]
     seen = [max(f.written().values()) for f in facts]
     partials = {key: lake.table("gold_partials", key) for key in ("order_date", "customer_id", "product_id")}
-    stale = {key: stale_pieces(table, facts) for key, table in partials.items()}
+    found = together(*[partial(stale_pieces, table, facts) for table in partials.values()])
+    stale = dict(zip(partials, found))
     anew = sorted(set().union(*stale.values()))
 
     def cut(df: DataFrame) -> DataFrame:
