@@ -83,3 +83,66 @@ def test_silent_elements_end_at_their_own_end_tag():
         assert main_text(lead + article) == LONG.strip(), lead
     assert main_text(article + "<script>if (a < b) '<p>No'") == LONG.strip()
     assert main_text(article.replace("</p>", "</p><script>i<n;</script><p>End.</p>")).endswith("\nEnd.")
+
+
+def test_doubtful_names_inside_an_article_are_judged_by_their_blocks():
+    page = f"""<article><header class="entry-header"><h1>Title</h1></header><p>{LONG}</p>
+      <section class="discussion"><h2>Discussion</h2><p>Short.</p></section><div class="related-work"><p>{LONG}</p></div>
+      <h2 class="section-header">Sub</h2><div class="related"><h3>Related</h3><ul><li><a href="/">No</a><li><a>No</a></ul></div>
+      <div class="tags"><span>No</span></div><div class="review"><div class="legal">No</div><p>{LONG}</p></div></article>"""
+    text = LONG.strip()
+    assert main_text(page).split("\n") == ["Title", text, "Discussion", "Short.", text, "Sub", text]
+
+
+def test_comments_marked_as_articles_are_dropped():
+    text, comment = LONG.strip(), f"<p>No {LONG}</p>"
+    for after in (
+        f"<div id='comments'><article>{comment}</article></div>",
+        f"<section class='comments'><article class='c1'><article>{comment}</article></article></section>",
+        f"<article class='comment-body'>{comment}</article>",
+        f"<article class='comment'>{comment}<article class='reply'>{comment}</article></article>",
+        f"<footer><article>{comment}</article></footer>",
+    ):
+        assert main_text(f"<article><p>{LONG}</p></article>" + after) == text, after
+        assert main_text(f"<article><p>{LONG}</p>{after}</article>") == text, after
+        assert main_text(f"<div><p>{LONG}</p></div>" + after) == text, after
+    assert main_text(f"<article class='post has-comments'><p>{LONG}</p></article>") == text
+
+
+def test_short_first_and_last_containers_without_an_article():
+    text, menu = LONG.strip(), "<div><ul><li><a href='/1'>one</a></li><li><a href='/2'>two</a></li></ul></div>"
+    page = f"{menu}<div><h1>Title</h1></div><div>By someone</div><div><p>{LONG}</p></div><div>The end.</div>{menu}<div>No.</div>"
+    assert main_text(page).split("\n") == ["Title", "By someone", text, "The end."]
+    assert main_text(f"<div>Site name</div><div><p>{LONG}</p></div><div>Copyright 2020. All rights reserved.</div>") == text
+    between = f"<div><p>{LONG}</p><p><a href='/x'>A paragraph that is one link</a></p><p>{LONG}</p></div>{menu}"
+    assert main_text(between).split("\n") == [text, "A paragraph that is one link", text]
+
+
+def test_generated_pages_without_an_article_are_told_apart():
+    """Every mix of menus, sidebars and comments around a body; the body's blocks are known."""
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    menu = "<div class=top><ul>" + "".join(f"<li><a href='/{i}'>Topic number {i}</a>" for i in range(8)) + "</ul></div>"
+    side = f"<div class='sidebar'><p>No {LONG}</p></div>"
+    notes = f"<section id=comments><article><p>No {LONG}</p></article></section>"
+    for before, after in itertools.product(("", menu, side, menu + side), ("", menu, notes, side + notes, notes + menu)):
+        body = [" ".join(rng.choice(LONG.split()) for _ in range(rng.randrange(20, 60))) + "." for _ in range(rng.randrange(1, 6))]
+        page = f"<body>{before}<div><h1>The head</h1></div><div>{''.join(f'<p>{b}</p>' for b in body)}</div>{after}</body>"
+        assert main_text(page).split("\n") == ["The head", *body], (before, after)
+
+
+def test_deeply_nested_pages_take_linear_time():
+    import time
+
+    start = time.process_time()
+    deep = 60_000
+    for page in (
+        "<div>" * deep + f"<p>{LONG}" + "</div>" * deep,
+        "<section><div>" * deep + f"<p>{LONG}" + "</article>" * deep,
+        "<nav><article>" * deep + f"<p>{LONG}",
+        "<article><div class=related>" * deep + f"<p>{LONG}",
+    ):
+        assert main_text(page) == LONG.strip()
+    assert time.process_time() - start < 60
