@@ -1,4 +1,4 @@
-"""Removal of byte strings that occur twice or more, by blockwise suffix sorting over a cover sample."""
+"""Removal of byte strings that occur twice or more: winnowed anchors meet by hash, texts around them are compared."""
 
 from __future__ import annotations
 
@@ -24,6 +24,8 @@ HOT = 4096
 FEW = 12
 #: Contexts of hot blocks taken together, and windows in one bucket of theirs.
 SLICE, BUCKET = 1000, 2_000_000
+#: Window records settled together; a context of very many places is settled in parts.
+MOST_RECORDS = 1_000_000
 #: Rows per Arrow batch out.
 ROWS_OUT = 20_000
 
@@ -226,7 +228,7 @@ def _ranges(firsts: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts one block of suffixes at a time: the rows of one hash, which come one after another."""
+    """Compares one block at a time: the rows of one hash, which come one after another."""
     held: list[tuple] = []
     out: list[tuple[int, bytes]] = []
 
@@ -262,33 +264,42 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _window_records(buckets: int):
     kind = [("h", "<u8"), ("g", "<u8"), ("key", "<i8"), ("start", "<i8")]
 
+    def settle(parts: list[np.ndarray]) -> pa.RecordBatch:
+        records = np.concatenate(parts)
+        twice = _repeated(records[["h", "g"]])
+        rows = [(-1, r) for r in _by_key(records[twice])]
+        # Of those settled here one goes on, without a place, to meet its equals elsewhere.
+        _, one = np.unique(records[twice][["h", "g"]], return_index=True)
+        seen = records[twice][one]
+        seen["key"] = seen["start"] = -1
+        onward = np.concatenate([records[~twice], seen])
+        bucket = onward["h"] % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows += [(b, onward[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([b for b, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.binary())], ["bucket", "records"]
+        )
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                parts = []
+                parts, held = [], 0
                 for context, key, firsts in zip(*(batch.column(c).to_pylist() for c in ("context", "key", "firsts"))):
                     pairs = _window_pairs(context)
+                    # A very long text may hold one context at any number of places.
                     for first in np.frombuffer(firsts, "<i4"):
                         part = np.empty(len(pairs), kind)
                         part["h"], part["g"], part["key"] = pairs["h"], pairs["g"], key
                         part["start"] = first + np.arange(len(pairs))
                         parts.append(part)
-                records = np.concatenate(parts)
-                twice = _repeated(records[["h", "g"]])
-                rows = [(-1, r) for r in _by_key(records[twice])]
-                # Of those settled here one goes on, without a place, to meet its equals elsewhere.
-                _, one = np.unique(records[twice][["h", "g"]], return_index=True)
-                seen = records[twice][one]
-                seen["key"] = seen["start"] = -1
-                onward = np.concatenate([records[~twice], seen])
-                bucket = onward["h"] % np.uint64(buckets)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                rows += [(b, onward[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.binary())], ["bucket", "records"]
-                )
+                        held += len(part)
+                        if held >= MOST_RECORDS:
+                            yield settle(parts)
+                            parts, held = [], 0
+                if parts:
+                    yield settle(parts)
 
     return emit
 
@@ -386,16 +397,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Every byte is removed that lies in a string of LENGTH bytes which starts anywhere else too,
     in the same text or another, overlaps included; ``kept`` is what remains.
 
-    A cover sample of each text's suffixes is ranked by hash first; only samples whose rank
-    occurs twice or more go on. Suffixes with such a sample form a block, whatever their text,
-    with the bytes around it as context. One block at a time is sorted: equal contexts are one,
-    others are compared to both sides of the sample, whose shared rank settles the bytes
-    between. Blocks with more than HOT occurrences are dealt out as hashed windows: a slice
+    Of each text's positions a sample is taken by content, and the strings there are counted by
+    hash; only samples whose hash occurs twice or more go on. Positions with such a sample form a
+    block, whatever their text, with the bytes around it as context. No suffixes are sorted: equal
+    contexts are one, others are compared to both sides of the sample, whose shared hash settles
+    the bytes between. Blocks with more than HOT occurrences are dealt out as hashed windows: a slice
     settles its own repeats and sends on each different window once, so that no string,
     however frequent, meets in one task in all its copies.
 
     Null and empty texts and those shorter than LENGTH lose nothing; rows that repeat are
-    repeats of each other; a null doc_id stays null; other columns are ignored.
+    repeats of each other; a null doc_id stays null; other columns are ignored; an empty table
+    gives an empty one.
     """
     rows = keyed(docs, "suffix-rows")
     texts = rows.select("key", "text")

@@ -91,3 +91,41 @@ def test_edges(docs_of, words):
         [(1, 0, 0), (2, 0, 0), (3, len(long), len(long)), (3, len(long), len(long)), (0, len(rows[4][1]), 0)]
     )
     assert suffix_dedup.remove_repeats(docs_of([])).collect() == []
+
+
+def test_a_context_of_many_places_is_settled_in_parts(monkeypatch):
+    """Whatever the parts, the same places are found, and no part holds more than its bound and one context's windows."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from millrace.llm import suffix_dedup as S
+
+    rng = random.Random(5)
+    text = bytes(rng.randrange(97, 123) for _ in range(S.LENGTH + 60))
+    columns = {
+        "context": pa.array([text, text[7:] + b"zz", bytes(reversed(text))], pa.binary()),
+        "key": pa.array([1, 2, 3], pa.int64()),
+        "firsts": pa.array([np.arange(0, 500_000, 1000, "<i4").tobytes(), np.array([5], "<i4").tobytes(), np.array([0], "<i4").tobytes()]),
+    }
+    batch = pa.RecordBatch.from_pydict(columns)
+
+    def found(most):
+        monkeypatch.setattr(S, "MOST_RECORDS", most)
+        places, onward = set(), {}
+        for out in S._window_records(3)(iter([batch])):
+            for bucket, records in zip(*(c.to_pylist() for c in out.columns)):
+                if bucket < 0:
+                    places |= {tuple(p) for p in np.frombuffer(records, "<i8").reshape(-1, 2)}
+                else:
+                    for r in np.frombuffer(records, S._RECORD):
+                        onward.setdefault((r["h"], r["g"]), []).append((r["key"], r["start"]))
+        # What meets again later counts as found there.
+        for met in onward.values():
+            if len(met) > 1:
+                places |= {p for p in met if p != (-1, -1)}
+        return {(int(k), int(s)) for k, s in places}
+
+    whole = found(10**9)
+    assert len(whole) > 20_000 and whole == found(5_000) == found(1)
