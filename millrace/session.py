@@ -11,6 +11,12 @@ from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 50_000
+#: Bits of the Bloom filter that a join's smaller side may put before the larger one's shuffle,
+#: and keys it is made for. It is broadcast, so its 8 MB are the bound.
+FILTER_BITS = 1 << 26
+FILTER_KEYS = 8_000_000
+#: A side estimated to be larger (some 30 bytes a key) would fill the filter: it makes none.
+FILTERED_BY_BYTES = 30 * FILTER_KEYS
 
 
 def size_for(spark: SparkSession, input_bytes: int) -> None:
@@ -19,6 +25,7 @@ def size_for(spark: SparkSession, input_bytes: int) -> None:
     Adaptive execution merges shuffle partitions but never adds any, so their number has
     to start from the data: Spark's 200 would be half a terabyte each for 100 TB. Beyond
     ``MOST_PARTITIONS`` the blocks of a shuffle cost more than larger partitions that spill.
+    Spark's own Bloom filters before joins are made for sides beyond its broadcast limit, too.
     """
     wanted = -(-input_bytes // PARTITION_BYTES)
     cores = spark.sparkContext.defaultParallelism
@@ -27,6 +34,12 @@ def size_for(spark: SparkSession, input_bytes: int) -> None:
         "spark.sql.files.maxPartitionBytes": PARTITION_BYTES,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARTITION_BYTES,
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": FILTERED_BY_BYTES,
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": FILTER_KEYS,
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": FILTER_KEYS,
+        "spark.sql.optimizer.runtime.bloomFilter.numBits": FILTER_BITS,
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": FILTER_BITS,
     }
     for name, value in settings.items():
         spark.conf.set(name, str(value))

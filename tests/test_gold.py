@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import star, summaries
 from millrace.plans.gold import build_gold
+from millrace.session import size_for
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
 ORDERS_DDL = (
@@ -340,3 +341,51 @@ def test_number_of_pieces_follows_the_size(spark, lake, monkeypatch):
     assert pieces.pieces_for(table, source) == 6
     upsert_gold(lake, "t", spark.range(100).selectExpr("string(id) id"), ["id"], 4)
     assert 20 <= pieces.pieces_for(table, source) <= 22
+
+
+def _shuffled_rows(node):
+    """Rows written by each shuffle of a plan that has run."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _shuffled_rows(node.executedPlan())
+    if name.endswith("QueryStage"):
+        return _shuffled_rows(node.plan())
+    own = [node.metrics().apply("shuffleRecordsWritten").value()] if name == "Exchange" else []
+    below = node.children()
+    return own + [n for i in range(below.size()) for n in _shuffled_rows(below.apply(i))]
+
+
+def test_only_returned_orders_are_shuffled_to_meet_their_returns(spark, tmp_path, rows):
+    """40,000 orders, 400 returns, some of unknown orders, of nothing or without an amount."""
+    spark.range(40000).selectExpr(
+        "CAST(id AS STRING) order_id", "DATE '2024-01-01' order_date", "CAST(id % 9 AS STRING) customer_id",
+        "CAST(id % 7 AS STRING) product_id", "1 quantity", "2D gross_amount", "0D discount_amount", "2D net_sales_amount",
+    ).write.parquet(str(tmp_path / "orders"))
+    spark.range(400).selectExpr(
+        "CAST(id * 110 AS STRING) order_id", "CAST(id * 110 % 7 AS STRING) product_id", "1 return_quantity",
+        "CASE WHEN id % 10 = 1 THEN 0D WHEN id % 10 > 1 THEN 0.5D END refund_amount",
+    ).write.parquet(str(tmp_path / "returns"))
+    cluster = spark.newSession()
+    size_for(cluster, 100 * 2**40)
+    cluster.conf.set("spark.sql.shuffle.partitions", "4")
+    cluster.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cluster.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+
+    def refunds(session):
+        orders, returns = (session.read.parquet(str(tmp_path / t)) for t in ("orders", "returns"))
+        return summaries.refunds_on_orders(orders, returns), summaries.product_revenue(orders, returns, True)
+
+    joined, revenue = refunds(cluster)
+    plain, plain_revenue = refunds(spark)
+    assert len(rows(joined)) == 290 and rows(joined) == rows(plain)
+    assert rows(revenue) == rows(plain_revenue)
+    assert sum(r["refund_amount"] for r in revenue.collect()) == 145.0
+    assert "might_contain" in joined._jdf.queryExecution().optimizedPlan().toString()
+    of_orders = max(_shuffled_rows(joined._jdf.queryExecution().executedPlan()))
+    assert of_orders < 1000
+
+    # A side too large for the filter's bits makes none.
+    cluster.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1")
+    unfiltered, _ = refunds(cluster)
+    assert rows(unfiltered) == rows(plain)
+    assert max(_shuffled_rows(unfiltered._jdf.queryExecution().executedPlan())) == 40000
