@@ -3,8 +3,8 @@
 Texts are cut into shards of some two and a half million words where they are read. Each shard is one
 FM-index (``fm_index``) and is stored; its phrases are enumerated by extending BWT intervals to
 the left and to the right. Counts are summed across shards one length at a time where that
-prunes: words, then pairs of frequent words, then all longer phrases of frequent pairs. What
-is frequent comes back to a shard by a join on the shard, so nothing is broadcast.
+prunes: words, then pairs of frequent words, then triples of frequent pairs, then all longer
+phrases of frequent triples. What is frequent comes back to a shard by a join on the shard, so nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -143,6 +143,11 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.
         yield indexed(number, of_lang, None)
 
 
+def among(ascending: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in an ascending array that is not empty."""
+    return ascending[np.minimum(np.searchsorted(ascending, keys), len(ascending) - 1)] == keys
+
+
 class Shard:
     """Row ``i`` of a batch of stored shards: its index, with the frequent words' numbers."""
 
@@ -157,7 +162,8 @@ class Shard:
         self.width = int(self.index.left.bwt.max(initial=0)) + 1
         self.id_of = np.full(self.width, -1, np.int64)
         self.id_of[self.symbols] = self.ids
-        self.alive = self.listed(row, "alive", ("a", "b")) if "alive" in batch.schema.names else None
+        alive = batch.schema.field("alive").type.value_type if "alive" in batch.schema.names else ()
+        self.alive = self.listed(row, "alive", tuple(f.name for f in alive)) if alive else None
 
     @staticmethod
     def listed(row: pa.RecordBatch, column: str, fields: tuple[str, str]) -> list[np.ndarray]:
@@ -172,40 +178,74 @@ class Shard:
         words = self.index.words()
         return words.where(self.id_of[words.symbols[:, 0]] >= 0)
 
-    def pairs(self) -> Iterator[Phrases]:
-        """Pairs of frequent words, some at a time."""
-        for words in self.frequent_words().blocks():
-            found = self.index.extended(words, to_the_left=True)
+    def pairs(self, among: np.ndarray | None = None) -> Iterator[Phrases]:
+        """Pairs of frequent words, some at a time; ``among``: only those that end with one of these symbols."""
+        words = self.frequent_words()
+        if among is not None:
+            words = words.where(np.isin(words.symbols[:, 0], among))
+        for some in words.blocks():
+            found = self.index.extended(some, to_the_left=True)
             yield found.where(self.id_of[found.symbols[:, 0]] >= 0)
 
-    def longer(self) -> Iterator[Phrases]:
-        """Phrases of three and more words, all pairs in them frequent, one length after another."""
+    def alive_symbols(self) -> list[np.ndarray]:
+        """Of the phrases alive, each place's symbols."""
         order = np.argsort(self.ids)
-        a, b = (self.symbols[order[np.searchsorted(self.ids, ids, sorter=order)]] for ids in self.alive)
+        return [self.symbols[order[np.searchsorted(self.ids, ids, sorter=order)]] for ids in self.alive]
+
+    def triples(self) -> Iterator[Phrases]:
+        """Phrases of three words, both pairs in them alive."""
+        a, b = self.alive_symbols()
         alive = np.sort(a * self.width + b)
+        for found in self.pairs():
+            for at in (0, 1):
+                if at == 1:
+                    found = self.index.extended(found, to_the_left=False)
+                found = found.where(among(alive, found.symbols[:, at] * self.width + found.symbols[:, at + 1]))
+            yield found
+
+    def longer(self) -> Iterator[Phrases]:
+        """Phrases of more than three words, all triples in them alive, one length after another."""
+        a, b, c = self.alive_symbols()
+        firsts = np.unique(a * self.width + b)
+        alive = np.sort(np.searchsorted(firsts, a * self.width + b) * self.width + c)
 
         def is_alive(phrases: Phrases, at: int) -> np.ndarray:
-            keys = phrases.symbols[:, at] * self.width + phrases.symbols[:, at + 1]
-            near = np.minimum(np.searchsorted(alive, keys), len(alive) - 1)
-            return alive[near] == keys
+            a, b, c = phrases.symbols[:, at : at + 3].T
+            pair = a * self.width + b
+            return among(firsts, pair) & among(alive, np.searchsorted(firsts, pair) * self.width + c)
 
-        for found in self.pairs():
-            phrases = found.where(is_alive(found, 0))
+        for found in self.pairs(np.unique(b)):
+            phrases = found.where(among(firsts, found.symbols[:, 0] * self.width + found.symbols[:, 1]))
             for length in range(3, LONGEST + 1):
                 to_the_left = length % 2 == 0
                 phrases = self.index.extended(phrases, to_the_left)
-                phrases = phrases.where(is_alive(phrases, 0 if to_the_left else length - 2))
-                yield phrases
+                phrases = phrases.where(is_alive(phrases, 0 if to_the_left else length - 3))
+                if length > 3:
+                    yield phrases
+
+
+def _counted(shard: Shard, phrases: Iterator[Phrases], names: str) -> Iterator[pa.RecordBatch]:
+    """Rows of the shard, a column of ids for each of ``names``, and the count."""
+    for found in phrases:
+        ids, n = shard.id_of[found.symbols], shard.counts(found)
+        arrays = [np.full(len(n), shard.number), *map(np.ascontiguousarray, ids.T), n]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", *names, "n"])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             shard = Shard(batch, i)
-            for found in shard.pairs():
-                ids, n = shard.id_of[found.symbols], shard.counts(found)
-                arrays = [np.full(len(n), shard.number), np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]), n]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["shard", "a", "b", "n"])
+            yield from _counted(shard, shard.pairs(), "ab")
+            del shard
+            pa.default_memory_pool().release_unused()
+
+
+def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            shard = Shard(batch, i)
+            yield from _counted(shard, shard.triples(), "abc")
             del shard
             pa.default_memory_pool().release_unused()
 
@@ -239,20 +279,37 @@ def frequent_words(found: DataFrame, least: int) -> DataFrame:
     return stored(total.where(F.col("f") >= least), "phrases-local-words")
 
 
+def everywhere(local: DataFrame, names: list[str], least: int, purpose: str) -> DataFrame:
+    """(shard, *names, f) of phrases with ``least`` occurrences in all shards, stored.
+
+    As with words: a phrase comes once for each shard that has it, and its total goes back to each.
+    """
+    total = F.sum("n").over(Window.partitionBy(*names)).alias("f")
+    return stored(local.select("shard", *names, total).where(F.col("f") >= least), purpose)
+
+
+def with_alive(indexes: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Indexes of the shards that have any of the phrases, each with its own of them."""
+    names = [c for c in phrases.columns if c not in ("shard", "f")]
+    return indexes.join(phrases.groupBy("shard").agg(F.collect_list(F.struct(*names)).alias("alive")), "shard")
+
+
 def frequent_phrases(found: DataFrame, local: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """(ids, f) of all phrases of 1 to LONGEST words with ``least`` occurrences, stored."""
     known = stored(local.groupBy("shard").agg(F.collect_list(F.struct("symbol", "id")).alias("known")), "phrases-known")
     indexes = found.drop("words").join(known, "shard")
     pairs = in_batches(indexes.drop("rightward"), _pairs, "shard long, a long, b long, n long")
-    # As with words: a pair comes once for each shard, and its total goes back to each.
-    total = F.sum("n").over(Window.partitionBy("a", "b"))
-    pairs = stored(pairs.select("shard", "a", "b", total.alias("f")).where(F.col("f") >= least), "phrases-pairs")
-    alive = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("alive"))
-    longer = in_batches(indexes.join(alive, "shard"), _longer, "ids array<long>, n long")
+    pairs = everywhere(pairs, ["a", "b"], least, "phrases-pairs")
+    triples = in_batches(with_alive(indexes, pairs), _triples, "shard long, a long, b long, c long, n long")
+    triples = everywhere(triples, ["a", "b", "c"], least, "phrases-triples")
+    longer = in_batches(with_alive(indexes, triples), _longer, "ids array<long>, n long")
     longer = longer.groupBy("ids").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     single = words.select(F.array("id").alias("ids"), "f")
-    two = pairs.groupBy("a", "b").agg(F.first("f").alias("f")).select(F.array("a", "b").alias("ids"), "f")
-    return stored(single.unionByName(two).unionByName(longer), "phrases-frequent")
+    two, three = (
+        found.groupBy(*names).agg(F.first("f").alias("f")).select(F.array(*names).alias("ids"), "f")
+        for found, names in ((pairs, "ab"), (triples, "abc"))
+    )
+    return stored(single.unionByName(two).unionByName(three).unionByName(longer), "phrases-frequent")
 
 
 def scored(phrases: DataFrame, words: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
