@@ -76,7 +76,7 @@ def silver_job(spark: SparkSession, env: Environment, name: str, **ids) -> None:
     with _step(env, lake, "silver", name, ids) as report:
         _fit(spark, silver.bronze, silver.table)
         report["rows_processed"] = run_silver(silver)
-        for work in (silver.work("assessed"), silver.work("pending")):
+        for work in (silver.work("batches"), silver.work("pending")):
             if work.exists():
                 work.retire()
 

@@ -18,10 +18,10 @@ from millrace.operators.merge import (
     upsert_by_key,
     upsert_latest,
 )
-from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics
+from millrace.operators.quality import assess, dq_metrics, split
 from millrace.plans.pieces import names, piece_of
 from millrace.plans.together import together
-from millrace.sources.lake import Lake, Table, gathered
+from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 
 @dataclass(frozen=True)
@@ -105,20 +105,24 @@ def quarantine_rows(silver: Silver, invalid: DataFrame, batches: DataFrame) -> N
 
 
 def upsert_silver(silver: Silver, valid: DataFrame) -> None:
-    """Bring valid rows into silver; what is newer there already stays."""
+    """Bring valid rows into silver; what is newer there already stays.
+
+    The latest row of a key is chosen once, among stored and incoming rows together.
+    """
     table = silver.table
-    incoming = transform(valid, silver.dataset, silver.environment)
     if not table.exists():
-        table.overwrite(gathered(incoming, silver.piece()))
+        first = transform(valid, silver.dataset, silver.environment)
+        table.overwrite(cut_into(first, silver.piece(), silver.buckets))
         return
+    incoming = stamp_silver(standardize_columns(valid), silver.environment)
     if not cut_alike(silver, table):
         merged = upsert_latest(table.read(), incoming, silver.dataset.key)
-        table.overwrite(gathered(merged, silver.piece()))
+        table.overwrite(cut_into(merged, silver.piece(), silver.buckets))
         return
-    touched = names(standardize_columns(valid).select(*silver.dataset.key), silver.piece())
+    touched = names(incoming.select(*silver.dataset.key), silver.piece())
     if touched:
         merged = upsert_latest(table.read(touched), incoming, silver.dataset.key)
-        table.replace_slices(gathered(merged, silver.piece()), touched)
+        table.replace_slices(cut_into(merged, silver.piece(), silver.buckets), touched)
 
 
 def record_metrics(silver: Silver, metrics: DataFrame) -> None:
@@ -139,11 +143,12 @@ def mark_processed(silver: Silver, batches: DataFrame) -> None:
 
 
 def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all, valid, invalid): judged in one pass and stored, from which every sink is fed."""
+    """(all, valid, invalid): judged where bronze is read, whose versions no later write changes.
+
+    Every sink reads the columns it needs; a stored copy would cost a shuffle and a write.
+    """
     judged = assess(rows, silver.dataset.required, silver.dataset.rules)
-    table = silver.work("assessed")
-    table.overwrite(gathered(judged, F.col("_quality_status")))
-    return table.read(), table.read([VALID]), table.read([QUARANTINE])
+    return judged, *split(judged)
 
 
 def store_pending(silver: Silver, bronze: DataFrame) -> None:
@@ -209,7 +214,7 @@ def run_snapshot(silver: Silver, delete_missing: bool = False) -> int:
     def store_valid() -> None:
         if delete_missing:
             current = transform(valid, dataset, silver.environment)
-            silver.table.overwrite(gathered(current, silver.piece()))
+            silver.table.overwrite(cut_into(current, silver.piece(), silver.buckets))
         else:
             upsert_silver(silver, latest_snapshot(valid, dataset.key))
 

@@ -49,7 +49,7 @@ from millrace.plans.snapshot import ingest_snapshot
 from millrace.plans.together import together
 from millrace.session import scratch_dir
 from millrace.sources import supplied as src
-from millrace.sources.lake import Lake
+from millrace.sources.lake import CODEC, Lake
 from millrace.streaming.bronze import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +76,7 @@ def new_lake(spark: SparkSession, purpose: str) -> Lake:
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared folder once, for a query that uses it several times."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

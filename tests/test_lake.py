@@ -84,3 +84,16 @@ def test_shuffles_start_from_the_data(spark, lake):
     for size, partitions in ((t.bytes(), 8), (10 * 2**30, 40), (100 * 2**40, MOST_PARTITIONS)):
         size_for(other, size)
         assert other.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+
+
+def test_few_slices_are_written_as_they_come(spark, lake, rows):
+    from millrace.sources.lake import FEW_SLICES, cut_into
+
+    df = spark.range(100).selectExpr("cast(id % 3 AS string) k", "id v")
+    few, many = (cut_into(df, F.col("k"), n) for n in (FEW_SLICES, FEW_SLICES + 1))
+    plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in (few, many)]
+    assert ["RebalancePartitions" in p for p in plans] == [False, True]
+    for i, frame in enumerate((few, many)):
+        t = lake.table("gold", f"t{i}")
+        t.overwrite(frame)
+        assert t.slices() == ["0", "1", "2"] and rows(t.read(["1"]), "v") == sorted(((v,) for v in range(1, 100, 3)), key=str)

@@ -279,3 +279,37 @@ def test_reprocessing_reads_one_batch_only(spark, silver):
     run_incremental(silver)
     for table in (silver.bronze, silver.quarantine):
         assert scanned(of_batch(table, "b4")) == (1, 10)
+
+
+def test_judged_rows_are_not_stored_again(spark, silver, rows):
+    """Every sink reads bronze; a copy cut by status cost a shuffle and a write of all rows."""
+    silver.bronze.append(bronze_rows(spark, ("a", 1, 0, "b1"), ("b", -1, 0, "b1")))
+    assert run_incremental(silver) == 2
+    assert not silver.work("assessed").exists()
+    assert stored(silver, rows) == [("a", 1)] and quarantined(silver, rows) == [("b", -1, "b1")]
+
+
+def test_an_upsert_chooses_the_latest_row_once(spark, silver, rows, monkeypatch):
+    silver.bronze.append(bronze_rows(spark, ("a", 1, 0, "b1"), ("b", 1, 5, "b1")))
+    run_incremental(silver)
+    chosen, latest = [], plan.latest_per_key
+    monkeypatch.setattr(plan, "latest_per_key", lambda *a: chosen.append(a) or latest(*a))
+    silver.bronze.append(
+        bronze_rows(spark, ("a", 2, 1, "b2"), ("a", 3, 2, "b2"), ("b", 9, 4, "b2"), ("c", 5, 1, "b2"), ("c", 5, 1, "b2"))
+    )
+    run_incremental(silver)
+    assert stored(silver, rows) == [("a", 3), ("b", 1), ("c", 5)] and not chosen
+
+
+def test_lines_joined_by_order_are_not_shuffled_again(spark):
+    from millrace.sources import supplied
+
+    conf, limit = spark.conf, "spark.sql.autoBroadcastJoinThreshold"
+    before = conf.get(limit)
+    conf.set(limit, "-1")
+    try:
+        lines = supplied.latest_order_lines(spark, "/root/testdata/sf0.001")
+        text = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set(limit, before)
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2
