@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import partial, reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from millrace.operators.merge import absent_from
 from millrace.operators.scd2 import CUSTOMER_KEY, TRACKED, scd2_merge
 from millrace.plans.pieces import names, piece_of, pieces_for, row_hash
 from millrace.plans.together import together
-from millrace.sources.lake import Lake, Table, gathered
+from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 # The span of the date dimension.
 FIRST_DAY = dt.date(2020, 1, 1)
@@ -38,17 +38,19 @@ def upsert_gold(
     The table is cut by the hash of its keys, or of the columns ``by``, into slices, of which
     only those are rewritten that hold a new or changed row: stored and incoming rows meet as
     keys and row hashes. A row whose ``by`` changed leaves its old slice. Stored keys that the
-    source lost stay. An empty source creates an empty table.
+    source lost stay; stored rows are read again only of slices with such keys. An empty source
+    creates an empty table.
     """
     table, piece = lake.table("gold", name), piece_of(by or keys, pieces)
     if not table.exists():
-        table.overwrite(gathered(source, piece))
+        table.overwrite(cut_into(source, piece, pieces))
         return table.read()
     stored = table.read()
     alike = all(s.endswith(f"-of-{pieces}") for s in table.slices())
     if not alike or set(source.columns) - set(stored.columns):
         kept = absent_from(stored, source, keys)
-        table.overwrite(gathered(source.unionByName(kept, allowMissingColumns=True), piece))
+        merged = source.unionByName(kept, allowMissingColumns=True)
+        table.overwrite(cut_into(merged, piece, pieces))
         return table.read()
     row = row_hash(source.columns)
     new, old = (
@@ -56,14 +58,25 @@ def upsert_gold(
         for df, side in ((source, "new"), (stored, "old"))
     )
     same_key = reduce(and_, (F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in keys))
-    met = new.join(old, same_key, "left").where(~F.col("new.row").eqNullSafe(F.col("old.row")))
-    both = F.array_compact(F.array("new.piece", "old.piece"))
-    changed = names(met.select(F.explode(both).alias("piece")), F.col("piece"))
+    met = new.join(old, same_key, "full")
+    # A key with a NULL equals none, so a stored row of it stays as if the source had lost it.
+    nameless = reduce(or_, (F.col(f"old.{c}").isNull() for c in keys))
+    stays = F.col("old.row").isNotNull() & (F.col("new.row").isNull() | nameless)
+    differs = F.col("new.row").isNotNull() & ~F.col("new.row").eqNullSafe(F.col("old.row"))
+    moves = F.array(
+        F.struct(F.col("new.piece").alias("piece"), differs.alias("differs"), F.lit(False).alias("stays")),
+        F.struct(F.col("old.piece").alias("piece"), differs.alias("differs"), stays.alias("stays")),
+    )
+    touched = met.where(differs | stays).select(F.inline(moves)).where("piece IS NOT NULL")
+    found = touched.groupBy("piece").agg(F.max("differs").alias("differs"), F.max("stays").alias("stays")).collect()
+    changed = sorted(r["piece"] for r in found if r["differs"])
+    holding = sorted(r["piece"] for r in found if r["differs"] and r["stays"])
     if changed:
-        incoming = source.where(piece.isin(changed))
-        kept = absent_from(table.read(changed), incoming, keys)
-        merged = incoming.unionByName(kept, allowMissingColumns=True)
-        table.replace_slices(gathered(merged, piece), changed)
+        merged = incoming = source.where(piece.isin(changed))
+        if holding:
+            kept = absent_from(table.read(holding), incoming, keys)
+            merged = incoming.unionByName(kept, allowMissingColumns=True)
+        table.replace_slices(cut_into(merged, piece, pieces), changed)
     return table.read()
 
 
@@ -154,7 +167,7 @@ def sum_sales(lake: Lake, pieces: int) -> None:
 
     # The one join of orders with returns, written once and summed three ways.
     work = lake.table("work", "gold/order_refunds")
-    work.overwrite(gathered(cut(S.refunds_on_orders(*(f.read(anew) for f in facts))), F.col(PIECE)))
+    work.overwrite(cut_into(cut(S.refunds_on_orders(*(f.read(anew) for f in facts))), F.col(PIECE), pieces))
 
     def summed(key: str) -> DataFrame:
         table, changed = partials[key], stale[key]
@@ -163,7 +176,7 @@ def sum_sales(lake: Lake, pieces: int) -> None:
             refunds = S.own_product(refunds) if key == "product_id" else refunds
             sums = S.partial_revenue(orders, refunds, PIECE, key)
             sums = sums.withColumns({c: F.lit(v) for c, v in zip(SEEN, seen)})
-            sums = gathered(sums, F.col(PIECE))
+            sums = cut_into(sums, F.col(PIECE), pieces)
             if not table.exists() or cut_otherwise(table, facts):
                 table.overwrite(sums)
             else:

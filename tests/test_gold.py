@@ -389,3 +389,24 @@ def test_only_returned_orders_are_shuffled_to_meet_their_returns(spark, tmp_path
     unfiltered, _ = refunds(cluster)
     assert rows(unfiltered) == rows(plain)
     assert max(_shuffled_rows(unfiltered._jdf.queryExecution().executedPlan())) == 40000
+
+
+def test_stored_rows_are_read_again_only_of_slices_that_keep_some(spark, lake, rows, monkeypatch):
+    import millrace.plans.gold as plan
+
+    read, absent = [], plan.absent_from
+    monkeypatch.setattr(plan, "absent_from", lambda kept, *a: read.append(kept.count()) or absent(kept, *a))
+
+    def upsert(*pairs):
+        found = plan.upsert_gold(lake, "t", spark.createDataFrame(list(pairs), "k string, v int"), ["k"], 4)
+        return rows(found.select("k", "v"))
+
+    all_of = [(f"k{i}", 0) for i in range(40)]
+    assert upsert(*all_of) == sorted(all_of)
+    changed = [(k, 1) for k, _ in all_of]
+    assert upsert(*changed) == sorted(changed) and read == []
+    assert upsert(*[(k, 2) for k, _ in all_of[1:]]) == sorted([("k0", 1)] + [(k, 2) for k, _ in all_of[1:]])
+    assert len(read) == 1 and read[0] < 40
+    # a key with a NULL equals none: what is stored stays, what comes in is added
+    assert len(upsert(*[(k, 2) for k, _ in all_of[1:]], (None, 1))) == 41
+    assert sum(k is None for k, _ in upsert(*[(k, 3) for k, _ in all_of], (None, 1))) == 2
