@@ -18,7 +18,7 @@ from millrace.operators.merge import (
     upsert_by_key,
     upsert_latest,
 )
-from millrace.operators.quality import assess, dq_metrics, split
+from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics
 from millrace.plans.pieces import names, piece_of
 from millrace.plans.together import together
 from millrace.sources.lake import Lake, Table, cut_into, gathered
@@ -143,12 +143,14 @@ def mark_processed(silver: Silver, batches: DataFrame) -> None:
 
 
 def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all, valid, invalid): judged where bronze is read, whose versions no later write changes.
+    """(all, valid, invalid): judged in one pass and stored, from which every sink is fed.
 
-    Every sink reads the columns it needs; a stored copy would cost a shuffle and a write.
+    Bronze may be many small files, which are read once. Two slices take no shuffle.
     """
     judged = assess(rows, silver.dataset.required, silver.dataset.rules)
-    return judged, *split(judged)
+    table = silver.work("assessed")
+    table.overwrite(cut_into(judged, F.col("_quality_status"), 2))
+    return table.read(), table.read([VALID]), table.read([QUARANTINE])
 
 
 def store_pending(silver: Silver, bronze: DataFrame) -> None:

@@ -281,11 +281,18 @@ def test_reprocessing_reads_one_batch_only(spark, silver):
         assert scanned(of_batch(table, "b4")) == (1, 10)
 
 
-def test_judged_rows_are_not_stored_again(spark, silver, rows):
-    """Every sink reads bronze; a copy cut by status cost a shuffle and a write of all rows."""
+def test_judged_rows_are_stored_without_a_shuffle(spark, silver, rows, monkeypatch):
+    plans, overwrite = [], Table.overwrite
+
+    def noted(table, df):
+        if table.path.endswith("/assessed"):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        overwrite(table, df)
+
+    monkeypatch.setattr(Table, "overwrite", noted)
     silver.bronze.append(bronze_rows(spark, ("a", 1, 0, "b1"), ("b", -1, 0, "b1")))
     assert run_incremental(silver) == 2
-    assert not silver.work("assessed").exists()
+    assert len(plans) == 1 and "Repartition" not in plans[0] and "Rebalance" not in plans[0]
     assert stored(silver, rows) == [("a", 1)] and quarantined(silver, rows) == [("b", -1, "b1")]
 
 
