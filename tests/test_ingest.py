@@ -106,6 +106,28 @@ def test_one_scan_for_any_number_of_layouts(spark, tmp_path, monkeypatch, files)
         assert all(r[n] == f"{n}-{k}" for n in names) and r["_unknown_columns"] == {f"extra{k}": "e"}
 
 
+def test_lines_are_cut_at_commas_unless_quoted(spark, tmp_path):
+    """Both ways agree; a line of more fields than the CSV parser takes is corrupt; layouts are planned once."""
+    products = DATASETS["products"]
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    cells = [("p1", "a\\b", " c ", "#"), ("", "", "x", ""), ("\0", "\t", "'", "é"), ("p4", "a"), ("p5", *"abcdef")]
+    for name, mark in (("a.csv", ""), ("b.csv", '"')):
+        rows = [",".join([f"{mark}{row[0]}{mark}", *row[1:]]) for row in cells]
+        (folder / name).write_text("\n".join(["product_id,brand,more,category", *rows]) + "\n")
+    (folder / "c.csv").write_text("product_id\nlong" + "," * 25_000 + "\n")
+    raw = read_drops(spark, str(folder), products)
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    of = {name: [] for name in "abc"}
+    for r in raw.collect():
+        line = r["_corrupt_record"]
+        of[r["_source_file"][-5]].append((r["product_id"], r["brand"], r["category"], r["_unknown_columns"], line and line.replace('"', "")))
+    assert of["a"] == of["b"] and ("\0", "\t", "é", {"more": "'"}, None) in of["a"]
+    assert (None, None, None, {"more": "x"}, None) in of["a"] and ("p4", "a", None, {}, "p4,a") in of["a"]
+    assert ("p5", "a", "c", {"more": "b"}, "p5,a,b,c,d,e,f") in of["a"]
+    assert [(r[0], r[4][:5]) for r in of["c"]] == [("long", "long,")]
+
+
 def test_a_large_file_read_in_parts(spark, tmp_path):
     """Only the part with the beginning has the header; rows of all parts are matched by it."""
     products = DATASETS["products"]
