@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.fm_index import DELIMITER, Bidirectional, Phrases, bwt_of
+from millrace.llm.fm_index import DELIMITER, Bidirectional, Phrases, bwt_of, shallow_order
 from millrace.llm.shared import in_batches, stored, whole_text
 
 LONGEST = 5
@@ -30,15 +30,21 @@ TOP = 2000
 SHARD_WORDS = 5 << 19
 #: Enough for the different words of a shard; beyond them 20 bits number a task's shards, 20 the task.
 SYMBOL_BITS = 23
-#: Bytes of a text that are split into words at once, and words that are turned into numbers at once.
-BLOCK = 1 << 20
-CODED = 1 << 18
+#: Bytes of a text that are split into words at once, and words of all languages that are turned into numbers at once.
+BLOCK = 1 << 18
+CODED = 1 << 17
+#: Different words of a shard that are handed over in one row.
+WORDS_A_ROW = 1 << 14
 #: Ends a piece: bytes that no UTF-8 text has.
 END = b"\xff"
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", END * 10)
 _BREAK = re.compile(rb"[\x20\x09-\x0D.,;:!?]")
 
-SHARD = "shard long, n long, leftward binary, rightward binary, outside array<int>, words array<struct<lang: string, word: string, n: long>>"
+SHARD = "shard long, n long, leftward binary, rightward binary, outside array<int>, first int, words array<struct<lang: string, word: string, n: long>>"
+ROW = pa.schema(
+    [("shard", pa.int64()), ("n", pa.int64()), ("leftward", pa.binary()), ("rightward", pa.binary()), ("outside", pa.list_(pa.int32())), ("first", pa.int32()),
+     ("words", pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])))]
+)
 
 
 def blocks(text: bytes) -> Iterator[bytes]:
@@ -70,77 +76,94 @@ class Words:
     """One language's words of a shard as numbers; END is 0."""
 
     def __init__(self, carried: list[bytes] = ()):
-        self.number, self.names = {END: 0}, [END]
-        self.codes, self.fresh = [np.zeros(0, np.int32)], list(carried)
-
-    def add(self, found: list[bytes]) -> None:
-        self.fresh += found
-        if len(self.fresh) >= CODED:
-            self.code()
+        self.coded, self.fresh = [pa.array([END], pa.binary()).dictionary_encode()], list(carried)
 
     def code(self) -> None:
-        coded = pa.array(self.fresh, pa.binary()).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        for name in names:
-            if name not in self.number:
-                self.number[name] = len(self.names)
-                self.names.append(name)
-        numbers = np.array([self.number[name] for name in names], np.int32)
-        self.codes = [np.concatenate([*self.codes, numbers[coded.indices.to_numpy()]])]
+        self.coded.append(pa.array(self.fresh, pa.binary()).dictionary_encode())
         self.fresh = []
 
-    def text(self) -> np.ndarray:
+    def text(self) -> pa.DictionaryArray:
+        """All words so far; the first entry of the dictionary is END."""
         self.code()
-        return self.codes[0]
+        one = pa.chunked_array(self.coded).unify_dictionaries().combine_chunks()
+        self.coded = [one]
+        return one.slice(1)
 
     def last(self, n: int) -> list[bytes]:
-        return [self.names[c] for c in self.text()[-n:]]
+        text = self.text()
+        return text.slice(max(0, len(text) - n)).to_pylist()
+
 
+def indexed(shard: int, of_lang: dict[str, Words], open_lang: str | None) -> Iterator[pa.RecordBatch]:
+    """A row of SHARD with the index, then rows with the words. Empties ``of_lang``.
 
-def indexed(shard: int, of_lang: dict[str, Words], open_lang: str | None) -> pa.RecordBatch:
-    """One row of SHARD. Of ``open_lang`` the last words are only context; the next shard counts them."""
-    parts, langs, names, size, outside = [np.zeros(1, np.int32)], [], [], 1, np.zeros(0, np.int64)
-    for lang, words in sorted(of_lang.items()):
-        codes = words.text()
+    Of ``open_lang`` the last words are only context; the next shard counts them.
+    """
+    parts, listed, known, size, outside = [np.zeros(1, np.int32)], [], 0, 1, range(0)
+    for lang in sorted(of_lang):
+        words = of_lang.pop(lang).text()
+        codes, names = words.indices.to_numpy().copy(), words.dictionary.slice(1)
         if lang == open_lang:
-            outside = np.arange(size + max(0, len(codes) - LONGEST + 1), size + len(codes))
-        parts += [np.where(codes > 0, codes + len(names), 0), np.zeros(1, np.int32)]
-        langs += [lang] * (len(words.names) - 1)
-        names += words.names[1:]
+            outside = range(size + max(0, len(codes) - LONGEST + 1), size + len(codes))
+        codes[codes > 0] += known
+        parts += [codes, np.zeros(1, np.int32)]
+        listed.append((lang, names))
+        known += len(names)
         size += len(codes) + 1
+        del words, codes
     text = np.concatenate(parts)
-    left, order = bwt_of(text, LONGEST)
-    context = np.flatnonzero(np.isin(order, outside)) if len(outside) else outside
-    right, _ = bwt_of(text[::-1], LONGEST)
-    counts = np.bincount(text, minlength=len(names) + 1) - np.bincount(text[outside], minlength=len(names) + 1)
-    words = pa.StructArray.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts[1:], pa.int64())], ["lang", "word", "n"]
-    )
-    return pa.RecordBatch.from_arrays(
-        [pa.array([shard], pa.int64()), pa.array([size], pa.int64()), pa.array([packed(left)], pa.binary()), pa.array([packed(right)], pa.binary()),
-         pa.ListArray.from_arrays([0, len(context)], pa.array(context, pa.int32())), pa.ListArray.from_arrays([0, len(words)], words)],
-        ["shard", "n", "leftward", "rightward", "outside", "words"],
-    )
+    del parts
+    counts = np.bincount(text, minlength=known + 1) - np.bincount(text[outside.start : outside.stop], minlength=known + 1)
+    left, order = bwt_of(text, LONGEST, shallow_order)
+    context = np.flatnonzero((order >= outside.start) & (order < outside.stop))
+    del order
+    left = packed(left)
+    right = packed(bwt_of(text[::-1], LONGEST, shallow_order)[0])
+    yield one_row(shard=shard, n=size, leftward=left, rightward=right, outside=pa.array(context, pa.int32()))
+    del left, right, text
+    at = 1
+    for lang, names in listed:
+        for start in range(0, len(names), WORDS_A_ROW):
+            some = names.slice(start, WORDS_A_ROW)
+            n = pa.array(counts[at : at + len(some)], pa.int64())
+            fields = [pa.repeat(pa.scalar(lang, pa.string()), len(some)), some.cast(pa.string()), n]
+            yield one_row(shard=shard, first=at, words=pa.StructArray.from_arrays(fields, ["lang", "word", "n"]))
+            at += len(some)
+
+
+def one_row(**values) -> pa.RecordBatch:
+    """A row of SHARD; what is not named is null."""
+    arrays = []
+    for field in ROW:
+        value = values.get(field.name)
+        arrays.append(pa.ListArray.from_arrays([0, len(value)], value) if isinstance(value, pa.Array) else pa.array([value], field.type))
+    return pa.RecordBatch.from_arrays(arrays, ROW.names)
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
-    number, size = TaskContext.get().partitionId() << 20, 0
+    number, size, waiting = TaskContext.get().partitionId() << 20, 0, 0
     of_lang: dict[str, Words] = defaultdict(Words)
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
             for part in blocks(text.as_py()):
                 found = tokens(part)
-                of_lang[lang].add(found)
+                of_lang[lang].fresh += found
                 size += len(found)
+                waiting += len(found)
+                if waiting >= CODED:
+                    for words in of_lang.values():
+                        words.code()
+                    waiting = 0
                 if size >= shard_words:
-                    yield indexed(number, of_lang, lang)
-                    pa.default_memory_pool().release_unused()
+                    del found
                     carried = of_lang[lang].last(LONGEST - 1)
-                    of_lang = defaultdict(Words, {lang: Words(carried)})
-                    number, size = number + 1, len(carried)
-            of_lang[lang].add([END])
+                    yield from indexed(number, of_lang, lang)
+                    pa.default_memory_pool().release_unused()
+                    of_lang[lang] = Words(carried)
+                    number, size, waiting = number + 1, len(carried), len(carried)
+            of_lang[lang].fresh.append(END)
     if size:
-        yield indexed(number, of_lang, None)
+        yield from indexed(number, of_lang, None)
 
 
 def among(ascending: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -272,7 +295,8 @@ def frequent_words(found: DataFrame, least: int) -> DataFrame:
     A word comes once for each shard that has it; with the same shuffle its total and its number,
     the first shard's for it, go back to each of them.
     """
-    local = found.select("shard", F.posexplode("words").alias("at", "w")).select("shard", (F.col("at") + 1).alias("symbol"), "w.*")
+    local = found.select("shard", "first", F.posexplode("words").alias("at", "w"))
+    local = local.select("shard", (F.col("first") + F.col("at")).alias("symbol"), "w.*")
     same = Window.partitionBy("lang", "word")
     first = F.col("shard") * (1 << SYMBOL_BITS) + F.col("symbol")
     total = local.select("shard", "symbol", "lang", "word", F.sum("n").over(same).alias("f"), F.min(first).over(same).alias("id"))
@@ -297,7 +321,7 @@ def with_alive(indexes: DataFrame, phrases: DataFrame) -> DataFrame:
 def frequent_phrases(found: DataFrame, local: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """(ids, f) of all phrases of 1 to LONGEST words with ``least`` occurrences, stored."""
     known = stored(local.groupBy("shard").agg(F.collect_list(F.struct("symbol", "id")).alias("known")), "phrases-known")
-    indexes = found.drop("words").join(known, "shard")
+    indexes = found.where("leftward IS NOT NULL").drop("first", "words").join(known, "shard")
     pairs = in_batches(indexes.drop("rightward"), _pairs, "shard long, a long, b long, n long")
     pairs = everywhere(pairs, ["a", "b"], least, "phrases-pairs")
     triples = in_batches(with_alive(indexes, pairs), _triples, "shard long, a long, b long, c long, n long")

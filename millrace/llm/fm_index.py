@@ -7,14 +7,16 @@ steps take arrays of intervals at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 DELIMITER = 0
 #: Occurrences of phrases that are extended at once.
-SYMBOLS = 1 << 19
+SYMBOLS = 1 << 18
+#: Suffixes that ``shallow_order`` sorts at once, unless more begin with one symbol.
+PART = 1 << 18
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -46,9 +48,40 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def bwt_of(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def shallow_order(text: np.ndarray, depth: int) -> np.ndarray:
+    """As ``suffix_order``, for few symbols: in parts by first symbol, so that little is held beside the order.
+
+    As many symbols as fit make up a part's first key; after that ranks and further symbols do.
+    """
+    bits = max(1, int(text.max(initial=0)).bit_length())
+    ends = np.concatenate([text, np.zeros(depth, text.dtype)])
+    upto = np.cumsum(np.bincount(text))
+    cuts = np.unique(np.searchsorted(upto, np.arange(PART, len(text), PART), side="right"))
+    order, at = np.empty(len(text), np.int32 if len(text) < 1 << 31 else np.int64), 0
+    for low, high in zip([0, *cuts], [*cuts, len(upto)]):
+        starts = np.flatnonzero((text >= low) & (text < high))
+        key, span, rank_bits = np.zeros(len(starts), np.int64), 0, 0
+        while span < depth and len(starts):
+            for _ in range(min(depth - span, (62 - rank_bits) // bits)):
+                key <<= bits
+                key |= ends[starts + span]
+                span += 1
+            by = np.argsort(key)
+            starts, key = starts[by], key[by]
+            changed = key[1:] != key[:-1]
+            key[0] = 0
+            np.cumsum(changed, out=key[1:])
+            rank_bits = int(key[-1]).bit_length()
+        order[at : at + len(starts)] = starts
+        at += len(starts)
+    return order
+
+
+def bwt_of(
+    text: np.ndarray, depth: int, ordered: Callable[[np.ndarray, int], np.ndarray] = suffix_order
+) -> tuple[np.ndarray, np.ndarray]:
     """The symbol before each suffix, in suffix order, and that order."""
-    order = suffix_order(text, depth)
+    order = ordered(text, depth)
     return text[order - 1], order
 
 
@@ -60,7 +93,7 @@ class Bwt:
         #: Ascending, one per rank: the suffix's first symbol and the place of that symbol in the BWT.
         self.keys = bwt.astype(np.int64)
         self.keys *= self.n + 1
-        self.keys += np.arange(self.n)
+        self.keys += np.arange(self.n, dtype=np.int32 if self.n < 1 << 31 else np.int64)
         self.keys.sort()
 
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
