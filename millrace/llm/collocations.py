@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.fm_index import DELIMITER, Bidirectional, Phrases, bwt_of, shallow_order
-from millrace.llm.shared import in_batches, stored, whole_text
+from millrace.llm.shared import in_batches, shuffles_removed, stored, whole_text
 
 LONGEST = 5
 LEAST = 100
 PERCENT = 100  # a phrase inside a longer one that has so much of its count is dropped
 TOP = 2000
-#: Words of a shard: its index takes some 50 bytes for each while it is made.
+#: Words of a shard: its index takes some 30 bytes for each while it is made.
 SHARD_WORDS = 5 << 19
 #: Enough for the different words of a shard; beyond them 20 bits number a task's shards, 20 the task.
 SYMBOL_BITS = 23
@@ -375,11 +375,13 @@ def collocations(
     ``und``; repeated rows count again; doc_id and other columns are not used. No text, or no
     phrase that is frequent enough, gives no row.
     """
-    found = shards(docs, shard_words)
-    local = frequent_words(found, least)
-    words = stored(local.groupBy("id").agg(*(F.first(c).alias(c) for c in ("lang", "word", "f"))), "phrases-words")
-    sizes = stored(found.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n")), "phrases-sizes")
-    listed = scored(frequent_phrases(found, local, words, least), words, sizes, percent)
+    with shuffles_removed(docs.sparkSession):
+        found = shards(docs, shard_words)
+        local = frequent_words(found, least)
+        words = stored(local.groupBy("id").agg(*(F.first(c).alias(c) for c in ("lang", "word", "f"))), "phrases-words")
+        sizes = stored(found.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n")), "phrases-sizes")
+        phrases = frequent_phrases(found, local, words, least)
+    listed = scored(phrases, words, sizes, percent)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = listed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

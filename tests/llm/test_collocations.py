@@ -1,12 +1,16 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from millrace.llm import collocations as module
 from millrace.llm.collocations import BLOCK, blocks, collocations, packed, tokens, unpacked
-from millrace.llm.fm_index import Bidirectional, bwt_of
+from millrace.llm.fm_index import Bidirectional, bwt_of, shallow_order
 
 
 def brute(rows, least, percent=100, top=2000):
@@ -107,3 +111,27 @@ def test_both_intervals_of_every_phrase(sides):
             ends = len(text) - reverse[to : to + size]
             assert sorted(ends - length) == sorted(starts)
         phrases = index.extended(phrases, side == "l")
+
+
+def test_memory_of_a_shard_and_words_in_a_row(monkeypatch):
+    monkeypatch.setattr(module, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    n, rng = 250_000, np.random.default_rng(2)
+    langs = ["de", "en", "es", "fr"]
+    texts = [" ".join(map(str, rng.zipf(1.3, n) % 40_000)) for _ in langs]
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], ["lang", "text"])
+    tracemalloc.start()
+    rows = list(module._shards([batch], 1 << 21))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(langs) * n
+    assert max(len(words) for row in rows for words in row.column("words").to_pylist() if words) <= 1 << 14
+
+
+def test_shallow_order_by_first_symbols():
+    text = np.concatenate([[0], np.random.default_rng(5).zipf(1.2, 700_000) % 5000, [0]]).astype(np.int32)
+    order, ends = shallow_order(text, 5), np.concatenate([text, np.zeros(5, np.int32)])
+    keys = np.stack([ends[order + i] for i in range(5)])
+    differ = keys[:, :-1] != keys[:, 1:]
+    first, at = differ.argmax(0), np.flatnonzero(differ.any(0))
+    assert (np.sort(order) == np.arange(len(text))).all()
+    assert (keys[first[at], at] < keys[first[at], at + 1]).all()
