@@ -46,6 +46,16 @@ def return_summary(returns: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def sold(orders: DataFrame) -> DataFrame:
+    """What refunds need of an order."""
+    return orders.select("order_id", "order_date", "customer_id", "product_id")
+
+
+def refunded(returns: DataFrame) -> DataFrame:
+    """What a refund is of a return; those of nothing add nothing."""
+    return returns.filter(F.col("refund_amount") != 0).select("order_id", "product_id", "refund_amount")
+
+
 def refunds_on_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
     """Refunds of known orders, with the order's date, customer and product: a row per return.
 
@@ -55,12 +65,8 @@ def refunds_on_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
     (``size_for`` sets up to what size): for this the returns are joined as they are stored,
     not summed first, and only those that refund something, as others add nothing.
     """
-    refunds = returns.filter(F.col("refund_amount") != 0).select(
-        "order_id", F.col("product_id").alias("returned_product_id"), "refund_amount"
-    )
-    return orders.select("order_id", "order_date", "customer_id", "product_id").join(
-        refunds, "order_id"
-    )
+    refunds = refunded(returns).withColumnRenamed("product_id", "returned_product_id")
+    return sold(orders).join(refunds, "order_id")
 
 
 #: Sums that add up: partial ones of some orders each give those of all orders.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial, reduce
 from operator import and_, or_
@@ -16,6 +17,8 @@ from millrace.operators.merge import absent_from
 from millrace.operators.scd2 import CUSTOMER_KEY, TRACKED, scd2_merge
 from millrace.plans.pieces import names, piece_of, pieces_for, row_hash
 from millrace.plans.together import together
+from millrace.session import FILTERED_BY_BYTES, delete_dir
+from millrace.sources.dealt import buckets_for, dealt
 from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 # The span of the date dimension.
@@ -166,8 +169,14 @@ def sum_sales(lake: Lake, pieces: int) -> None:
         return df.withColumn(PIECE, piece_of(["order_id"], pieces))
 
     # The one join of orders with returns, written once and summed three ways.
-    work = lake.table("work", "gold/order_refunds")
-    work.overwrite(cut_into(cut(S.refunds_on_orders(*(f.read(anew) for f in facts))), F.col(PIECE), pieces))
+    work, scratch = lake.table("work", "gold/order_refunds"), f"{lake.root}/work/gold/dealt-{uuid.uuid4().hex}"
+    orders, returns = S.sold(facts[0].read(anew)), S.refunded(facts[1].read(anew))
+    if facts[1].bytes(anew) >= FILTERED_BY_BYTES:  # no filter of them keeps orders out of a shuffle
+        buckets = buckets_for(lake.spark, facts[0].bytes(anew))
+        orders = dealt(orders, f"{scratch}/orders", ["order_id"], buckets)
+        returns = dealt(returns, f"{scratch}/returns", ["order_id"], buckets)
+    work.overwrite(cut_into(cut(S.refunds_on_orders(orders, returns)), F.col(PIECE), pieces))
+    delete_dir(lake.spark, scratch)
 
     def summed(key: str) -> DataFrame:
         table, changed = partials[key], stale[key]

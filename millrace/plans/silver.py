@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import partial
 
@@ -18,9 +19,11 @@ from millrace.operators.merge import (
     upsert_by_key,
     upsert_latest,
 )
-from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics
+from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics, split
 from millrace.plans.pieces import names, piece_of
 from millrace.plans.together import together
+from millrace.session import delete_dir
+from millrace.sources.dealt import LEAST_BYTES, buckets_for, dealt
 from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 
@@ -145,14 +148,24 @@ def mark_processed(silver: Silver, batches: DataFrame) -> None:
 def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all, valid, invalid): judged in one pass and stored, from which every sink is fed.
 
-    Bronze may be many small files, which are read once. Two slices take no shuffle.
+    Bronze may be many small files, which are read once. Two slices take no shuffle. A large first
+    load, all of bronze, is stored in buckets by key: its latest rows are chosen without a shuffle.
     """
     judged = assess(rows, silver.dataset.required, silver.dataset.rules)
     table = silver.work("assessed")
+    if not silver.table.exists() and (size := silver.bronze.bytes()) >= LEAST_BYTES:
+        buckets = buckets_for(silver.lake.spark, size)
+        every = dealt(judged, f"{table.path}/{uuid.uuid4().hex}", silver.dataset.key, buckets)
+        return every, *split(every)
     table.overwrite(cut_into(judged, F.col("_quality_status"), 2))
     return table.read(), table.read([VALID]), table.read([QUARANTINE])
 
 
+def forget_assessed(silver: Silver) -> None:
+    """Judged rows are as many as bronze's and are needed for one run only."""
+    delete_dir(silver.lake.spark, silver.work("assessed").path)
+
+
 def store_pending(silver: Silver, bronze: DataFrame) -> None:
     """Which batches of bronze are not marked yet. Ids come from the partition folders alone."""
     conf, setting = silver.lake.spark.conf, "spark.sql.optimizer.metadataOnly"
@@ -197,7 +210,9 @@ def run_incremental(silver: Silver) -> int:
         partial(record_metrics, silver, metrics),
     )
     mark_processed(silver, pending)
-    return every.count()
+    processed = every.count()
+    forget_assessed(silver)
+    return processed
 
 
 def run_snapshot(silver: Silver, delete_missing: bool = False) -> int:
@@ -225,7 +240,9 @@ def run_snapshot(silver: Silver, delete_missing: bool = False) -> int:
         partial(quarantine_rows, silver, invalid, every.select("_batch_id")),
         partial(record_metrics, silver, metrics),
     )
-    return every.count()
+    processed = every.count()
+    forget_assessed(silver)
+    return processed
 
 
 def run_silver(silver: Silver) -> int:

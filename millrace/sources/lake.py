@@ -123,9 +123,10 @@ class Table:
             return found.select(*self.schema().fieldNames())
         return reader.option("recursiveFileLookup", "true").parquet(*folders)
 
-    def bytes(self) -> int:
-        """Stored size of the current rows, from the listing alone."""
-        return bytes_under(self.spark, *self._located().values())
+    def bytes(self, slices: Iterable[str] | None = None) -> int:
+        """Stored size of the current rows, or of those of the named slices, from the listing alone."""
+        located = self._located()
+        return bytes_under(self.spark, *(located[s] for s in (located if slices is None else slices) if s in located))
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None

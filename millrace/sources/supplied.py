@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from millrace.datasets import DATASETS
 from millrace.operators.latest import latest_per_key
+from millrace.sources.dealt import LEAST_BYTES, buckets_for, dealt
+from millrace.sources.lake import bytes_under
 
 TECHNICAL = ("_ingestion_timestamp", "_source_file", "_batch_id")
 
@@ -78,11 +80,13 @@ LINE_KEY = ("l_orderkey", "l_linenumber")
 DELIVERED = "_ingestion_timestamp"
 
 
-def _delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _delivered_lines(
+    spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """Lines with their order's columns, known by ``LINE_KEY`` still."""
+    lineitem, orders = tables or (table(spark, sf_dir, name) for name in ("lineitem", "orders"))
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             *LINE_KEY,
             F.col("o_custkey").cast("string").alias("customer_id"),
@@ -105,33 +109,52 @@ def _delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dealt_lines(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame] | None:
+    """Lineitem and orders stored in buckets by order, for several readers; None if they are small."""
+    size = bytes_under(spark, f"{sf_dir}/lineitem.parquet")
+    if size < LEAST_BYTES:
+        return None
+    buckets = buckets_for(spark, size)
+    lineitem, orders = (table(spark, sf_dir, name) for name in ("lineitem", "orders"))
+    return (
+        dealt(lineitem, f"{folder}/lineitem", ["l_orderkey"], buckets),
+        dealt(orders.drop("o_totalprice"), f"{folder}/orders", ["o_orderkey"], buckets),
+    )
+
+
 def _named(lines: DataFrame) -> DataFrame:
     own = [c for c in lines.columns if c not in (*LINE_KEY, DELIVERED)]
     order_id = F.concat_ws("-", *LINE_KEY).alias("order_id")
     return lines.select(order_id, *own, *_technical("orders", F.col(DELIVERED)))
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(
+    spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """Order rows as delivered: an order id occurs several times, in several batches.
 
     Columns after the dataset's own (from ``supplier_id``) carry what returns need and
     make any two deliveries distinguishable.
     """
-    return _named(_delivered_lines(spark, sf_dir))
+    return _named(_delivered_lines(spark, sf_dir, tables))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(
+    spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """``order_lines`` in the shape of the orders dataset, repeated ids included."""
-    return order_lines(spark, sf_dir).select(*DATASETS["orders"].columns, *TECHNICAL)
+    return order_lines(spark, sf_dir, tables).select(*DATASETS["orders"].columns, *TECHNICAL)
 
 
-def latest_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_order_lines(
+    spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """One row per order id: its latest delivery.
 
     The key's two columns make the id, so lines that a join has dealt out by order are not
     shuffled again, and the moment makes the batch, so neither text is moved.
     """
-    return _named(latest_per_key(_delivered_lines(spark, sf_dir), LINE_KEY))
+    return _named(latest_per_key(_delivered_lines(spark, sf_dir, tables), LINE_KEY))
 
 
 def orders_of(lines: DataFrame) -> DataFrame:
@@ -160,9 +183,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_of(latest_order_lines(spark, sf_dir))
 
 
-def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def returns(
+    spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """A return for each order whose latest delivery is flagged as returned."""
-    return returns_of(latest_order_lines(spark, sf_dir))
+    return returns_of(latest_order_lines(spark, sf_dir, tables))
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
