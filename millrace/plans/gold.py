@@ -18,7 +18,7 @@ from millrace.operators.scd2 import CUSTOMER_KEY, TRACKED, scd2_merge
 from millrace.plans.pieces import names, piece_of, pieces_for, row_hash
 from millrace.plans.together import together
 from millrace.session import FILTERED_BY_BYTES, delete_dir
-from millrace.sources.dealt import buckets_for, dealt
+from millrace.sources.dealt import MOST_BYTES, buckets_for, dealt
 from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 # The span of the date dimension.
@@ -171,8 +171,10 @@ def sum_sales(lake: Lake, pieces: int) -> None:
     # The one join of orders with returns, written once and summed three ways.
     work, scratch = lake.table("work", "gold/order_refunds"), f"{lake.root}/work/gold/dealt-{uuid.uuid4().hex}"
     orders, returns = S.sold(facts[0].read(anew)), S.refunded(facts[1].read(anew))
-    if facts[1].bytes(anew) >= FILTERED_BY_BYTES:  # no filter of them keeps orders out of a shuffle
-        buckets = buckets_for(lake.spark, facts[0].bytes(anew))
+    size = facts[0].bytes(anew) // 3  # of four columns
+    # Of so many returns no filter keeps orders out of a shuffle.
+    if facts[1].bytes(anew) >= FILTERED_BY_BYTES and size <= MOST_BYTES:
+        buckets = buckets_for(lake.spark, size)
         orders = dealt(orders, f"{scratch}/orders", ["order_id"], buckets)
         returns = dealt(returns, f"{scratch}/returns", ["order_id"], buckets)
     work.overwrite(cut_into(cut(S.refunds_on_orders(orders, returns)), F.col(PIECE), pieces))

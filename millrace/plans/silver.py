@@ -23,7 +23,7 @@ from millrace.operators.quality import QUARANTINE, VALID, assess, dq_metrics, sp
 from millrace.plans.pieces import names, piece_of
 from millrace.plans.together import together
 from millrace.session import delete_dir
-from millrace.sources.dealt import LEAST_BYTES, buckets_for, dealt
+from millrace.sources.dealt import LEAST_BYTES, MOST_BYTES, buckets_for, dealt
 from millrace.sources.lake import Lake, Table, cut_into, gathered
 
 
@@ -153,7 +153,7 @@ def assessed_rows(silver: Silver, rows: DataFrame) -> tuple[DataFrame, DataFrame
     """
     judged = assess(rows, silver.dataset.required, silver.dataset.rules)
     table = silver.work("assessed")
-    if not silver.table.exists() and (size := silver.bronze.bytes()) >= LEAST_BYTES:
+    if not silver.table.exists() and LEAST_BYTES <= (size := silver.bronze.bytes()) <= MOST_BYTES:
         buckets = buckets_for(silver.lake.spark, size)
         every = dealt(judged, f"{table.path}/{uuid.uuid4().hex}", silver.dataset.key, buckets)
         return every, *split(every)

@@ -16,6 +16,8 @@ from millrace.sources.lake import CODEC
 
 #: Smaller inputs are left to Spark, which broadcasts or shuffles them.
 LEAST_BYTES = 32 << 20
+#: Larger ones are shuffled: tasks times buckets, the number of files, grows with the square of the input.
+MOST_BYTES = 16 << 30
 #: Stored bytes that a bucket is meant for: a task sorts some ten times that.
 BUCKET_BYTES = 32 << 20
 #: A bucket of more than so many times that holds hot keys, which only a shuffle splits or limits.

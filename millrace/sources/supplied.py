@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.datasets import DATASETS
 from millrace.operators.latest import latest_per_key
-from millrace.sources.dealt import LEAST_BYTES, buckets_for, dealt
+from millrace.sources.dealt import LEAST_BYTES, MOST_BYTES, buckets_for, dealt
 from millrace.sources.lake import bytes_under
 
 TECHNICAL = ("_ingestion_timestamp", "_source_file", "_batch_id")
@@ -110,9 +110,9 @@ def _delivered_lines(
 
 
 def dealt_lines(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame] | None:
-    """Lineitem and orders stored in buckets by order, for several readers; None if they are small."""
+    """Lineitem and orders stored in buckets by order, for several readers; None if that does not pay."""
     size = bytes_under(spark, f"{sf_dir}/lineitem.parquet")
-    if size < LEAST_BYTES:
+    if not LEAST_BYTES <= size <= MOST_BYTES:
         return None
     buckets = buckets_for(spark, size)
     lineitem, orders = (table(spark, sf_dir, name) for name in ("lineitem", "orders"))
